@@ -183,3 +183,21 @@ def purchases(
         arrival.alias("ts"),
         "event_id",
     )
+
+
+def raw_purchases(typed: DataFrame) -> DataFrame:
+    """Purchases as (value, ts) raw lines; every fiftieth event lacks its customer."""
+    customer = F.when(F.col("event_id") % 50 == 7, "").otherwise(F.col("CustomerID"))
+    fields = [
+        F.col("InvoiceNo"),
+        F.lit("P"),
+        F.lit("event"),
+        F.col("Quantity").cast("string"),
+        F.col("InvoiceDate"),
+        F.col("UnitPrice").cast("string"),
+        customer,
+        F.col("Country"),
+    ]
+    return typed.select(
+        F.concat_ws(",", *fields).alias("value"), F.col("ts").cast("timestamp").alias("ts")
+    )
