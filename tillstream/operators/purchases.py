@@ -46,7 +46,9 @@ def split_fields(lines: DataFrame, value: str = "value") -> DataFrame:
     Quotes stay, a blank field is ``""`` and a missing one is NULL.
     """
     kept = [name for name in lines.columns if name != value]
-    fields = lines.select(*kept, text.split_outside_quotes(F.col(value)).alias("fields"))
+    # One generated row per line, for the same reason as in parse_purchases.
+    split = F.array(text.split_outside_quotes(F.col(value)))
+    fields = lines.select(*kept, F.explode(split).alias("fields"))
     return fields.select(
         *kept,
         *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(LINE_COLUMNS)],

@@ -43,4 +43,6 @@ def stream_table(
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    # A plain stream path has to be a folder; a pattern may also name one file.
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return reader.parquet(f"{folder}/{{{name}}}")
