@@ -10,6 +10,8 @@ from tillstream.schema import LINE_COLUMNS
 # Fixed value: a comma followed by an even number of double quotes, that is,
 # a comma outside a quoted field.
 COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A comma and the field after it, in one pass; needs an even number of quotes.
+FIELD_AFTER_COMMA = ',((?:[^",]++|"[^"]*+")*+)'
 
 CORRUPT = "_corrupt"
 # Numbers are read as text so that a bad one is data, not a parser error.
@@ -40,8 +42,20 @@ def number(text: Column) -> Column:
 
 
 def split_outside_quotes(line: Column) -> Column:
-    """Fields as an array; quotes and blank fields are kept as they are."""
-    return F.split(line, COMMA_OUTSIDE_QUOTES, -1)
+    """Fields as an array; quotes and blank fields are kept as they are.
+
+    Looking ahead from every comma is slow, so only lines with an unpaired
+    quote, where it matters from which end quotes are counted, are split so.
+    """
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    fields = F.regexp_extract_all(
+        F.concat(F.lit(","), line), F.lit(FIELD_AFTER_COMMA), F.lit(1)
+    )
+    return (
+        F.when(quotes == 0, F.split(line, ",", -1))
+        .when(quotes % 2 == 0, fields)
+        .otherwise(F.split(line, COMMA_OUTSIDE_QUOTES, -1))
+    )
 
 
 def line_key(line: Column) -> Column:

@@ -15,8 +15,9 @@ from tillstream.schema import FEATURE_COLUMNS
 from tillstream.session import materialize
 
 MAX_K = 20
-# Fits that run side by side; each is a series of small jobs on cached rows.
-PARALLEL_FITS = 4
+# Fits that run side by side. Each is a series of small jobs on cached rows;
+# more at once fill idle cores but may fit models beyond the elbow for nothing.
+PARALLEL_FITS = 2
 
 
 @dataclass

@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the rows costs a lookup for every write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
@@ -82,12 +84,8 @@ def materialize(df):
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session with the streaming settings, leaving ``spark`` as it is."""
     session = spark.newSession()
-    for name in (
-        "spark.sql.session.timeZone",
-        "spark.sql.streaming.stateStore.providerClass",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-    ):
-        session.conf.set(name, RECOMMENDED_CONF[name])
+    for name, value in RECOMMENDED_CONF.items():
+        session.conf.set(name, value)
     session.conf.set(
         "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
     )

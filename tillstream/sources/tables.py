@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows get costly work, on every core.
+
+    A file with few row groups is read by few tasks, so its needed columns are
+    dealt out evenly first. A table of many splits is left as it is.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _price() -> Column:
     return F.round(F.col("l_extendedprice") / F.col("l_quantity") / 100, 2)
 
@@ -47,7 +58,7 @@ def lines(
     ``slot`` (see ``defective_lines``) is available as an extra column.
     """
     # Descriptions come from part, dates from orders, countries from nation.
-    rows = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
+    rows = fact_table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     if {"InvoiceDate", "CustomerID", "Country"} & set(columns):
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if "Country" in columns:
@@ -163,7 +174,7 @@ def purchases(
     2024, so that many lines of an invoice share a window. ``events`` may be
     given as a stream.
     """
-    rows = table(spark, sf_dir, "events") if events is None else events
+    rows = fact_table(spark, sf_dir, "events") if events is None else events
     arrival = F.col("ts")
     if dense:
         origin = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
