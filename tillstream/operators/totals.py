@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ from tillstream.functions import text
 
 # An argument list is typed by a person. Beyond this many items it is joined
 # like any other table instead of being sent to every executor.
-BROADCAST_ITEMS = 10_000
+SMALL_LIST = 10_000
 
 
 def amount_columns(lines: DataFrame) -> DataFrame:
@@ -66,20 +66,29 @@ def customer_totals(lines: DataFrame, drop_blank: bool = False) -> DataFrame:
     )
 
 
-def selected_countries(df: DataFrame, argument: str, separator: str = ",") -> DataFrame:
+def selected_countries(
+    spark: SparkSession, argument: str, separator: str = ","
+) -> DataFrame:
     """One row per non-empty item of the argument, repeats kept."""
-    spark = df.sparkSession
-    items = spark.range(1).select(
+    return spark.range(1).select(
         F.explode(text.argument_items(F.lit(argument), separator)).alias("Country")
     )
-    if argument.count(separator) < BROADCAST_ITEMS:
-        items = F.broadcast(items)
-    return items
 
 
-def totals_for_countries(totals: DataFrame, argument: str) -> DataFrame:
-    """Totals of the listed countries; a country listed twice counts twice."""
-    return totals.join(selected_countries(totals, argument), "Country").select(
+def totals_for_countries(
+    totals: DataFrame, argument: str, separator: str = ","
+) -> DataFrame:
+    """Totals of the listed countries; a country listed twice counts twice.
+
+    A short list is also given as a plain condition, which Spark can move
+    below the aggregation of ``totals`` and into the scan; a join stays above.
+    """
+    countries = selected_countries(totals.sparkSession, argument, separator)
+    names = {name for name in argument.split(separator) if name}
+    if len(names) <= SMALL_LIST:
+        totals = totals.where(F.col("Country").isin(*names))
+        countries = F.broadcast(countries)
+    return totals.join(countries, "Country").select(
         "CustomerID", "Country", "sales", "cancellations"
     )
 
