@@ -17,7 +17,7 @@ def spark():
         extra={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.streaming.schemaInference": "false",
+            "spark.sql.maxMetadataStringLength": "4000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
