@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from collections import Counter
@@ -10,6 +9,15 @@ from decimal import Decimal
 
 import duckdb
 
+# Column types that mean the same on both sides.
+SAME_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -29,8 +37,7 @@ def _plain(value):
     if isinstance(value, bool):
         return value
     if isinstance(value, (int, float)):
-        value = float(value)
-        return "nan" if math.isnan(value) else value + 0.0
+        return repr(float(value))
     return value
 
 
@@ -45,9 +52,13 @@ def compare(spark, connection, sf_dir: str, name: str, query, sql: str) -> str:
     spark_rows = [tuple(row) for row in frame.collect()]
     result = connection.execute(sql)
     sql_names = [column[0] for column in result.description]
-    sql_rows = result.fetchall()
     if sorted(frame.columns) != sorted(sql_names):
         return f"columns {sorted(frame.columns)} != {sorted(sql_names)}"
+    sql_rows = result.fetchall()
+    types = {name: SAME_TYPES[kind] for name, kind in frame.dtypes}
+    sql_types = {column[0]: str(column[1]) for column in result.description}
+    if types != sql_types:
+        return f"types {sorted(types.items() ^ sql_types.items())}"
     left, right = _rows(frame.columns, spark_rows), _rows(sql_names, sql_rows)
     if left == right:
         return "" if left else "no rows on either side"

@@ -278,11 +278,11 @@ with {PARSED} select "key", InvoiceDate, {_hour('InvoiceDate', '-1.0')} as Hour
 with {PARSED} select "key", InvoiceDate, {_hour('InvoiceDate', '0.0')} as Hour from parsed""",
     "line_amounts": f"""
 with {AMOUNTS} select Quantity, UnitPrice, CustomerID, Country,
-     round(amount, 2) as total_price from amounts""",
+     round(amount, 2) + 0.0 as total_price from amounts""",
     "split_volume": f"""
-with {AMOUNTS} select CustomerID, Country, round(amount, 2) as total_price,
-     round(greatest(amount, 0.0), 2) as sales,
-     round(greatest(-amount, 0.0), 2) as cancellations from amounts""",
+with {AMOUNTS} select CustomerID, Country, round(amount, 2) + 0.0 as total_price,
+     case when amount > 0 then round(amount, 2) else 0.0 end as sales,
+     case when amount < 0 then round(-amount, 2) else 0.0 end as cancellations from amounts""",
     "customer_totals": f"with {TOTALS} {_round_totals('totals')}",
     "customer_totals_from_text": (
         f"with {AMOUNTS}, totals as ({_totals('amounts', 'amount')}) {_round_totals('totals')}"

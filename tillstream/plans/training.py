@@ -73,10 +73,9 @@ def sweep(
     return Sweep(fitted[chosen - 1], elbow, costs)
 
 
-def training_vectors(lines: DataFrame) -> DataFrame:
-    """Invoice features with their vector, written once and cached for the fits."""
-    table = materialize(features.assemble(features.training_features(features.with_hour(lines))))
-    return table.persist(StorageLevel.MEMORY_AND_DISK)
+def training_table(lines: DataFrame) -> DataFrame:
+    """Invoice features with their vector, written to the shared folder."""
+    return materialize(features.assemble(features.training_features(features.with_hour(lines))))
 
 
 def train(
@@ -87,16 +86,18 @@ def train(
 ) -> tuple[Sweep, float, DataFrame]:
     """Train on invoice lines; returns the sweep, the threshold and the scored invoices.
 
-    The scored invoices read the written feature table and nothing cached.
+    Only the numbers the fits read are cached. The scored invoices read the
+    written table.
     """
-    vectors = training_vectors(lines)
+    table = training_table(lines)
+    vectors = table.select("features", *FEATURE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         outcome = sweep(vectors, family, **options)
         scored = outcome.model.score(vectors)
         threshold = clusters.distance_threshold(scored, rank).first().threshold
     finally:
         vectors.unpersist()
-    return outcome, threshold, scored
+    return outcome, threshold, outcome.model.score(table)
 
 
 def run(
