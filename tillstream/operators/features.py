@@ -24,19 +24,21 @@ def training_lines(lines: DataFrame) -> DataFrame:
 def invoice_features(lines: DataFrame) -> DataFrame:
     """Price mean, min and max, hour of the first line and item sum per invoice.
 
-    "First" is the earliest well-formed date, else the lowest hour. Lines of
-    one minute share their hour, so the result does not depend on row order,
-    and a numeric ordering key keeps this a hash aggregate.
+    "First" is the earliest well-formed date, the lower hour of the two that
+    a clock change lets fall together, and without such a date the lowest
+    hour. So the result does not depend on row order, and a numeric ordering
+    key keeps this a hash aggregate.
     """
-    minute = F.unix_seconds(F.try_to_timestamp("InvoiceDate", F.lit("dd/MM/yyyy H:mm")))
+    date = F.try_to_timestamp("InvoiceDate", F.lit("dd/MM/yyyy H:mm"))
+    moment = F.unix_seconds(date) * 100 + F.col("Hour").try_cast("bigint")
     return (
-        lines.withColumn("minute", minute)
+        lines.withColumn("moment", moment)
         .groupBy("InvoiceNo")
         .agg(
             F.avg("UnitPrice").alias("AvgUnitPrice"),
             F.min("UnitPrice").alias("MinUnitPrice"),
             F.max("UnitPrice").alias("MaxUnitPrice"),
-            F.coalesce(F.min_by("Hour", "minute"), F.min("Hour")).alias("Time"),
+            F.coalesce(F.min_by("Hour", "moment"), F.min("Hour")).alias("Time"),
             F.sum("Quantity").alias("NumberItems"),
         )
     )
