@@ -67,6 +67,7 @@ def test_malformed_lines(spark, line):
     "line",
     [
         field(GOOD, 3, " 5 "),
+        field(GOOD, 3, '" 5 "'),
         field(GOOD, 3, "-1"),
         field(GOOD, 3, "0"),
         field(GOOD, 5, "0"),

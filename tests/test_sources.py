@@ -5,7 +5,7 @@ import pytest
 from tillstream import session as sessions
 from tillstream.__main__ import main
 from tillstream.schema import LINE_COLUMNS
-from tillstream.sources import files, kafka
+from tillstream.sources import files, kafka, tables
 from tillstream.sources.sinks import FileSink, KafkaSink
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
@@ -94,6 +94,42 @@ def test_work_folders(spark, monkeypatch):
         sessions.checkpoint_root(Cluster)
 
 
+@pytest.mark.parametrize(
+    ("limit", "expected"), [("10MB", 10 * 2**20), ("10485760b", 10 * 2**20), ("-1", -1), ("1g", 2**30)]
+)
+def test_broadcast_limit_follows_the_session(limit, expected):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name: limit)
+
+    assert tables._broadcast_bytes(Session) == expected
+
+
+def test_join_sides_follow_the_limit(spark):
+    """Orders are the broadcast side below the limit; above it nothing is."""
+    name, columns = "spark.sql.autoBroadcastJoinThreshold", ["Quantity", "Country"]
+    before = spark.conf.get(name)
+
+    def plan():
+        lines = tables.lines(spark, "/root/testdata/sf0.001", columns)
+        return lines._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        spark.conf.set(name, "10MB")
+        assert "SortMergeJoin" not in plan()
+        outer = next(line for line in plan().splitlines() if "[l_orderkey" in line)
+        assert "BroadcastHashJoin" in outer and "BuildRight" in outer
+        spark.conf.set(name, "-1")
+        assert "BroadcastHashJoin" not in plan() and "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_few_row_groups_are_dealt_out(spark):
+    rows = tables.fact_table(spark, "/root/testdata/sf0.001", "lineitem")
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_command_line(spark, tmp_path, capsys):
     source = tmp_path / "lines.csv"
     lines = [

@@ -107,6 +107,17 @@ def test_trailing_counts(spark, count, spread, span):
     }
 
 
+def test_empty_ticks(spark, rows):
+    counts = spark.createDataFrame([(7200, 2), (7199, 1), (7203, 5)], "tick long, n long")
+    assert rows(windows.with_empty_ticks(counts)) == [
+        (7199, 1),
+        (7200, 2),
+        (7201, 0),
+        (7202, 0),
+        (7203, 5),
+    ]
+
+
 def test_group_size_is_bound_by_the_block(spark):
     """Ten lines a second on one invoice never meet as one group."""
     lines = spark.range(0, 100_000, 1, 8).selectExpr(

@@ -25,6 +25,9 @@ def _add_source(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--servers", help="Kafka servers to read from")
     parser.add_argument("--topics", help="comma-separated topics")
     parser.add_argument("--folder", help="folder of text files to read instead")
+    parser.add_argument(
+        "--max-per-trigger", type=int, help="most offsets or files to read in one trigger"
+    )
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress")
     parser.add_argument("--at-once", action="store_true", help="stop when all input is read")
 
@@ -35,11 +38,15 @@ def _trigger(args: argparse.Namespace) -> dict:
 
 def _lines(spark, args: argparse.Namespace, from_beginning: bool):
     if args.folder:
-        return files.stream_text(spark, args.folder)
+        return files.stream_text(spark, args.folder, args.max_per_trigger)
     if not (args.servers and args.topics):
         raise SystemExit("give --folder, or --servers and --topics")
     return kafka.stream_kafka(
-        spark, servers=args.servers, topics=args.topics, from_beginning=from_beginning
+        spark,
+        servers=args.servers,
+        topics=args.topics,
+        from_beginning=from_beginning,
+        max_offsets_per_trigger=args.max_per_trigger,
     )
 
 

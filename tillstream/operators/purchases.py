@@ -29,8 +29,8 @@ def parse_purchases(lines: DataFrame, value: str = "value") -> DataFrame:
     # on its fields would be pushed below it and parse the line again.
     fields = lines.select(*kept, F.inline(F.array(text.csv_record(F.col(value)))))
     typed = {
-        "Quantity": text.whole_number(F.col("Quantity")),
-        "UnitPrice": text.number(F.col("UnitPrice")),
+        "Quantity": text.whole_number(F.trim("Quantity")),
+        "UnitPrice": text.number(F.trim("UnitPrice")),
     }
     parsed = fields.select(
         *kept,

@@ -101,6 +101,15 @@ def every_second(changes: DataFrame, value: str = "n") -> DataFrame:
     )
 
 
+def with_empty_ticks(counts: DataFrame) -> DataFrame:
+    """Add the ticks between the first and the last that have no row, with n = 0."""
+    empty_after = counts.select((F.col("tick") + 1).alias("tick"), F.lit(0).alias("n"))
+    changes = counts.select("tick", "n").unionByName(empty_after)
+    filled = every_second(changes.groupBy("tick").agg(F.max("n").alias("n")))
+    last = counts.agg(F.max("tick")).scalar()
+    return filled.where(F.col("tick") <= last)
+
+
 def invoice_seconds(purchases: DataFrame, ts: str = "ts") -> DataFrame:
     """Well-formed lines reduced to one row per invoice and second."""
     return (

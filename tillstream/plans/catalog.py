@@ -398,6 +398,11 @@ def stream_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, "counts").select(F.unix_seconds("tick").alias("tick"), "n")
 
 
+def stream_cancellations_every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts with the empty seconds between them."""
+    return windows.with_empty_ticks(stream_cancellations(spark, sf_dir))
+
+
 def stream_detection_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per feed and key after running all feeds on raw lines."""
     session, folder = streaming_session(spark), work_dir(spark, "detection")
@@ -469,6 +474,7 @@ QUERIES: dict[str, Query] = {
         stream_top_sales,
         stream_invoice_windows,
         stream_cancellations,
+        stream_cancellations_every_second,
         stream_detection_feeds,
     )
 }

@@ -354,6 +354,12 @@ from alerts group by invoiceNo""",
 with {_purchases(True)}, {_windows()} {ROUNDED_WINDOWS} where {_closed('purchases')}""",
     "stream_cancellations": f"""
 with {_purchases(True)}, {COUNTED} select tick, n from closed_counts""",
+    "stream_cancellations_every_second": f"""
+with {_purchases(True)}, {COUNTED}, ticks as (
+     select unnest(generate_series((select min(tick) from closed_counts),
+                                   (select max(tick) from closed_counts))) as tick)
+select ticks.tick, coalesce(n, 0) as n
+from ticks left join closed_counts on ticks.tick = closed_counts.tick""",
     "stream_detection_feeds": f"""
 with {_purchases(True)}, valid as (select * from purchases where event_id % 50 <> 7),
      {_windows('valid')}, {COUNTED}, alerts as ({ALERTS}),
