@@ -39,7 +39,13 @@ def test_features(spark, rows):
 
 @pytest.mark.parametrize(
     ("costs", "k"),
-    [([100, 50, 40, 39], 3), ([100, 50, 25], None), ([100], None), ([100, 71], 2), ([5, 0, 0], None)],
+    [
+        ([100, 50, 40, 39], 3),
+        ([100, 50, 25], None),
+        ([100], None),
+        ([100, 71], 2),
+        ([5, 0, 0], None),
+    ],
 )
 def test_elbow(spark, costs, k):
     assert clusters.elbow_from_costs(costs) == k

@@ -55,7 +55,9 @@ def test_text_stream(spark, tmp_path):
 
 
 def test_kafka_options():
-    options = kafka.kafka_options("h:9092", " a, b ,", from_beginning=True, max_offsets_per_trigger=20)
+    options = kafka.kafka_options(
+        "h:9092", " a, b ,", from_beginning=True, max_offsets_per_trigger=20
+    )
     assert options == {
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "a,b",
@@ -95,7 +97,8 @@ def test_work_folders(spark, monkeypatch):
 
 
 @pytest.mark.parametrize(
-    ("limit", "expected"), [("10MB", 10 * 2**20), ("10485760b", 10 * 2**20), ("-1", -1), ("1g", 2**30)]
+    ("limit", "expected"),
+    [("10MB", 10 * 2**20), ("10485760b", 10 * 2**20), ("-1", -1), ("1g", 2**30)],
 )
 def test_broadcast_limit_follows_the_session(limit, expected):
     class Session:

@@ -104,7 +104,8 @@ def test_trailing_counts_equal_batch_when_closed(spark, session, incoming, tmp_p
     sink = FileSink(str(tmp_path))
     live = trailing_count_stream(purchases.cancelled(parsed(stream(session, incoming))), span=60)
     sink.start(live, "n", str(tmp_path / "c"), AT_ONCE).awaitTermination()
-    got = {r.tick: r.n for r in sink.read(spark, "n").withColumn("tick", F.unix_seconds("tick")).collect()}
+    found = sink.read(spark, "n").withColumn("tick", F.unix_seconds("tick"))
+    got = {r.tick: r.n for r in found.collect()}
     batch = purchases.cancelled(parsed(spark.read.parquet(incoming)))
     counts = windows.every_second(windows.trailing_counts(batch, 60)).collect()
     newest = int((START + timedelta(seconds=90)).timestamp())
@@ -133,12 +134,9 @@ def test_top_customers_at_every_trigger(session, incoming, tmp_path):
     answers = []
 
     def publish(sales, cancellations, batch_id):
-        answers.append(
-            (
-                [(r.CustomerID, r.total_sales) for r in sales.orderBy("rank").collect()],
-                [(r.CustomerID, r.total_cancellations) for r in cancellations.orderBy("rank").collect()],
-            )
-        )
+        sold = sales.orderBy("rank").select("CustomerID", "total_sales")
+        cancelled = cancellations.orderBy("rank").select("CustomerID", "total_cancellations")
+        answers.append(([tuple(r) for r in sold.collect()], [tuple(r) for r in cancelled.collect()]))
 
     totals.start_top_customers(
         stream(session, incoming), "France", str(tmp_path / "c"), publish, n=2, trigger=AT_ONCE

@@ -93,7 +93,9 @@ def test_invoice_windows(spark, count, spread, invoices, span):
     assert got == brute_windows(lines, span)
 
 
-@pytest.mark.parametrize(("count", "spread", "span"), [(100, 1500, 480), (40, 9000, 480), (5, 3, 2)])
+@pytest.mark.parametrize(
+    ("count", "spread", "span"), [(100, 1500, 480), (40, 9000, 480), (5, 3, 2)]
+)
 def test_trailing_counts(spark, count, spread, span):
     lines = make_lines(count, spread, ["a"], seed=count)
     seconds = [second(line[5]) for line in lines]

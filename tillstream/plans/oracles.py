@@ -252,9 +252,8 @@ def _closed(source: str) -> str:
 def _alerts(topic: str) -> str:
     model, threshold = WINDOW_MODELS[topic]
     nearest = _nearest(WINDOW_FEATURE_COLUMNS, model.centers)
-    position = (
-        f"list_position([{', '.join(_distances(WINDOW_FEATURE_COLUMNS, model.centers))}], {nearest})"
-    )
+    distances = ", ".join(_distances(WINDOW_FEATURE_COLUMNS, model.centers))
+    position = f"list_position([{distances}], {nearest})"
     return f"""
 select '{topic}' as topic, invoiceNo, tick, cast({position} - 1 as int) as prediction,
        {nearest} as distance

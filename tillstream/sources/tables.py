@@ -147,12 +147,13 @@ def raw_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
     return raw_text(lines(spark, sf_dir, LINE_COLUMNS, lineitem))
 
 
-def _field(column: str, defects: dict[int, Column]) -> Column:
-    slot = F.col("slot")
+def _field(intact: Column, defects: dict[int, Column | str]) -> Column:
+    """A field as text, replaced in the lines whose slot has a defect for it."""
     chain = F
-    for number, replacement in defects.items():
-        chain = chain.when(slot == number, replacement)
-    return chain.otherwise(F.col(column).cast("string"))
+    for slot, damaged in defects.items():
+        value = damaged if isinstance(damaged, Column) else F.lit(damaged)
+        chain = chain.when(F.col("slot") == slot, value)
+    return chain.otherwise(intact.cast("string"))
 
 
 def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,48 +163,24 @@ def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     gives the same text. Slots without an entry below stay intact.
     """
     typed = lines(spark, sf_dir, [*LINE_COLUMNS, "slot"])
-    text = F.col
+    description, date = F.col("Description"), F.col("InvoiceDate")
+    quoted = F.concat(F.lit('"'), description, F.lit(', x"'))
+    with_quotes = F.concat(F.lit('"'), description, F.lit(', ""X"""'))
+    short_year = F.concat(F.substr(date, F.lit(1), F.lit(6)), F.substr(date, F.lit(9)))
     fields = [
-        _field("InvoiceNo", {14: F.lit("")}),
-        _field("StockCode", {15: F.lit("")}),
-        F.when(F.col("slot") == 9, text("Description")).otherwise(
-            F.when(
-                F.col("slot") == 17,
-                F.concat(F.lit('"'), text("Description"), F.lit(', ""X"""')),
-            ).otherwise(F.concat(F.lit('"'), text("Description"), F.lit(', x"')))
-        ),
-        _field(
-            "Quantity",
-            {
-                2: F.lit("x"),
-                3: F.lit("2.5"),
-                7: F.lit(" 5 "),
-                8: F.lit("0"),
-                16: F.lit("1"),
-            },
-        ),
-        _field(
-            "InvoiceDate",
-            {
-                11: F.lit(""),
-                12: F.concat(
-                    F.substr("InvoiceDate", F.lit(1), F.lit(6)),
-                    F.substr("InvoiceDate", F.lit(9)),
-                ),
-                13: F.lit("short"),
-            },
-        ),
-        _field("UnitPrice", {4: F.lit("-1"), 5: F.lit("NaN"), 6: F.lit("0")}),
-        _field("CustomerID", {0: F.lit("")}),
-        _field("Country", {1: F.lit("")}),
+        _field(F.col("InvoiceNo"), {14: ""}),
+        _field(F.col("StockCode"), {15: ""}),
+        _field(quoted, {9: description, 17: with_quotes}),
+        _field(F.col("Quantity"), {2: "x", 3: "2.5", 7: " 5 ", 8: "0", 16: "1"}),
+        _field(date, {11: "", 12: short_year, 13: "short"}),
+        _field(F.col("UnitPrice"), {4: "-1", 5: "NaN", 6: "0"}),
+        _field(F.col("CustomerID"), {0: ""}),
+        _field(F.col("Country"), {1: ""}),
     ]
     whole = F.concat_ws(",", *fields)
-    value = (
-        F.when(F.col("slot") == 9, F.concat_ws(",", *fields[:3]))
-        .when(F.col("slot") == 10, F.concat(whole, F.lit(",extra")))
-        .otherwise(whole)
-    )
-    return typed.select(value.alias("value"))
+    too_short = F.concat_ws(",", *fields[:3])
+    too_long = F.concat(whole, F.lit(",extra"))
+    return typed.select(_field(whole, {9: too_short, 10: too_long}).alias("value"))
 
 
 def purchases(
