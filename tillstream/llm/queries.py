@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import packing, quality_rules, sharding, token_blocks
+from tillstream.llm import (
+    fingerprints,
+    jaccard_groups,
+    packing,
+    pseudonyms,
+    quality_rules,
+    sharding,
+    token_blocks,
+)
 from tillstream.llm.common import documents, materialize
 from tillstream.session import work_dir
 
@@ -34,6 +42,22 @@ def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir)).drop("ids")
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with pseudonyms for personal values, and how many of each kind."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY)
+
+
+def op8_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard_groups.components(documents(spark, sf_dir))
+
+
+def op9_threshold_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited form, and their likeness."""
+    return fingerprints.compare_edited(documents(spark, sf_dir))
+
+
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and place of every document, and its shard of seventeen."""
     return sharding.assign_shards(
@@ -41,10 +65,16 @@ def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Stands for the secret that a deployment passes in.
+PSEUDONYM_KEY = "corpus pseudonyms, key of the tests"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op5_token_blocks": op5_token_blocks,
     "op6_lexical_packing": op6_lexical_packing,
+    "op7_pseudonyms": op7_pseudonyms,
+    "op8_jaccard_groups": op8_jaccard_groups,
+    "op9_threshold_sketches": op9_threshold_sketches,
     "op10_rendezvous_sharding": op10_rendezvous_sharding,
 }
 
