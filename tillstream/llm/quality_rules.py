@@ -107,7 +107,7 @@ def rules() -> dict[str, Column]:
         "length": _vote((words >= 100) & (words <= 100_000), words < 50),
         "symbols": _vote(symbols < 0.05, symbols > 0.15),
         "repeated_words": _vote(repeats < 0.2, repeats > 0.4),
-        "repeated_lines": _vote((dup_lines == 0) & (F.col("n_lines") > 2), dup_lines > 0.3),
+        "repeated_lines": _vote((dup_lines == 0) & (F.col("n_lines") > 2), dup_lines > 0.5),
         "word_length": _vote((length >= 3) & (length <= 9), (length < 2) | (length > 14)),
         "function_words": _vote(function > 0.1, function < 0.03),
         "variety": _vote((variety > 0.2) | (words > 2000), (variety < 0.1) & (words > 50)),
