@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillstream.llm import (
     fingerprints,
     jaccard_groups,
+    lm_scoring,
     packing,
     pseudonyms,
     quality_rules,
@@ -30,6 +31,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the written files."""
     path = work_dir(spark, "token-blocks")
@@ -70,6 +76,7 @@ PSEUDONYM_KEY = "corpus pseudonyms, key of the tests"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_token_blocks": op5_token_blocks,
     "op6_lexical_packing": op6_lexical_packing,
     "op7_pseudonyms": op7_pseudonyms,
