@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream.llm import (
     fingerprints,
     jaccard_groups,
     lm_scoring,
+    mixing,
     packing,
     pseudonyms,
     quality_rules,
     sharding,
     token_blocks,
+    toxicity,
 )
 from tillstream.llm.common import documents, materialize
 from tillstream.session import work_dir
@@ -31,11 +34,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, raked weight, probability and draw of every document."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+        "weight", "probability", "drawn",
+    )
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document."""
     return lm_scoring.score_documents(documents(spark, sf_dir))
 
 
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of poor quality and of toxicity of every document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.chain_scores(documents(spark, sf_dir).select("doc_id", "text"), labels).drop("text")
+
+
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the written files."""
     path = work_dir(spark, "token-blocks")
@@ -76,7 +94,9 @@ PSEUDONYM_KEY = "corpus pseudonyms, key of the tests"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_toxicity_chain": op4_toxicity_chain,
     "op5_token_blocks": op5_token_blocks,
     "op6_lexical_packing": op6_lexical_packing,
     "op7_pseudonyms": op7_pseudonyms,
