@@ -94,6 +94,16 @@ def with_text_columns(
     return docs.select(*[field.name for field in kept]).mapInArrow(make, out)
 
 
+def set_aside(docs: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns that are not needed under names that clash with none.
+
+    The columns to select at the end give back the input's own names and order.
+    """
+    names = [name if name in needed else f"_aside_{k}" for k, name in enumerate(docs.columns)]
+    back = [F.col(own).alias(name) for own, name in zip(names, docs.columns, strict=True)]
+    return docs.toDF(*names), back
+
+
 #: Arrow's types for the fields that these operators make.
 ARROW_TYPES = {
     "bigint": pa.int64(),

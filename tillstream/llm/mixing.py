@@ -29,7 +29,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import materialize, unit_interval
+from tillstream.llm.common import materialize, set_aside, unit_interval
 
 DIMENSIONS = ("source", "lang", "topic")
 MISSING = "(none)"
@@ -196,5 +196,5 @@ def mix(
 
 def draw(docs: DataFrame, **options) -> DataFrame:
     """The drawn documents, with their own columns only."""
-    row = docs.select(F.struct("*").alias("row"), "doc_id", "text", "source", "lang")
-    return mix(row, **options).filter("drawn").select("row.*")
+    plain, back = set_aside(docs, ("doc_id", "text", "source", "lang", "topic"))
+    return mix(plain, **options).filter("drawn").select(*back)

@@ -31,8 +31,9 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tillstream.llm.common import with_text_columns
+from tillstream.llm.common import set_aside, with_text_columns
 
 ROUNDS = 8
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
@@ -271,3 +272,14 @@ def pseudonymize(
 
     schema = ", ".join(["text string", *[f"{name} bigint" for name in names]])
     return with_text_columns(docs, schema, make)
+
+
+def replace_in_place(docs: DataFrame, key: str, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """The documents with pseudonyms; a column ``n_chars`` follows its text."""
+    plain, back = set_aside(docs, ("text", "n_chars"))
+    out = pseudonymize(plain, key, kinds, counts=False)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.length("text").cast(kind)
+        out = out.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
+    return out.select(*back)

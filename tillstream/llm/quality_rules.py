@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import with_text_columns
+from tillstream.llm.common import set_aside, with_text_columns
 
 SYMBOLS = b"[#*$%&|<>]"
 # Frequent function words of the languages at hand.
@@ -193,7 +193,6 @@ def judge(voted: DataFrame, model: RuleModel, threshold: float = 0.5) -> DataFra
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns only."""
-    marked = docs.select(F.struct("*").alias("row"), "text")
-    voted = with_votes(marked)
+    plain, back = set_aside(docs, ("text",))
     model = fit_rules(with_votes(docs.select("text")))
-    return judge(voted, model).filter("kept").select("row.*")
+    return judge(with_votes(plain), model).filter("kept").select(*back)
