@@ -11,7 +11,7 @@ A segment is one binary value:
     minimum, start (byte in the body) of each block    unsigned 32-bit each
     exceptions of each block                           unsigned 16-bit each
     width of each block                                unsigned 8-bit each
-    body: for each block its packed ids, then exception places (16-bit) and values (32-bit)
+    body: for each block its packed ids, then exception places (8-bit) and values (32-bit)
 
 All numbers are little-endian. The last block is filled up with its minimum.
 
@@ -50,7 +50,7 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
-def pack(values: np.ndarray, percentile: float = 0.9) -> bytes:
+def pack(values: np.ndarray, percentile: float = 0.95) -> bytes:
     """A segment of unsigned 32-bit values."""
     count = len(values)
     blocks = -(-count // BLOCK)
@@ -65,7 +65,7 @@ def pack(values: np.ndarray, percentile: float = 0.9) -> bytes:
     over = (table >> np.minimum(widths, 31)[:, None] > 0) & (widths < 32)[:, None]
     over[widths == 31] = table[widths == 31] >> 31 > 0
     exceptions = over.sum(axis=1).astype("<u2")
-    sizes = BLOCK // 8 * widths.astype(np.int64) + 6 * exceptions.astype(np.int64)
+    sizes = BLOCK // 8 * widths.astype(np.int64) + 5 * exceptions.astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     body = np.zeros(starts[-1], np.uint8)
     for width in np.unique(widths[widths > 0]):
@@ -79,9 +79,8 @@ def pack(values: np.ndarray, percentile: float = 0.9) -> bytes:
             np.cumsum(exceptions.astype(np.int64)) - exceptions, exceptions
         )
         head = starts[rows] + BLOCK // 8 * widths[rows].astype(np.int64)
-        at = head + 2 * nth
-        body[at[:, None] + np.arange(2)] = places.astype("<u2").view(np.uint8).reshape(-1, 2)
-        at = head + 2 * exceptions[rows].astype(np.int64) + 4 * nth
+        body[head + nth] = places
+        at = head + exceptions[rows] + 4 * nth
         whole = table[rows, places].astype("<u4").view(np.uint8).reshape(-1, 4)
         body[at[:, None] + np.arange(4)] = whole
     head = np.array([MAGIC, BLOCK, count, blocks], "<u4")
@@ -116,8 +115,8 @@ def _blocks(opened, rows: np.ndarray) -> np.ndarray:
     for row in np.flatnonzero(exceptions[rows]):
         block = rows[row]
         n, at = exceptions[block], starts[block] + size // 8 * int(widths[block])
-        places = body[at : at + 2 * n].view("<u2")
-        out[row, places] = body[at + 2 * n : at + 6 * n].view("<u4")
+        places = body[at : at + n]
+        out[row, places] = np.frombuffer(body[at + n : at + 5 * n].tobytes(), "<u4")
     return out + least[rows][:, None].astype(np.uint32)
 
 
@@ -187,15 +186,6 @@ def read_documents(segments: DataFrame) -> DataFrame:
 
     The parts' own lengths, one number for each part, are summed up in one task.
     """
-    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("ids_of_part"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        "part", F.coalesce(F.sum("ids_of_part").over(before), F.lit(0)).alias("offset")
-    )
-    placed = segments.join(offsets, "part").select(
-        (F.col("offset") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "ids"
-    )
-
     def make(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -208,12 +198,20 @@ def read_documents(segments: DataFrame) -> DataFrame:
                     for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
                 ]
                 arrays = [
+                    pa.array([row["part"]] * len(ends), pa.int32()),
                     pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(starts + row["start"], pa.int64()),
+                    pa.array(starts + row["part_start"], pa.int64()),
                     pa.array(lengths.astype(np.int64), pa.int64()),
                     pa.array(sums, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    names = [field.split()[0] for field in DOCUMENT_IDS.split(", ")]
-    return placed.mapInArrow(make, DOCUMENT_IDS)
+    names = ["part", *[field.split()[0] for field in DOCUMENT_IDS.split(", ")]]
+    read = segments.mapInArrow(make, f"part int, {DOCUMENT_IDS}")
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("ids_of_part"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        "part", F.coalesce(F.sum("ids_of_part").over(before), F.lit(0)).alias("offset")
+    )
+    start = (F.col("start") + F.col("offset")).alias("start")
+    return read.join(offsets, "part").select("doc_id", start, "n_tokens", "ids_crc32")

@@ -14,10 +14,12 @@ import numpy as np
 
 from tillstream.llm.common import SEPARATORS, WHITE
 
-#: Units kept by a worker before it starts anew; only speed depends on it.
+#: Units kept by a worker before it drops those not needed just then; for speed only.
 KEPT_UNITS = 800_000
 
 _WORDS = re.compile(f"[^{WHITE}]+")
+_RUN = re.compile(f"[{WHITE}][{WHITE}]|\0")
+_CUT = "\0 "
 _SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 
 
@@ -30,49 +32,67 @@ def leading_gaps(text: str) -> list[str]:
     """Units for a byte-level tokenizer: a word takes one space before it along.
 
     White space before a word leaves its last character to the word if that is
-    a space, and as a unit of its own if not.
+    a space, and as a unit of its own if not. Where white space stands alone
+    everywhere, every space begins a unit.
     """
-    return _SPACED.findall(text)
+    if _RUN.search(text) or text[:1] == " ":
+        return _SPACED.findall(text)
+    return text.replace(" ", _CUT).split("\0")
 
 
 class IdEncoder:
-    """Texts to little-endian unsigned 32-bit ids, with special strings as plain text."""
+    """Texts to little-endian unsigned 32-bit ids, with special strings as plain text.
 
-    def __init__(self, path: str, units: Callable[[str], list[str]]):
+    ``between`` parts units that are encoded together: it must always be encoded as
+    the one id ``mark``, which no unit without the character ``mark_text`` has.
+    """
+
+    def __init__(self, path: str, units: Callable[[str], list[str]], between: str, mark_text: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.units = units
+        self.units, self.between, self.mark_text = units, between, mark_text
+        (self.mark,) = self.tokenizer.encode(between, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
-        known = self.known
-        if len(known) > KEPT_UNITS:
-            known.clear()
         split = [self.units(text) if text else [] for text in texts]
-        new = list(set().union(*split).difference(known))
-        for first in range(0, len(new), 4096):
-            part = new[first : first + 4096]
-            for unit, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                known[unit] = np.array(found.ids, "<u4").tobytes()
+        needed = set().union(*split)
+        if len(self.known) > KEPT_UNITS:
+            self.known = {unit: self.known[unit] for unit in needed.intersection(self.known)}
+        known = self.known
+        new = needed.difference(known)
+        alone = [unit for unit in new if self.mark_text in unit or unit.isspace()]
+        known.update(zip(alone, self._ids(alone), strict=True))
+        together = list(new.difference(alone))
+        for first in range(0, len(together), 2048):
+            part = together[first : first + 2048]
+            (data,) = self._ids([self.between.join(part)])
+            marks = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == self.mark)
+            starts, ends = [0, *(marks + 4).tolist()], [*marks.tolist(), len(data)]
+            known.update(
+                (unit, data[a:b]) for unit, a, b in zip(part, starts, ends, strict=True)
+            )
         last = int(end).to_bytes(4, "little")
         return [b"".join(map(known.__getitem__, units)) + last for units in split]
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(own.ids, "<u4").tobytes() for own in found]
+
 
 @cache
 def word_bpe(path: str | None = None) -> IdEncoder:
     """The word tokenizer, by default the installed ``word_bpe_49k.json``; one for a process."""
-    return IdEncoder(path or _installed("word_bpe_49k.json"), dropped_gaps)
+    return IdEncoder(path or _installed("word_bpe_49k.json"), dropped_gaps, " | ", "|")
 
 
 @cache
 def byte_bpe(path: str | None = None) -> IdEncoder:
     """The byte tokenizer, by default the installed ``byte_bpe_50k.json``; one for a process."""
-    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps)
+    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps, "\n", "\n")
 
 
 def _installed(name: str) -> str:
