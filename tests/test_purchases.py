@@ -109,13 +109,15 @@ def test_split_keeps_blanks_and_missing_fields(spark):
 
 
 def test_split_agrees_with_the_lookahead_rule_on_any_text(spark):
-    """Whole lines, unpaired quotes included, against the plain pattern."""
+    """Whole lines, unpaired quotes and the marks in use included."""
+    pattern = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
     dice = random.Random(7)
-    lines = {"".join(dice.choices('ab,,""', k=dice.randint(0, 14))) for _ in range(4000)}
+    letters = 'ab,,""\0\1'
+    lines = {"".join(dice.choices(letters, k=dice.randint(0, 14))) for _ in range(4000)}
     raw = spark.createDataFrame([(line,) for line in sorted(lines)], "value string")
     split = raw.select("value", text.split_outside_quotes(F.col("value")).alias("fields"))
     for row in split.collect():
-        assert row.fields == re.split(text.COMMA_OUTSIDE_QUOTES, row.value), row.value
+        assert row.fields == re.split(pattern, row.value), row.value
 
 
 @pytest.mark.parametrize(
@@ -163,3 +165,20 @@ def test_argument_items(spark):
     assert items("France,,Spain") == ["France", "Spain"]
     assert items("") == []
     assert items("a|b|", "|") == ["a", "b"]
+
+
+@pytest.mark.parametrize("quotes", [4000, 4001, 40_000, 40_001])
+def test_thousands_of_quotes_split_like_few(spark, quotes):
+    line = "1," + '"' * quotes + 'x,y",France'
+    raw = spark.createDataFrame([(line,)], "value string")
+    (row,) = raw.select(text.split_outside_quotes(F.col("value")).alias("fields")).collect()
+    whole = '"' * quotes + 'x,y"'
+    assert row.fields == (["1", whole, "France"] if quotes % 2 else [f"1,{whole}", "France"])
+
+
+def test_lines_wider_than_the_parser(spark):
+    wide = ",".join(["1"] + ["n"] * 30_000)
+    commas = '1,s,"' + "," * 30_000 + ' ""q""",5,01/12/2010 8:26,2.5,17,France'
+    rows = parse(spark, wide, commas).collect()
+    assert [row.is_wrong for row in rows] == [True, False]
+    assert rows[0].is_corrupt and rows[1].Description == "," * 30_000 + ' "q"'

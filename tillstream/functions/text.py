@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from tillstream.schema import LINE_COLUMNS
 
-# Fixed value: a comma followed by an even number of double quotes, that is,
-# a comma outside a quoted field.
-COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-# A comma and the field after it, in one pass; needs an even number of quotes.
-FIELD_AFTER_COMMA = ',((?:[^",]++|"[^"]*+")*+)'
+# Stands for a separating comma; a line that holds it itself is escaped first.
+_CUT, _ESCAPE = "\x00", "\x01"
+# The CSV parser fails the query beyond so many columns.
+_PARSER_COLUMNS = 20_480
 
 CORRUPT = "_corrupt"
 # Numbers are read as text so that a bad one is data, not a parser error.
@@ -27,8 +26,40 @@ _CSV_OPTIONS = {
 
 
 def csv_record(line: Column) -> Column:
-    """Struct of the eight fields as text; ``_corrupt`` is set on a wrong field count."""
-    return F.from_csv(line, _CSV_DDL, _CSV_OPTIONS)
+    """Struct of the eight fields as text; ``_corrupt`` is set on a wrong field count.
+
+    A line with more commas than the parser has columns never reaches it: its
+    fields are split here and lose their outer quotes.
+    """
+    return F.when(is_wide(line), _wide_record(line)).otherwise(
+        F.from_csv(line, _CSV_DDL, _CSV_OPTIONS)
+    )
+
+
+def is_wide(line: Column) -> Column:
+    """Whether the CSV parser could meet more columns than it can hold."""
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    return F.coalesce(commas >= _PARSER_COLUMNS - 1, F.lit(False))
+
+
+def _wide_record(line: Column) -> Column:
+    def unquoted(field: Column) -> Column:
+        plain = F.trim(field)
+        quoted = plain.startswith('"') & plain.endswith('"') & (F.length(plain) > 1)
+        inner = F.replace(
+            F.substr(plain, F.lit(2), F.length(plain) - 2), F.lit('""'), F.lit('"')
+        )
+        return F.nullif(F.when(quoted, inner).otherwise(plain), F.lit(""))
+
+    # In an array, so that the line is split once for its eight fields.
+    records = F.transform(
+        F.array(split_outside_quotes(line)),
+        lambda fields: F.struct(
+            *[unquoted(F.get(fields, F.lit(i))).alias(n) for i, n in enumerate(LINE_COLUMNS)],
+            F.when(F.size(fields) != len(LINE_COLUMNS), line).alias(CORRUPT),
+        ),
+    )
+    return F.get(records, F.lit(0))
 
 
 def whole_number(text: Column) -> Column:
@@ -44,20 +75,44 @@ def number(text: Column) -> Column:
 def split_outside_quotes(line: Column) -> Column:
     """Fields as an array; quotes and blank fields are kept as they are.
 
-    Looking ahead from every comma is slow, so only lines with an unpaired
-    quote, where it matters from which end quotes are counted, are split so.
+    A comma separates fields if an even number of quotes follows it. Between
+    two quotes all commas are alike, so the line is cut at its quotes, the
+    commas of every other piece counted from the end are marked, and the line
+    is cut at the marks: one pass for each step, whatever the line holds.
     """
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    fields = F.regexp_extract_all(
-        F.concat(F.lit(","), line), F.lit(FIELD_AFTER_COMMA), F.lit(1)
-    )
     return (
-        F.when(quotes == 0, F.split(line, ",", -1))
-        .when(quotes % 2 == 0, fields)
-        .otherwise(F.split(line, COMMA_OUTSIDE_QUOTES, -1))
+        F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1))
+        .when(~F.contains(line, F.lit(_CUT)), _cut(line))
+        .otherwise(F.transform(_cut(_escaped(line)), _unescaped))
     )
 
 
+def _cut(line: Column) -> Column:
+    marked = F.transform(
+        F.array(F.split(line, '"', -1)),
+        lambda pieces: F.array_join(
+            F.transform(
+                pieces,
+                lambda piece, i: F.when(
+                    (F.size(pieces) - i) % 2 == 1, F.replace(piece, F.lit(","), F.lit(_CUT))
+                ).otherwise(piece),
+            ),
+            '"',
+        ),
+    )
+    return F.split(F.get(marked, F.lit(0)), _CUT, -1)
+
+
+def _escaped(line: Column) -> Column:
+    safe = F.replace(line, F.lit(_ESCAPE), F.lit(_ESCAPE + "e"))
+    return F.replace(safe, F.lit(_CUT), F.lit(_ESCAPE + "c"))
+
+
+def _unescaped(field: Column) -> Column:
+    safe = F.replace(field, F.lit(_ESCAPE + "c"), F.lit(_CUT))
+    return F.replace(safe, F.lit(_ESCAPE + "e"), F.lit(_ESCAPE))
+
+
 def line_key(line: Column) -> Column:
     """Message key of a raw line: everything before its first comma."""
     return F.substring_index(line, ",", 1)

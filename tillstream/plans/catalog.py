@@ -84,6 +84,19 @@ def split_csv_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purchases.split_fields(tables.defective_lines(spark, sf_dir))
 
 
+def parse_hostile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the overlong lines are malformed."""
+    keyed = purchases.with_line_key(tables.hostile_lines(spark, sf_dir))
+    return purchases.parse_purchases(keyed).select("key", "is_wrong")
+
+
+def split_hostile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the overlong lines, long ones by their digest."""
+    fields = purchases.split_fields(tables.hostile_lines(spark, sf_dir))
+    digests = {n: F.when(F.length(n) > 100, F.md5(n)).otherwise(F.col(n)) for n in LINE_COLUMNS}
+    return fields.withColumns(digests)
+
+
 def _hours(spark: SparkSession, sf_dir: str, hour) -> DataFrame:
     parsed = _parsed(spark, sf_dir)
     return parsed.select("key", "InvoiceDate", hour(F.col("InvoiceDate")).alias("Hour"))
@@ -436,6 +449,8 @@ QUERIES: dict[str, Query] = {
         message_keys,
         parse_lines_typed,
         split_csv_fields,
+        parse_hostile_lines,
+        split_hostile_lines,
         hour_training,
         hour_streaming,
         line_amounts,

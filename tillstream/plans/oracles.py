@@ -11,6 +11,7 @@ from tillstream.plans.catalog import COUNTRIES, FIXED_CENTERS, SCORING_CENTERS,
 from tillstream.schema import (
     CANCELLATIONS_TOPIC,
     FEATURE_COLUMNS,
+    LINE_COLUMNS,
     MALFORMED_TOPIC,
     WINDOW_FEATURE_COLUMNS,
 )
@@ -83,6 +84,29 @@ parsed as (
 )
 
 
+# Lines with thousands of quotes or columns, by how they are built.
+HOSTILE = (
+    LINES
+    + """,
+built as (
+  select *, case when slot in (0, 1, 2, 3)
+                 then repeat('"', case slot when 0 then 4001 when 1 then 4000
+                                            when 2 then 40001 else 40000 end) end as quotes
+  from lines)
+"""
+)
+
+
+def _hostile_field(place: int, name: str) -> str:
+    """Odd runs of quotes leave three fields, even ones two, wide lines a letter each."""
+    odd = {0: "InvoiceNo", 1: "concat(quotes, 'x,y\"')", 2: "Country"}.get(place, "null")
+    even = {0: "concat(InvoiceNo, ',', quotes, 'x,y\"')", 1: "Country"}.get(place, "null")
+    wide = "InvoiceNo" if place == 0 else "'n'"
+    value = f"""case when slot in (0, 2) then {odd} when slot in (1, 3) then {even}
+                     when slot = 4 then {wide} else cast({name} as varchar) end"""
+    return f"case when length({value}) > 100 then md5({value}) else {value} end as {name}"
+
+
 def _hour(date: str, default: str) -> str:
     number = f"try_cast(trim(split_part(substr({date}, 11), ':', 1)) as double)"
     return f"coalesce({number}, {default})"
@@ -271,6 +295,11 @@ ORACLE_SQL: dict[str, str] = {
 with {LINES} select InvoiceNo as "key", count(*) as lines from lines group by InvoiceNo""",
     "parse_lines_typed": f"with {PARSED} {_PARSED_COLUMNS}",
     "split_csv_fields": f"with {FIELDS} select * exclude (slot, plain) from fields",
+    "parse_hostile_lines": f"""
+with {LINES} select InvoiceNo as "key", slot < 5 as is_wrong from lines""",
+    "split_hostile_lines": f"""
+with {HOSTILE} select {', '.join(_hostile_field(i, n) for i, n in enumerate(LINE_COLUMNS))}
+from built""",
     "hour_training": f"""
 with {PARSED} select "key", InvoiceDate, {_hour('InvoiceDate', '-1.0')} as Hour from parsed""",
     "hour_streaming": f"""

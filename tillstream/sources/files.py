@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.functions import text
 from tillstream.operators.features import with_hour
-from tillstream.schema import LINE_SCHEMA
+from tillstream.schema import LINE_COLUMNS, LINE_SCHEMA
+
+_HEADER = ",".join(LINE_COLUMNS).lower()
+_LINE_DDL = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in LINE_SCHEMA)
+_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 
 def read_invoice_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headered invoice CSV with fixed types and the hour added.
 
-    A number that does not parse is read as NULL and fails the training rule.
+    Lines that name the columns are headers. A number that does not parse is
+    read as NULL and fails the training rule, and so does a line that is too
+    wide for the parser: all its fields are NULL.
     """
-    lines = (
-        spark.read.schema(LINE_SCHEMA)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
+    text_lines = spark.read.text(path)
+    is_header = F.lower(F.replace("value", F.lit('"'), F.lit(""))) == _HEADER
+    rows = text_lines.where(~is_header & (F.trim("value") != ""))
+    record = F.when(~text.is_wide(F.col("value")), F.from_csv("value", _LINE_DDL, _CSV_OPTIONS))
+    # As a generator the parser runs once per line.
+    lines = rows.select(F.explode(F.array(record)).alias("line")).select(
+        *[F.col(f"line.{name}").alias(name) for name in LINE_COLUMNS]
     )
     return with_hour(lines)
 

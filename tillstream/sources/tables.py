@@ -183,6 +183,25 @@ def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.select(_field(whole, {9: too_short, 10: too_long}).alias("value"))
 
 
+def hostile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines as CSV text, a part of them far longer than a parser expects.
+
+    Slots 0 to 3 hold thousands of quotes, an odd or an even number of them,
+    and slot 4 thirty thousand columns.
+    """
+    typed = lines(spark, sf_dir, [*LINE_COLUMNS, "slot"])
+    number, country = F.col("InvoiceNo"), F.col("Country")
+
+    def quotes(count: int) -> Column:
+        run = F.repeat(F.lit('"'), F.lit(count))
+        return F.concat(number, F.lit(","), run, F.lit('x,y",'), country)
+
+    wide = F.concat(number, F.repeat(F.lit(",n"), F.lit(29_999)))
+    plain = F.concat_ws(",", *[F.col(name).cast("string") for name in LINE_COLUMNS])
+    hostile = {0: quotes(4001), 1: quotes(4000), 2: quotes(40_001), 3: quotes(40_000), 4: wide}
+    return typed.select(_field(plain, hostile).alias("value"))
+
+
 def purchases(
     spark: SparkSession,
     sf_dir: str,
