@@ -126,10 +126,13 @@ def test_single_mean_matches_brute_force(invoices):
     assert math.isclose(cost, sum(squared(row, means) for row in rows), rel_tol=1e-9)
 
 
-def test_sweep_stops_at_the_elbow(invoices):
+def test_sweep_fits_every_k_and_may_stop_at_the_elbow(invoices):
     vectors = features.assemble(invoices).cache()
     full = training.sweep(vectors, KMEANS, max_k=6, ratio=0.1, parallel=3)
-    assert full.elbow == 2 and full.model.k == 2 and len(full.costs) == 4
+    assert full.elbow == 2 and full.model.k == 2 and len(full.costs) == 6
+    assert len(full.models) == 6 and all(m.k <= k + 1 for k, m in enumerate(full.models))
+    short = training.sweep(vectors, KMEANS, max_k=6, ratio=0.1, parallel=3, early_stop=True)
+    assert short.elbow == 2 and short.costs == full.costs[:4]
     none = training.sweep(vectors, KMEANS, max_k=3, ratio=1e9)
     assert none.elbow is None and none.model.k == 1 and len(none.costs) == 3
     chosen = training.sweep(vectors, KMEANS, max_k=6)

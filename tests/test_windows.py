@@ -109,6 +109,16 @@ def test_trailing_counts(spark, count, spread, span):
     }
 
 
+def test_a_long_gap_is_cut_into_blocks(spark):
+    """Two years between two changes never stand in one row."""
+    end = 2 * 365 * 86_400
+    changes = spark.createDataFrame([(5, 3), (end, 0)], "tick long, n long")
+    filled = windows.every_second(changes)
+    total = filled.agg(F.count("*"), F.min("tick"), F.max("tick"), F.sum("n")).first()
+    assert tuple(total) == (end - 4, 5, end, 3 * (end - 5))
+    assert "SinglePartition" not in filled._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_ticks(spark, rows):
     counts = spark.createDataFrame([(7200, 2), (7199, 1), (7203, 5)], "tick long, n long")
     assert rows(windows.with_empty_ticks(counts)) == [

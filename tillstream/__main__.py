@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
+from tillstream.operators import clusters
 from tillstream.plans import models, training
 from tillstream.schema import BISECTING_ANOMALIES_TOPIC, KMEANS_ANOMALIES_TOPIC
 from tillstream.session import build_session
 from tillstream.sources import files, kafka
 from tillstream.sources.sinks import FileSink, KafkaSink
 from tillstream.streaming import detection, totals
+from tillstream.streaming.windows import DEFAULT_DELAY_SECONDS
 
 
 def _add_source(parser: argparse.ArgumentParser) -> None:
@@ -51,7 +55,10 @@ def _lines(spark, args: argparse.Namespace, from_beginning: bool):
 
 
 def train(spark, args: argparse.Namespace) -> None:
-    outcome = training.run(spark, args.source, args.model, args.threshold, args.family)
+    outcome = training.run(
+        spark, args.source, args.model, args.threshold, args.family,
+        max_k=args.max_k, ratio=args.ratio, offset=args.offset, rank=args.rank,
+    )
     print(f"selected {args.family} model: k = {outcome.model.k}")
 
 
@@ -61,17 +68,24 @@ def detect(spark, args: argparse.Namespace) -> None:
         BISECTING_ANOMALIES_TOPIC: models.load_model_and_threshold(spark, *args.bisecting),
     }
     sink = FileSink(args.output) if args.output else KafkaSink(args.servers)
+    lines = _lines(spark, args, from_beginning=False)
+    if args.stamp_arrival:
+        lines = lines.withColumn("ts", F.current_timestamp())
     queries = detection.start_detection(
-        _lines(spark, args, from_beginning=False),
+        lines,
         sink,
         args.checkpoint,
         scorers,
         trigger=_trigger(args),
         dedupe=args.dedupe,
         match_training_filter=args.match_training_filter,
+        delay=args.delay,
     )
     for query in queries:
         query.awaitTermination()
+    late = sum(detection.late_rows(query) for query in queries)
+    if late:
+        print(f"{late} window rows of late lines were dropped; a larger --delay keeps them")
 
 
 def top(spark, args: argparse.Namespace) -> None:
@@ -99,6 +113,10 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("model")
     command.add_argument("threshold")
     command.add_argument("family", choices=[models.KMEANS, models.BISECTING_KMEANS])
+    command.add_argument("--max-k", type=int, default=training.MAX_K)
+    command.add_argument("--ratio", type=float, default=clusters.ELBOW_RATIO)
+    command.add_argument("--offset", type=int, default=0, help="models after the elbow")
+    command.add_argument("--rank", type=int, default=clusters.THRESHOLD_RANK)
     command.set_defaults(run=train)
 
     command = commands.add_parser("detect", help="run the live feeds")
@@ -107,6 +125,12 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("--output", help="folder for the feeds instead of Kafka")
     command.add_argument("--dedupe", action="store_true", help="one alert per invoice")
     command.add_argument("--match-training-filter", action="store_true")
+    command.add_argument(
+        "--delay", type=int, default=DEFAULT_DELAY_SECONDS, help="seconds a line may be late"
+    )
+    command.add_argument(
+        "--stamp-arrival", action="store_true", help="arrival is the time of reading: never late"
+    )
     _add_source(command)
     command.set_defaults(run=detect)
 

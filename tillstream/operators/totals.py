@@ -8,11 +8,6 @@ from pyspark.sql import types as T
 
 from tillstream.functions import text
 
-# An argument list is typed by a person. Beyond this many items it is joined
-# like any other table instead of being sent to every executor.
-SMALL_LIST = 10_000
-
-
 def amount_columns(lines: DataFrame) -> DataFrame:
     """The four columns the totals need."""
     return lines.select("Quantity", "UnitPrice", "CustomerID", "Country")
@@ -80,14 +75,13 @@ def totals_for_countries(
 ) -> DataFrame:
     """Totals of the listed countries; a country listed twice counts twice.
 
-    A short list is also given as a plain condition, which Spark can move
-    below the aggregation of ``totals`` and into the scan; a join stays above.
+    The list is also given as a plain condition, which Spark can move below
+    the aggregation of ``totals`` and into the scan; a join stays above. Both
+    are part of the plan, as long as the argument itself.
     """
     countries = selected_countries(totals.sparkSession, argument, separator)
     names = {name for name in argument.split(separator) if name}
-    if len(names) <= SMALL_LIST:
-        totals = totals.where(F.col("Country").isin(*names))
-        countries = F.broadcast(countries)
+    totals = totals.where(F.col("Country").isin(*names))
     return totals.join(countries, "Country").select(
         "CustomerID", "Country", "sales", "cancellations"
     )

@@ -19,6 +19,7 @@ from tillstream.functions.timeparts import epoch_micros, streaming_hour
 INVOICE_SPAN = 40
 CANCELLATION_SPAN = 480
 BLOCK_SECONDS = 3600
+FANOUT = 4096
 
 
 def _arrival_micros(purchases: DataFrame, ts: str) -> Column:
@@ -83,21 +84,48 @@ def trailing_counts(
 def every_second(changes: DataFrame, value: str = "n") -> DataFrame:
     """Spread change points over all ticks from the first to the last one."""
     # Each block closes with the first change of the next one, found by key.
-    block = _block(F.col("tick"))
-    by_block = changes.withColumn("block", block)
+    by_block = changes.withColumn("block", _block(F.col("tick")))
     firsts = by_block.groupBy("block").agg(F.min("tick").alias("first_tick"))
-    # One row per block: a table as long as the time line in hours.
-    following = firsts.select(
-        "block", F.lead("first_tick").over(Window.orderBy("block")).alias("following")
-    )
     within = Window.partitionBy("block").orderBy("tick")
     until = F.coalesce(F.lead("tick").over(within), F.col("following"), F.col("tick") + 1)
-    return (
-        by_block.join(following, "block")
+    # A gap is cut at the blocks first, and the blocks are dealt out before
+    # their seconds are made, so no row holds more than a block.
+    tick, last, piece = F.col("tick"), F.col("until") - 1, F.col("piece")
+    pieces = (
+        by_block.join(_following(firsts), "block")
         .withColumn("until", until)
+        .select("tick", "until", value, F.explode(F.sequence(_block(tick), _block(last))).alias("piece"))
         .select(
-            F.explode(F.sequence(F.col("tick"), F.col("until") - 1)).alias("tick"), value
+            "piece",
+            F.greatest(tick, piece * BLOCK_SECONDS).alias("first"),
+            F.least(last, (piece + 1) * BLOCK_SECONDS - 1).alias("last"),
+            value,
         )
+        .repartition("piece")
+    )
+    return pieces.select(F.explode(F.sequence(F.col("first"), F.col("last"))).alias("tick"), value)
+
+
+def _following(firsts: DataFrame, levels: int = 3) -> DataFrame:
+    """The first tick of the next block for each block of ``firsts``.
+
+    Blocks look among the next ones of their parent, the last one in the
+    parent's own successor. A parent has ``FANOUT`` blocks, so no group is
+    larger; above the last level all timestamps share one parent.
+    """
+    rows = firsts.withColumn("parent", F.floor(F.col("block") / FANOUT))
+    among = Window.partitionBy("parent").orderBy("block")
+    rows = rows.withColumn("following", F.lead("first_tick").over(among))
+    if not levels:
+        return rows.select("block", "following")
+    parents = rows.groupBy(F.col("parent").alias("block")).agg(
+        F.min("first_tick").alias("first_tick")
+    )
+    above = _following(parents, levels - 1).select(
+        F.col("block").alias("parent"), F.col("following").alias("beyond")
+    )
+    return rows.join(above, "parent").select(
+        "block", F.coalesce("following", "beyond").alias("following")
     )
 
 

@@ -404,9 +404,7 @@ def stream_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trailing counts closed by the end of the input."""
     session, folder = streaming_session(spark), work_dir(spark, "counts")
     sink = FileSink(f"{folder}/sink")
-    counts = live_windows.trailing_count_stream(
-        purchases.cancelled(_purchase_stream(session, sf_dir))
-    )
+    counts = live_windows.trailing_count_stream(_purchase_stream(session, sf_dir))
     sink.start(counts, "counts", f"{folder}/checkpoint", AT_ONCE).awaitTermination()
     return sink.read(spark, "counts").select(F.unix_seconds("tick").alias("tick"), "n")
 

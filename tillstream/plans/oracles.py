@@ -260,12 +260,12 @@ every_second as (
 """
 COUNTED = """
 counted as (
-  select sec + i as tick, count(*) as n
+  select sec + i as tick, count(*) filter (where Quantity < 0) as n
   from purchases cross join (select unnest(generate_series(1, 480)) as i) u
-  where Quantity < 0 group by sec + i),
+  group by sec + i),
 closed_counts as (
   select tick, n from counted
-  where tick <= (select max(sec) - 10 from purchases where Quantity < 0))
+  where tick <= (select max(sec) - 10 from purchases))
 """
 
 

@@ -15,8 +15,7 @@ from tillstream.schema import FEATURE_COLUMNS
 from tillstream.session import materialize
 
 MAX_K = 20
-# Fits that run side by side. Each is a series of small jobs on cached rows;
-# more at once fill idle cores but may fit models beyond the elbow for nothing.
+# Fits that run side by side. Each is a series of small jobs on cached rows.
 PARALLEL_FITS = 2
 
 
@@ -27,6 +26,7 @@ class Sweep:
     model: ClusterModel
     elbow: int | None
     costs: list[float]
+    models: list[ClusterModel]
 
 
 def single_mean(rows: DataFrame, family: str) -> tuple[ClusterModel, float]:
@@ -45,12 +45,14 @@ def sweep(
     offset: int = 0,
     seed: int = 1,
     parallel: int = PARALLEL_FITS,
+    early_stop: bool = False,
 ) -> Sweep:
-    """Fit k = 1, 2, ... and stop at the elbow.
+    """Fit k = 1, 2, ... ``max_k`` and choose the model at the elbow.
 
-    Models are fitted a few at a time, and only as far as the first k that
-    qualifies, which is the answer of the full sweep as well. ``offset=1``
-    picks the model after the elbow. Without an elbow the answer is k = 1.
+    Models are fitted a few at a time. ``early_stop`` ends the sweep at the
+    first k that qualifies: the choice is the same, the curve is shorter.
+    ``offset=1`` picks the model after the elbow. Without an elbow the answer
+    is k = 1.
     """
     models.check_family(family)
     first, cost = single_mean(vectors, family)
@@ -63,14 +65,16 @@ def sweep(
 
     elbow = None
     with ThreadPoolExecutor(parallel) as pool:
-        while len(costs) < max_k and (elbow is None or len(costs) < elbow + offset):
+        while len(costs) < max_k and not (
+            early_stop and elbow is not None and len(costs) >= elbow + offset
+        ):
             wave = range(len(costs) + 1, min(len(costs) + parallel, max_k) + 1)
             for model, cost in pool.map(fit_one, wave):
                 fitted.append(model)
                 costs.append(cost)
             elbow = clusters.elbow_from_costs(costs, ratio)
     chosen = 1 if elbow is None else min(elbow + offset, max_k)
-    return Sweep(fitted[chosen - 1], elbow, costs)
+    return Sweep(fitted[chosen - 1], elbow, costs, fitted)
 
 
 def training_table(lines: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Invoice lines and purchase streams derived from the warehouse tables.
 
-Only the tables behind the requested columns are joined, and a side is
-broadcast only below the session's size limit.
+Only the tables behind the requested columns are joined.
 """
 
 from __future__ import annotations
@@ -16,57 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Columns that tell the rows of a fact table apart.
-ROW_KEYS = {
-    "lineitem": ["l_orderkey", "l_partkey", "l_linenumber"],
-    "events": ["event_id"],
-}
-
-
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows get costly work, on every core.
-
-    A file with few row groups is read by few tasks, so its rows are first
-    dealt out by a key that no two of them share. A table of at least as many
-    splits as there are cores is left as it is.
-    """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, *ROW_KEYS[name])
-
-
-def _bytes(rows: DataFrame) -> int:
-    """Size the optimizer knows for a plain scan: file bytes of the read columns."""
-    stats = rows._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes())
-
-
-def _broadcast_bytes(spark: SparkSession) -> int:
-    """The session's own limit for a broadcast side; negative when it is off."""
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
-    number, unit = value.rstrip("bkmg"), value.strip("-0123456789").rstrip("b")
-    return int(number) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30}[unit]
-
-
 def _owned_orders(spark: SparkSession, sf_dir: str, with_country: bool) -> DataFrame:
     """Orders with their customer, and the customer's country if it is needed.
 
     Orders meet their owners before they meet the much longer line items, so
-    only two shuffles are as long as orders and line items are. The optimizer
-    overrates such a nested join and could broadcast the line items instead of
-    it; the hint stands against that while the tables below are small enough.
+    only two shuffles are as long as orders and line items are. Which side is
+    broadcast, if any, is left to the session's size limit.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    size = _bytes(orders)
     if with_country:
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        size += _bytes(customer) + _bytes(nation)
         owners = customer.join(nation, F.expr("c_nationkey = n_nationkey"))
         orders = orders.join(owners, F.expr("o_custkey = c_custkey"))
-    return F.broadcast(orders) if size <= _broadcast_bytes(spark) else orders
+    return orders
 
 
 def _cents(amount: Column) -> Column:
@@ -109,7 +71,7 @@ def lines(
     ``slot`` (see ``defective_lines``) is available as an extra column.
     """
     # Descriptions come from part, dates from orders, countries from nation.
-    rows = fact_table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
+    rows = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     if {"InvoiceDate", "CustomerID", "Country"} & set(columns):
         orders = _owned_orders(spark, sf_dir, "Country" in columns)
         rows = rows.join(orders, F.expr("l_orderkey = o_orderkey"))
@@ -214,7 +176,7 @@ def purchases(
     2024, so that many lines of an invoice share a window. ``events`` may be
     given as a stream.
     """
-    rows = fact_table(spark, sf_dir, "events") if events is None else events
+    rows = table(spark, sf_dir, "events") if events is None else events
     arrival = F.col("ts")
     if dense:
         origin = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")

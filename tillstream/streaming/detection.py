@@ -14,7 +14,6 @@ from tillstream.functions.render import invoice_value
 from tillstream.functions.timeparts import training_hour
 from tillstream.operators import clusters
 from tillstream.operators.purchases import (
-    cancelled,
     malformed_feed,
     parse_purchases,
     well_formed,
@@ -84,6 +83,15 @@ def unpublished(alerts: DataFrame, published: DataFrame | None) -> DataFrame:
     return first.join(seen, F.col("invoiceNo") == F.col("key"), "left_anti")
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark has dropped, over the recent progress of a query."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+
+
 def start_detection(
     lines: DataFrame,
     sink,
@@ -109,7 +117,7 @@ def start_detection(
     keyed = lines if "key" in lines.columns else with_line_key(lines)
     purchases = parse_purchases(keyed)
 
-    counted = cancellation_feed(trailing_count_stream(cancelled(purchases), delay=delay))
+    counted = cancellation_feed(trailing_count_stream(purchases, delay=delay))
     valid = well_formed(purchases)
     if match_training_filter:
         hour = training_hour(F.col("InvoiceDate"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.functions import rules
 from tillstream.functions.timeparts import streaming_hour
 from tillstream.operators.windows import CANCELLATION_SPAN, INVOICE_SPAN
 
@@ -58,9 +59,12 @@ def trailing_count_stream(
     span: int = CANCELLATION_SPAN,
     delay: int = DEFAULT_DELAY_SECONDS,
 ) -> DataFrame:
-    """(tick, n) for every second with lines in the trailing window.
+    """(tick, n) of cancellations for every second with lines in the trailing window.
 
-    Each line is counted in the ``span`` ticks that follow it. This stays in
+    Every line moves the watermark, cancelled or not, so the counts go on and
+    fall back to 0 when cancellations stop.
+
+    Each line reaches the ``span`` ticks that follow it. This stays in
     generated code, which a window of hundreds of overlaps does not, and the
     ticks of a batch are pre-counted before the shuffle. The watermark is on
     the tick, so it runs ``span`` seconds ahead of the lines.
@@ -72,8 +76,8 @@ def trailing_count_stream(
         F.expr("interval 1 second"),
     )
     return (
-        purchases.select(F.explode(ticks).alias("tick"))
+        purchases.select(rules.is_cancellation().alias("counts"), F.explode(ticks).alias("tick"))
         .withWatermark("tick", f"{span + delay} seconds")
         .groupBy("tick")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_if("counts").alias("n"))
     )
