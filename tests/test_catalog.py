@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tillstream.plans.catalog import QUERIES
+from tillstream.plans.oracles import ORACLE_SQL
 from tests.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,12 +18,12 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, connection, name):
     assert compare(spark, connection, SF_DIR, name, queries()[name], oracle_sql()[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql(spark, name):
     rows = queries()[name](spark, SF_DIR).collect()
     assert len({row.InvoiceNo for row in rows}) == len(rows) > 0
