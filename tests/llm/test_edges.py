@@ -46,7 +46,7 @@ def _toxic(docs):
 
 OPERATORS = [
     _quality,
-    mixing.mix,
+    lambda docs: mixing.mix(mixing.with_cells(docs)),
     lm_scoring.score_documents,
     _toxic,
     _blocks,

@@ -104,7 +104,7 @@ def with_next(docs: DataFrame, columns: list[str], block_bytes: int = 4 << 20) -
         starts = F.create_map(*[F.lit(x) for pair in zip(bounds, before, strict=True) for x in pair])
         here = F.struct(F.lit(0).alias("ahead"), F.col("_block").alias("block"))
         ahead = F.struct(F.lit(1).alias("ahead"), F.try_element_at(starts, "doc_id").alias("block"))
-        is_first = F.col("doc_id") == F.lit(bounds).getItem(F.col("_block"))
+        is_first = F.col("doc_id") == F.get(F.lit(bounds), F.col("_block"))
         places = F.when(is_first, F.array(here, ahead)).otherwise(F.array(here))
         rows = rows.withColumn("_place", F.explode(places)).withColumns(
             {"_ahead": F.col("_place.ahead"), "_block": F.col("_place.block")}

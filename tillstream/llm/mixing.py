@@ -82,13 +82,20 @@ def token_count(text: Column) -> Column:
 
 
 def with_cells(docs: DataFrame, topics: Mapping[str, list[str]] = TOPICS) -> DataFrame:
-    """Columns _source, _lang, _topic and _tokens; a column ``topic`` of its own is used."""
+    """Columns _source, _lang, _topic, _tokens and _draw, a number in (0, 1).
+
+    A column ``topic`` of the documents' own is used.
+    """
     topic = F.col("topic").cast("string") if "topic" in docs.columns else topic_of(F.col("text"), topics)
     named = {
         "_source": F.coalesce(F.col("source").cast("string"), F.lit(MISSING)),
         "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(MISSING)),
         "_topic": F.coalesce(topic, F.lit(MISSING)),
         "_tokens": token_count(F.col("text")),
+        "_draw": unit_interval(
+            F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))),
+            "mixing",
+        ),
     }
     return docs.withColumns(named)
 
@@ -172,29 +179,26 @@ def calibrate(fitted: DataFrame, tokens: float) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame,
+    placed: DataFrame,
     share: float = 0.5,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     power: float = 0.5,
-    topics: Mapping[str, list[str]] = TOPICS,
 ) -> DataFrame:
-    """Documents with their cell, its weight and probability, and whether they are drawn.
+    """Rows of ``with_cells`` with their weight and probability, and whether they are drawn.
 
     ``share``: expected tokens drawn, as a share of all tokens.
     """
-    placed = with_cells(docs, topics)
     cells = materialize(cell_totals(placed))
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     drawn = materialize(calibrate(rake(cells, targets, power), share * total))
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
     return (
         placed.join(drawn.select(*CELL, "weight", "probability"), list(CELL), "left")
         .withColumn("probability", F.coalesce("probability", F.lit(0.0)))
-        .withColumn("drawn", unit_interval(key, "mixing") < F.col("probability"))
+        .withColumn("drawn", F.col("_draw") < F.col("probability"))
     )
 
 
-def draw(docs: DataFrame, **options) -> DataFrame:
+def draw(docs: DataFrame, topics: Mapping[str, list[str]] = TOPICS, **options) -> DataFrame:
     """The drawn documents, with their own columns only."""
     plain, back = set_aside(docs, ("doc_id", "text", "source", "lang", "topic"))
-    return mix(plain, **options).filter("drawn").select(*back)
+    return mix(with_cells(plain, topics), **options).filter("drawn").select(*back)

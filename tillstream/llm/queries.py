@@ -36,8 +36,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell, raked weight, probability and draw of every document."""
-    mixed = mixing.mix(documents(spark, sf_dir))
-    return mixed.select(
+    # without the texts, so that they are read once
+    placed = materialize(mixing.with_cells(documents(spark, sf_dir)).drop("text"))
+    return mixing.mix(placed).select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
         "weight", "probability", "drawn",
     )
@@ -105,4 +106,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rendezvous_sharding": op10_rendezvous_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard_groups": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) >= 5
+           then list_distinct([array_to_string(w[i:i + 4], ' ')
+                               for i in generate_series(1, len(w) - 4)])
+         when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+  from words),
+shingles as (select doc_id, unnest(s) as shingle from sets),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  group by all),
+links as (
+  select a, b from shared join sets x on x.doc_id = a join sets y on y.doc_id = b
+  where 100 * c >= 80 * (len(x.s) + len(y.s) - c)),
+edges as (select a, b from links union all select b, a from links),
+reached as (
+  select a, b from edges union select reached.a, edges.b from reached join edges on reached.b = edges.a),
+least_of as (select a, min(b) as m from reached group by a)
+select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id
+from sets left join least_of on a = doc_id""",
+}
