@@ -7,8 +7,9 @@ exact: the tokens below only decide what is compared.
 1. Equal sets are one: everything that follows works on distinct sets. Tokens
    that many documents share are found by counting; the most frequent ones, a
    bounded number, come last in the order of tokens.
-2. Two sets that link must share one of their first tokens in that order (a
-   fifth of the set at 0.8). Sets that share none with any other are done.
+2. Two sets that link share some of their first tokens in that order: at least
+   a tenth of the smaller set's size among the first three tenths, at 0.8. Sets
+   whose first tokens are shared less with all others together are done.
 3. Similar sets are partitioned into groups: a set joins the group of the most
    shared of its first tokens. Large groups are split into parts, and a few
    members are in every part. Links inside a part join its members, so that
@@ -94,9 +95,20 @@ def _set_key(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(digest, "<i8").tolist())
 
 
+def least_shared(n: int) -> int:
+    """First tokens that two linked sets share at least, ``n`` the smaller's size."""
+    return max(1, n // 10)
+
+
 def prefix_length(n: int, percent: int = 80) -> int:
-    """Tokens of which two linked sets share one: n - ceil(n * percent / 100) + 1."""
-    return n - (-(-n * percent // 100)) + 1 if n else 0
+    """How many tokens of a set count as its first ones.
+
+    A linked set lacks at most n - ceil(n * percent / 100) of its tokens, so it
+    has ``least_shared(n)`` of these. Of two linked sets take the one whose
+    first tokens end earlier: those of them that the other has are among the
+    other's first ones too.
+    """
+    return min(n, n - (-(-n * percent // 100)) + least_shared(n)) if n else 0
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -175,37 +187,46 @@ def _postings(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(make, "token bigint, id bigint, n int")
 
 
-def _sets(docs: DataFrame, signatures: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, n, tokens) of the sets ``ids``, made anew from one document of each."""
+def _sets(docs: DataFrame, signatures: DataFrame, places: DataFrame) -> DataFrame:
+    """The sets of ``places`` (id, group, parts), made anew from one document of each.
+
+    Repeated ids of documents may repeat a set.
+    """
     chosen = (
         signatures.select("doc_id", "id")
-        .join(ids, "id", "left_semi")
+        .join(places, "id")
         .groupBy("id")
-        .agg(F.min("doc_id").alias("doc_id"))
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("group").alias("group"),
+            F.first("parts").alias("parts"),
+        )
     )
     texts = docs.select("doc_id", "text").alias("d").join(
         chosen.alias("c"), F.expr("d.doc_id <=> c.doc_id")
-    ).select("c.id", "d.text")
+    ).select("c.id", "c.group", "c.parts", "d.text")
 
     def make(batches):
         for batch in chunks(batches):
             sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
             # repeated ids and rows without one may bring other texts along
             mine = [
-                (key, own)
-                for key, own in zip(batch.column("id").to_pylist(), sets, strict=True)
+                row
+                for row, (key, own) in enumerate(
+                    zip(batch.column("id").to_pylist(), sets, strict=True)
+                )
                 if _set_key(own)[0] == key
             ]
+            kept = batch.select(["id", "group", "parts"]).take(pa.array(mine, pa.int64()))
+            tokens = pa.array([sets[row].view(np.int64) for row in mine], pa.list_(pa.int64()))
+            sizes = pa.array([len(sets[row]) for row in mine], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key for key, _ in mine], pa.int64()),
-                    pa.array([len(own) for _, own in mine], pa.int32()),
-                    pa.array([own.view(np.int64) for _, own in mine], pa.list_(pa.int64())),
-                ],
-                ["id", "n", "tokens"],
+                [*kept.columns, sizes, tokens], ["id", "group", "parts", "n", "tokens"]
             )
 
-    return texts.mapInArrow(make, "id bigint, n int, tokens array<bigint>").dropDuplicates(["id"])
+    return texts.mapInArrow(
+        make, "id bigint, group bigint, parts array<int>, n int, tokens array<bigint>"
+    )
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
@@ -269,37 +290,35 @@ def _links_in_parts(parts: DataFrame, percent: int) -> DataFrame:
     return parts.mapInArrow(make, "a bigint, b bigint")
 
 
-def _needed(n_a: str, least: str, most: str, percent: int) -> str:
-    """First tokens that a set must share with one of ``least`` to ``most`` tokens to link.
-
-    Beyond the first tokens, what two sets share is at most what the set whose
-    first tokens end earlier has left; overlap of linked sets is at least
-    percent / (100 + percent) of both sizes.
-    """
-    low = f"greatest({least}, ceil({n_a} * {percent} / 100))"
-    high = f"least({most}, floor({n_a} * 100 / {percent}))"
-
-    def at(n_b):
-        both = f"ceil({percent} * ({n_a} + {n_b}) / {100 + percent})"
-        left = f"(ceil(greatest({n_a}, {n_b}) * {percent} / 100) - 1)"
-        return f"({both} - {left})"
-
-    return f"CASE WHEN {low} > {high} THEN 1e9 ELSE greatest(1, least({at(low)}, {at(high)}) - 1) END"
+def _needed(n: str, least: str, most: str, percent: int) -> str:
+    """First tokens that a set must share with one of ``least`` to ``most`` tokens to link."""
+    low = f"greatest({least}, ceil({n} * {percent} / 100))"
+    high = f"least({most}, floor({n} * 100 / {percent}))"
+    return f"CASE WHEN {low} > {high} THEN 1e9 ELSE greatest(1, floor(least({n}, {low}) / 10)) END"
 
 
-def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int) -> DataFrame:
-    """Edges (a, b) between distinct sets that connect all that link."""
-    postings = _postings(docs, _common_tokens(signatures, common), percent)
-    by_token = Window.partitionBy("token")
-    shared = materialize(
+def _shared_enough(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings of tokens with two sets or more, of sets with enough such tokens."""
+    by_token, by_id = Window.partitionBy("token"), Window.partitionBy("id")
+    return (
         postings.withColumns(
             {"least": F.min("id").over(by_token), "most": F.max("id").over(by_token)}
         )
         .filter("least <> most")
-        .select("token", "id", "n")
         .dropDuplicates(["token", "id"])
+        .withColumn("shared", F.count("*").over(by_id))
+        .filter(f"shared >= greatest(1, floor(ceil(n * {percent} / 100) / 10))")
+        .select("token", "id", "n")
     )
-    sets = materialize(_sets(docs, signatures, shared.select("id").distinct()))
+
+
+def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int) -> DataFrame:
+    """Edges (a, b) between distinct sets that connect all that link."""
+    postings = _postings(docs, _common_tokens(signatures, common), percent)
+    by_token = Window.partitionBy("token")
+    shared = materialize(_shared_enough(postings, percent))
+    # what has lost its partners goes too
+    shared = materialize(_shared_enough(shared, percent))
 
     # groups of similar sets, and the links inside their parts
     frequency = shared.groupBy("token").agg(F.count("*").alias("count"))
@@ -312,16 +331,14 @@ def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int)
     n_parts = F.ceil(F.col("size") / PART).cast("int")
     is_hub = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / HUBS)) == 0
     own_part = F.pmod(F.xxhash64("id", F.lit(1)), n_parts).cast("int")
+    parts = F.when(is_hub & (n_parts > 1), F.sequence(F.lit(0), n_parts - 1)).otherwise(
+        F.array(own_part)
+    )
+    sets = materialize(
+        _sets(docs, signatures, grouped.select("id", "group", parts.alias("parts")))
+    )
     parts = (
-        grouped.withColumn(
-            "part",
-            F.explode(
-                F.when(is_hub & (n_parts > 1), F.sequence(F.lit(0), n_parts - 1)).otherwise(
-                    F.array(own_part)
-                )
-            ),
-        )
-        .join(sets, "id")
+        sets.select("group", F.explode("parts").alias("part"), "id", "n", "tokens")
         .repartition("group", "part")
         .sortWithinPartitions("group", "part", "id")
     )
@@ -354,7 +371,8 @@ def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int)
         .filter(f"shared >= {_needed('n', 'least_n', 'most_n', percent)}")
         .select("id", "component")
     )
-    opened = (
+    # written, so that its size is known when it meets the sets
+    opened = materialize(
         bounds.alias("o")
         .join(between.alias("q"), F.expr("o.id = q.id"))
         .join(
@@ -364,10 +382,10 @@ def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int)
         .groupBy(F.col("q.id").alias("a"), F.col("s.id").alias("b"))
         .agg(F.count("*").alias("shared"), F.first("q.n").alias("n_a"), F.first("s.n").alias("n_b"))
         .filter(f"shared >= {_needed('n_a', 'n_b', 'n_b', percent)}")
+        .select("a", "b")
     )
     both = (
-        opened.select("a", "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
+        opened.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
         .withColumn("common", F.size(F.array_intersect("x", "y")))
     )

@@ -18,14 +18,24 @@ from tillstream.llm.common import SEPARATORS, WHITE
 KEPT_UNITS = 800_000
 
 _WORDS = re.compile(f"[^{WHITE}]+")
-_RUN = re.compile(f"[{WHITE}][{WHITE}]|\0")
-_CUT = "\0 "
 _SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+# White space other than the space and the line end, and the cut.
+_ODD_GAP = re.compile("[\0\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RUNS = ("  ", "\n\n", " \n", "\n ")
+# A full stop or comma that does not stand between a letter or digit and a gap.
+_MARK_INSIDE = re.compile(f"[.,](?:(?=[^{WHITE}])|(?<![^\\W_][.,]))")
 
 
 def dropped_gaps(text: str) -> list[str]:
-    """Units for a tokenizer that drops white space."""
-    return text.split() if not SEPARATORS.search(text) else _WORDS.findall(text)
+    """Units for a tokenizer that drops white space.
+
+    Where every full stop and comma ends a word, it is a unit of its own.
+    """
+    if SEPARATORS.search(text):
+        return _WORDS.findall(text)
+    if _MARK_INSIDE.search(text):
+        return text.split()
+    return text.replace(".", " .").replace(",", " ,").split()
 
 
 def leading_gaps(text: str) -> list[str]:
@@ -33,11 +43,14 @@ def leading_gaps(text: str) -> list[str]:
 
     White space before a word leaves its last character to the word if that is
     a space, and as a unit of its own if not. Where white space stands alone
-    everywhere, every space begins a unit.
+    everywhere, every space begins a unit and a line end is one; and where
+    every full stop and comma ends a word, it is one too.
     """
-    if _RUN.search(text) or text[:1] == " ":
+    if text[:1] == " " or any(run in text for run in _RUNS) or _ODD_GAP.search(text):
         return _SPACED.findall(text)
-    return text.replace(" ", _CUT).split("\0")
+    if not _MARK_INSIDE.search(text):
+        text = text.replace(".", "\0.").replace(",", "\0,")
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 class IdEncoder:
@@ -54,14 +67,15 @@ class IdEncoder:
         self.tokenizer.encode_special_tokens = True
         self.units, self.between, self.mark_text = units, between, mark_text
         (self.mark,) = self.tokenizer.encode(between, add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
         split = [self.units(text) if text else [] for text in texts]
         needed = set().union(*split)
         if len(self.known) > KEPT_UNITS:
-            self.known = {unit: self.known[unit] for unit in needed.intersection(self.known)}
+            kept = needed.intersection(self.known) | {""}
+            self.known = {unit: self.known[unit] for unit in kept}
         known = self.known
         new = needed.difference(known)
         alone = [unit for unit in new if self.mark_text in unit or unit.isspace()]
