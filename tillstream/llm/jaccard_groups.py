@@ -14,11 +14,10 @@ exact: the tokens below only decide what is compared.
    shared of its first tokens. Large groups are split into parts, and a few
    members are in every part. Links inside a part join its members, so that
    groups become the components found so far, as a rule whole groups of copies.
-4. The token-group matrix has a row for each token and group: the groups' token
-   unions. A set is compared with another group only as far as this needs: the
-   tokens it shares with the union and the sizes in the group bound the overlap
-   with any member. Only groups that qualify are opened; their members are
-   bounded in the same way and what remains is compared in full.
+4. The token-group matrix has a row for each token and cell: the token unions of
+   a group's sets of about the same size. The tokens that a set shares with a
+   cell's union and the sizes there bound the overlap with any member. Only cells
+   that qualify, and hold another component, are opened and compared in full.
 
 Words lie between ASCII white space, A-Z in lower case. A document of fewer
 than five words has one shingle, all its words; without words it has none and
@@ -34,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import chunks, lower_ascii, materialize
@@ -346,53 +345,96 @@ def link_sets(docs: DataFrame, signatures: DataFrame, percent: int, common: int)
 
     # the token-group matrix over what is not yet connected
     label = connected(inside).select(F.col("node").alias("id"), "label")
-    placed = shared.join(label, "id", "left").withColumn(
-        "component", F.coalesce("label", "id")
+    members = materialize(
+        sets.join(label, "id", "left")
+        .join(grouped.select("id", "size"), "id")
+        .select("id", F.coalesce("label", "id").alias("component"), "n", _cell().alias("cell"))
     )
+    placed = shared.select("token", "id").join(members, "id")
     between = materialize(
         placed.withColumns(
             {"least": F.min("component").over(by_token), "most": F.max("component").over(by_token)}
         )
         .filter("least <> most")
-        .select("token", "id", "n", "component")
+        .select("token", "id", "n", "component", "cell")
     )
-    matrix = between.groupBy("token", "component").agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n")
+    matrix = between.groupBy("token", "cell").agg(
+        F.min("n").alias("least_n"),
+        F.max("n").alias("most_n"),
+        F.min("component").alias("least_c"),
+        F.max("component").alias("most_c"),
     )
-    bounds = (
+    # the smaller set of a pair asks the cell of the larger one
+    sizes = f"q.n <= g.most_n AND ceil(g.least_n * {percent} / 100) <= q.n"
+    other = "(g.least_c <> q.component OR g.most_c <> q.component)"
+    bounds = materialize(
         between.alias("q")
-        .join(matrix.alias("g"), F.expr("q.token = g.token AND q.component < g.component"))
-        .groupBy("q.id", "q.n", F.col("g.component").alias("component"))
+        .join(matrix.alias("g"), F.expr(f"q.token = g.token AND {sizes} AND {other}"))
+        .groupBy("q.id", "q.n", "g.cell")
         .agg(
             F.count("*").alias("shared"),
             F.min("g.least_n").alias("least_n"),
             F.max("g.most_n").alias("most_n"),
         )
         .filter(f"shared >= {_needed('n', 'least_n', 'most_n', percent)}")
-        .select("id", "component")
+        .select("id", "cell")
     )
-    # written, so that its size is known when it meets the sets
-    opened = materialize(
-        bounds.alias("o")
-        .join(between.alias("q"), F.expr("o.id = q.id"))
-        .join(
-            between.alias("s"),
-            F.expr("q.token = s.token AND o.component = s.component"),
-        )
-        .groupBy(F.col("q.id").alias("a"), F.col("s.id").alias("b"))
-        .agg(F.count("*").alias("shared"), F.first("q.n").alias("n_a"), F.first("s.n").alias("n_b"))
-        .filter(f"shared >= {_needed('n_a', 'n_b', 'n_b', percent)}")
-        .select("a", "b")
+    across = _links_across(bounds, members, sets, percent)
+    return materialize(inside.unionByName(across))
+
+
+def _cell() -> Column:
+    """Row of the matrix: similar sets of about the same size, about ``PART`` at most."""
+    band = F.floor(F.ln(F.col("n").cast("double")) * 10)
+    share = F.pmod(F.xxhash64("id", F.lit(2)), F.ceil(F.col("size") / PART))
+    return F.xxhash64("group", band, share)
+
+
+def _links_across(
+    bounds: DataFrame, members: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """(a, b) for a set and one set of each other component that it links with in a cell.
+
+    The sets that ask a cell come in blocks, each with the cell's own sets.
+    """
+    blocks = bounds.groupBy("cell").agg(F.ceil(F.count("*") / (2 * PART)).cast("int").alias("n_blocks"))
+    asking = bounds.join(blocks, "cell").select(
+        "cell",
+        F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int").alias("block"),
+        F.lit(True).alias("asks"),
+        "id",
     )
-    both = (
-        opened.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-        .withColumn("common", F.size(F.array_intersect("x", "y")))
+    asked = members.join(blocks, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"),
+        F.lit(False).alias("asks"), "id",
+    )
+    rows = (
+        asking.unionByName(asked)
+        .join(members.select("id", "component"), "id")
+        .join(sets.select("id", "n", "tokens"), "id")
+        .repartition("cell", "block")
+        .sortWithinPartitions("cell", "block", "asks", "id")
     )
-    across = both.filter(
-        f"100 * common >= {percent} * (size(x) + size(y) - common)"
-    ).select("a", "b")
-    return materialize(inside.unionByName(across))
+
+    def make(batches):
+        for rows in _groups(batches, ["cell", "block"]):
+            rows = list({(row["asks"], row["id"]): row for row in rows}.values())
+            asks = np.array([row["asks"] for row in rows])
+            if asks.all() or not asks.any():
+                continue
+            common = overlaps([np.array(row["tokens"], np.int64) for row in rows])
+            n = np.array([row["n"] for row in rows], np.int64)
+            kind = np.array([row["component"] for row in rows])
+            linked = 100 * common >= percent * (n[:, None] + n[None, :] - common)
+            linked &= (kind[:, None] != kind[None, :]) & asks[:, None] & ~asks[None, :]
+            found = {(a, kind[b]): b for a, b in zip(*np.nonzero(linked), strict=True)}
+            if found:
+                ends = [(rows[a]["id"], rows[b]["id"]) for (a, _), b in found.items()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a for a, _ in ends]), pa.array([b for _, b in ends])], ["a", "b"]
+                )
+
+    return rows.mapInArrow(make, "a bigint, b bigint")
 
 
 def components(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS) -> DataFrame:
