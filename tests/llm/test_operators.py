@@ -226,6 +226,23 @@ def test_seeds_get_their_neighbours():
     assert int(np.argmax(scores)) == 2 and scores[1] == 0 and scores[0] == 0
 
 
+def test_near_copies_meet_in_one_task(spark):
+    """Pairs of texts that differ in a few words, among many more than a task takes."""
+    dice, rows = np.random.default_rng(7), []
+    for pair in range(400):
+        words = [f"w{n}" for n in dice.integers(0, 30_000, 60)] + ["the", "of"] * 5
+        rows += [(pair, " ".join(words)), (1000 + pair, " ".join([*words[:-3], f"own{pair}"]))]
+    rows += [(5000 + n, "one text of many copies") for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    pieces = packing.pack_documents(docs, task_bytes=10_000).filter("start = 0").collect()
+    task = {piece.doc_id: piece.sequence_id // packing.SEQUENCES_PER_TASK for piece in pieces}
+    assert len(pieces) == len(rows) and len(set(task.values())) > 20
+    assert sum(task[pair] == task[1000 + pair] for pair in range(400)) > 320
+    # copies of one text are not one task's work, and stay together in blocks
+    copies = Counter(task[5000 + n] for n in range(600))
+    assert 2 <= len(copies) <= 3
+
+
 def test_pseudonyms_keep_format_and_turn_back(spark):
     text = (
         "a +1 (888) 555-6841 or 84.27.175.186, 4111 1111 1111 1111 on 2024-02-29 or 31/12/1999 "
