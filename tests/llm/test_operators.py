@@ -266,6 +266,27 @@ def test_invalid_values_stay(spark):
         assert worker.text(text) == (text, {})
 
 
+@pytest.mark.parametrize(
+    ("text", "value", "kind"),
+    [
+        ("card 4111 1111 1111 1111 12/26", "4111 1111 1111 1111", "card"),
+        ("card 4111 1111 1111 1111 123", "4111 1111 1111 1111", "card"),
+        ("no 12 4111 1111 1111 1111 ok", "4111 1111 1111 1111", "card"),
+        ("4111-1111-1111-1111-12", "4111-1111-1111-1111", "card"),
+        ("IBAN AT61 1904 3002 3457 3201 BIC BKAUATWW", "AT61 1904 3002 3457 3201", "iban"),
+        ("at 2024-01-05T10:00:00Z", "2024-01-05", "date"),
+    ],
+)
+def test_values_next_to_other_characters(text, value, kind):
+    new, found = pseudonyms.Pseudonymizer(b"key").text(text)
+    before, after = text.split(value)
+    assert found == {kind: 1} and value not in new
+    assert new.startswith(before) and new.endswith(after) and len(new) == len(text)
+    alone = pseudonyms.Pseudonymizer(b"key").text(value)[0]
+    assert new == before + alone + after
+    assert pseudonyms.Pseudonymizer(b"key", invert=True).text(new)[0] == text
+
+
 def test_feistel_is_a_permutation():
     for size in (1, 2, 10, 26, 1000, 73_049 // 7):
         network = pseudonyms.Feistel(b"key", "test", size)

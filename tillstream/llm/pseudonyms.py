@@ -17,6 +17,12 @@ ones stay different; the key's holder can turn it back.
 | email | name@domain.tld | letters and digits of the name, each within its class |
 | secret | 32, 40 or 64 hexadecimal digits in quotes | all digits |
 
+Of a run of digits or letters that is no value as a whole, shorter parts that end
+at a separator are tried, longest first (an IBAN's length by its country before
+others), so that a value next to other numbers is found. A pseudonym that makes
+up a valid value with the digits after it, one card in ten there, is found again
+as that longer value and does not turn back.
+
 A null text stays null, other texts keep their length unless an IP's numbers
 change theirs. Everything else is left as it is.
 """
@@ -227,35 +233,101 @@ class Pseudonymizer:
             return text, found
 
         def swap(match: re.Match) -> str:
-            kind = match.lastgroup
-            if kind in self.kinds:
-                new = self.replace(kind, match[0])
-                if new is not None:
-                    found[kind] = found.get(kind, 0) + 1
-                    return new
-            return match[0]
+            new = self.replace("email", match[0])
+            found["email"] = found.get("email", 0) + 1
+            return new
 
-        if "@" in text:
+        if "@" in text and "email" in self.kinds:
             text = _EMAIL.sub(swap, text)
         if _DIGIT.search(text):
-            text = _NUMBERS.sub(swap, text)
+            text = self._numbers(text, found)
         return text, found
 
+    def _numbers(self, text: str, found: dict[str, int]) -> str:
+        """The text with all valid values but addresses replaced.
+
+        Where the longest candidate is not valid, shorter ones and other kinds
+        are tried from the same place, then from later ones inside it.
+        """
+        out, done, at = [], 0, 0
+        while match := _NUMBERS.search(text, at):
+            start = match.start()
+            at = start + 1
+            for kind, end in _candidates(text, start):
+                new = self.replace(kind, text[start:end])
+                if new is None:
+                    continue
+                if kind in self.kinds:
+                    out += [text[done:start], new]
+                    found[kind] = found.get(kind, 0) + 1
+                    done = end
+                at = end
+                break
+        out.append(text[done:])
+        return "".join(out)
+
 
 _DIGIT = re.compile("[0-9]")
 _EMAIL = re.compile(r"(?P<email>[^\s@<>|,;:()\"'\[\]{}=]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")
-_NUMBERS = re.compile(
-    r"(?<![\w.@+])(?:"
-    r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
-    r"|(?P<date>(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}))(?![\w/-]|\.[0-9])"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])"
-    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])"
-    r"|(?P<phone>(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-    r"|\+[0-9](?:[ .-]?[0-9]){7,14})(?![\w-])"
-    r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![\w-])"
-    r"|(?P<secret>\"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})\")"
-    r")"
-)
+#: What stands before a value; a number's own digits never do, so that no part of a run is taken.
+_BEFORE = r"(?<![\w.@+])"
+_KINDS = {
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
+    r"(?:(?=[Tt][0-9]{2}(?::?[0-9]{2}|(?![\w])))|(?![\w/-]|\.[0-9]))",
+    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
+    "phone": r"(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+    r"|\+[0-9](?:[ .-]?[0-9]){7,14})(?![\w-])",
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![\w-])",
+    "secret": r"\"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})\"",
+}
+_OF_KIND = {kind: re.compile(pattern) for kind, pattern in _KINDS.items()}
+#: Where a value may begin; a long run of digits counts even if more digits follow.
+_LOOSE = _KINDS | {
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2}",
+    "card": r"[0-9](?:[ -]?[0-9]){12}",
+}
+_NUMBERS = re.compile(f"{_BEFORE}(?:{'|'.join(_LOOSE.values())})")
+_CARD_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}")
+_IBAN_RUN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_WORD = re.compile(r"\w")
+#: Signs of an IBAN by country; the length tried first.
+_IBAN_SIGNS = {
+    country: signs
+    for signs, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK",
+        21: "CH HR LI LV", 22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN",
+        25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY DO HU LB PL", 29: "BR QA UA",
+        30: "JO KW", 31: "MT",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _cuts(text: str, run: re.Match, least: int, most: int) -> list[int]:
+    """Ends within a run, longest first, that leave ``least`` to ``most`` signs and end a word."""
+    ends, signs = [], 0
+    for at in range(run.start(), run.end()):
+        signs += text[at] not in " -"
+        if text[at] not in " -" and least <= signs <= most and not _WORD.match(text, at + 1):
+            ends.append(at + 1)
+    return ends[::-1]
+
+
+def _candidates(text: str, start: int):
+    """(kind, end) of what may be a value at ``start``, in the order of ``_KINDS``."""
+    for kind, pattern in _OF_KIND.items():
+        if kind == "card":
+            if run := _CARD_RUN.match(text, start):
+                yield from (("card", end) for end in _cuts(text, run, 13, 19))
+        elif kind == "iban":
+            if run := _IBAN_RUN.match(text, start):
+                own = _IBAN_SIGNS.get(text[start : start + 2], 0)
+                ends = _cuts(text, run, own, own) if own else []
+                yield from (("iban", end) for end in [*ends, *_cuts(text, run, 15, 34)])
+        elif match := pattern.match(text, start):
+            yield kind, match.end()
 
 
 def pseudonymize(
