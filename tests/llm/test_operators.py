@@ -309,6 +309,20 @@ def test_components_equal_brute_force(spark, documents, texts):
     assert kept == {c for _, c in expected.values()}
 
 
+def test_texts_of_one_id_do_not_meet(spark):
+    """Sets are fetched by id and text: as many rows as sets, not their square."""
+    rows = [(k, f"a common start of the text {n} one two three") for k in (None, 7) for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    signatures = jaccard_groups._signatures(docs).cache()
+    places = signatures.selectExpr("id", "0L AS group", "array(0) AS parts").distinct()
+    sets = jaccard_groups._sets(docs, signatures, places)
+    assert sets.select("id").distinct().count() == sets.count() == 40
+    # rows that the mapInArrow step reads
+    joined = sets._jdf.queryExecution().optimizedPlan().children().head()
+    read = spark._jsparkSession.sessionState().executePlan(joined, sets._jdf.queryExecution().mode())
+    assert read.toRdd().count() == 40
+
+
 @pytest.mark.parametrize("common", [0, 1 << 16])
 def test_components_of_chains_and_large_groups(spark, common, monkeypatch):
     """Chains of near copies, a passage in many documents, sizes at the limit."""

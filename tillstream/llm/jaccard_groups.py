@@ -111,7 +111,7 @@ def prefix_length(n: int, percent: int = 80) -> int:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set keys; and tokens found three times or more in a chunk."""
+    """doc_id, text and set keys, n_shingles; and tokens found three times or more in a chunk."""
 
     def make(batches):
         for batch in chunks(batches):
@@ -124,18 +124,19 @@ def _signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("text_key").cast(pa.string()),
                     pa.array([len(tokens) for tokens in sets], pa.int64()),
                     pa.array([key[0] for key in keys], pa.int64()),
                     pa.array([key[1] for key in keys], pa.int64()),
                     pa.array([tokens[often].view(np.int64), *empty], pa.list_(pa.int64())),
                     pa.array([counts[often], *empty], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "id", "id2", "often", "counts"],
+                ["doc_id", "text_key", "n_shingles", "id", "id2", "often", "counts"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", F.md5("text").alias("text_key")).mapInArrow(
         make,
-        "doc_id bigint, n_shingles bigint, id bigint, id2 bigint, "
+        "doc_id bigint, text_key string, n_shingles bigint, id bigint, id2 bigint, "
         "often array<bigint>, counts array<bigint>",
     )
 
@@ -187,38 +188,35 @@ def _postings(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, signatures: DataFrame, places: DataFrame) -> DataFrame:
-    """The sets of ``places`` (id, group, parts), made anew from one document of each.
+    """The sets of ``places`` (id, group, parts), made anew from one text of each.
 
-    Repeated ids of documents may repeat a set.
+    A text is found by its doc_id and its own key together: rows that only have the
+    doc_id in common, or none, do not meet. Repeated rows may repeat a set.
     """
     chosen = (
-        signatures.select("doc_id", "id")
+        signatures.select("doc_id", "text_key", "id")
         .join(places, "id")
         .groupBy("id")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "text_key")).alias("row"),
             F.first("group").alias("group"),
             F.first("parts").alias("parts"),
         )
     )
-    texts = docs.select("doc_id", "text").alias("d").join(
-        chosen.alias("c"), F.expr("d.doc_id <=> c.doc_id")
+    texts = docs.select("doc_id", "text", F.md5("text").alias("text_key")).alias("d").join(
+        chosen.alias("c"), F.expr("d.doc_id <=> c.row.doc_id AND d.text_key = c.row.text_key")
     ).select("c.id", "c.group", "c.parts", "d.text")
 
     def make(batches):
+        seen: set[int] = set()
         for batch in chunks(batches):
+            once = {key: row for row, key in enumerate(batch.column("id").to_pylist()) if key not in seen}
+            seen.update(once)
+            batch = batch.take(pa.array(once.values(), pa.int64()))
             sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
-            # repeated ids and rows without one may bring other texts along
-            mine = [
-                row
-                for row, (key, own) in enumerate(
-                    zip(batch.column("id").to_pylist(), sets, strict=True)
-                )
-                if _set_key(own)[0] == key
-            ]
-            kept = batch.select(["id", "group", "parts"]).take(pa.array(mine, pa.int64()))
-            tokens = pa.array([sets[row].view(np.int64) for row in mine], pa.list_(pa.int64()))
-            sizes = pa.array([len(sets[row]) for row in mine], pa.int32())
+            kept = batch.select(["id", "group", "parts"])
+            tokens = pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64()))
+            sizes = pa.array([len(own) for own in sets], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, sizes, tokens], ["id", "group", "parts", "n", "tokens"]
             )
