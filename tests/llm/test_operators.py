@@ -309,6 +309,24 @@ def test_components_equal_brute_force(spark, documents, texts):
     assert kept == {c for _, c in expected.values()}
 
 
+def test_one_row_of_each_component_whatever_its_id(spark):
+    """An id on several texts, copies without an id, and rows without words."""
+    plain = [" ".join(f"t{text}w{k}" for k in range(30)) for text in range(5)]
+    rows = [
+        (7, plain[0]), (7, plain[1]), (7, plain[2]),  # one id, three components
+        (3, plain[1] + " end"), (None, plain[0]),  # 3 heads the second one
+        (None, plain[3]), (None, plain[3]), (None, plain[3] + " end"),
+        (9, plain[4]), (9, plain[4]), (2, ""), (2, " "), (None, None), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = Counter((row.doc_id, row.text) for row in jaccard_groups.keep_one(docs).collect())
+    third = min(plain[3], plain[3] + " end", key=lambda text: hashlib.md5(text.encode()).hexdigest())
+    assert kept == Counter(
+        [(7, plain[0]), (3, plain[1] + " end"), (7, plain[2]), (None, third), (9, plain[4]),
+         (2, ""), (2, " "), (None, None), (None, None)]
+    )
+
+
 def test_texts_of_one_id_do_not_meet(spark):
     """Sets are fetched by id and text: as many rows as sets, not their square."""
     rows = [(k, f"a common start of the text {n} one two three") for k in (None, 7) for n in range(40)]

@@ -435,18 +435,23 @@ def _links_across(
     return rows.mapInArrow(make, "a bigint, b bigint")
 
 
-def components(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def _labelled(docs: DataFrame, percent: int, common: int) -> DataFrame:
+    """doc_id, text_key and n_shingles of every row; rows of a component agree in label and alone."""
     signatures = materialize(_signatures(docs))
-    rows = signatures.select("doc_id", "n_shingles", "id", "id2")
+    rows = signatures.select("doc_id", "text_key", "n_shingles", "id", "id2")
     label = connected(link_sets(docs, signatures, percent, common))
     label = label.select(F.col("node").alias("id"), "label")
     # a set that links with no other is its own component
-    rows = (
+    return (
         rows.join(label, "id", "left")
         .withColumn("alone", F.when(F.col("label").isNull(), F.col("id2")))
         .withColumn("label", F.coalesce("label", "id"))
     )
+
+
+def components(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    rows = _labelled(docs, percent, common)
     names = rows.groupBy("label", "alone").agg(F.min("doc_id").alias("component_id"))
     named = rows.alias("r").join(
         names.alias("c"), F.expr("r.label = c.label AND r.alone <=> c.alone")
@@ -455,11 +460,24 @@ def components(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS)
     return named.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id.
+def keep_one(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS) -> DataFrame:
+    """One row of each component: the smallest doc_id, rows without one last, then by text.
 
-    Rows without a doc_id cannot be told apart and stay.
+    Ids need not be unique: a doc_id on texts of several components is kept once
+    for each that it heads. Rows without words link with nothing and all stay.
     """
-    chosen = components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rows = _labelled(docs, percent, common).filter("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_key")
+    # equal texts are in one component, so that a head is told by its id and text
+    heads = (
+        rows.groupBy("label", "alone")
+        .agg(F.min(place).alias("head"))
+        .select(F.col("head.doc_id").alias("doc_id"), F.col("head.text_key").alias("text_key"))
+    )
+    has_words = F.coalesce(F.col("text").rlike("[^ \\x09-\\x0D]"), F.lit(False))
+    keyed = docs.filter(has_words).withColumn("_text_key", F.md5("text"))
+    named = keyed.alias("d").join(
+        heads.alias("h"), F.expr("d.doc_id <=> h.doc_id AND d._text_key = h.text_key"), "left_semi"
+    )
+    kept = named.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    return kept.unionByName(docs.filter(~has_words))
