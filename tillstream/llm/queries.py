@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import (
+    collocations,
     fingerprints,
     jaccard_groups,
     lm_scoring,
+    merkle,
     mixing,
     packing,
     pseudonyms,
     quality_rules,
+    secrets,
     sharding,
     token_blocks,
     toxicity,
 )
 from tillstream.llm.common import documents, materialize
+from tillstream.llm.oracles import COLLOCATIONS, merkle_sql
 from tillstream.session import work_dir
 
 
@@ -90,6 +94,22 @@ def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language with their counts."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and folded root of every document."""
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the secrets in every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return secrets.find_secrets(docs).drop("text")
+
+
 #: Stands for the secret that a deployment passes in.
 PSEUDONYM_KEY = "corpus pseudonyms, key of the tests"
 
@@ -104,9 +124,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_groups": op8_jaccard_groups,
     "op9_threshold_sketches": op9_threshold_sketches,
     "op10_rendezvous_sharding": op10_rendezvous_sharding,
+    "op11_collocations": op11_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": COLLOCATIONS,
+    "op12_merkle_manifest": merkle_sql(),
     "op8_jaccard_groups": r"""
 with recursive words as (
   select doc_id, regexp_extract_all(
