@@ -20,11 +20,15 @@ rows. Texts of any length are hashed where they lie; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tillstream.llm import midstates
 from tillstream.llm.collocations import LOWER, UPPER
@@ -38,9 +42,9 @@ TASK_ROWS = 400_000
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<state: binary, slot: int, siblings: binary>>"
-_PATH = pa.list_(
-    pa.struct([("state", pa.binary()), ("slot", pa.int32()), ("siblings", pa.binary())])
-)
+NODES = ("group", "block", "at", "total", "digest")
+TOPS = "group string, place bigint, total bigint, digest binary"
+PATHS = f"group string, block bigint, path {PATH}"
 
 
 def field(value: Column) -> Column:
@@ -110,135 +114,201 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-class Block:
-    """Some consecutive nodes of a group and the levels above them, with states."""
+class Forest:
+    """Blocks of consecutive nodes, the levels above each, and the states kept there.
 
-    def __init__(self, digests: np.ndarray, total: int):
-        self.nodes, self.states = [digests], []
-        # a block of a larger group goes up all its levels, a lone last node too
-        while len(self.states) < LEVELS and total > 1:
-            total = -(-total // FANOUT)
-            self._climb()
+    ``first`` has the place of each block's first node, and the number of nodes.
+    A block of a larger group goes up all its levels, a lone last node too.
+    """
 
-    def _climb(self) -> None:
-        own = self.nodes[-1]
+    def __init__(self, digests: np.ndarray, first: np.ndarray, totals: np.ndarray):
+        self.digests, self.first, self.levels = [digests], [first], []
+        for _ in range(LEVELS):
+            self._climb(totals > 1)
+            totals = -(-totals // FANOUT)
+
+    def _climb(self, active: np.ndarray) -> None:
+        first, own = self.first[-1], self.digests[-1]
+        counts = np.diff(first)
+        above = np.where(active, -(-counts // FANOUT), counts)
+        new_first = np.concatenate([[0], np.cumsum(above)])
+        of = np.repeat(np.arange(len(counts)), counts)
+        at = np.arange(len(own)) - first[of]
+        moves = active[of]
+        slot = np.where(moves, at % FANOUT, 0)
+        parent = new_first[of] + np.where(moves, at // FANOUT, at)
+        end = np.minimum(np.arange(len(own)) - slot + FANOUT, first[of + 1])
+        kept, states = np.zeros((len(own), 8), np.uint32), midstates.start(new_first[-1])
         blocks = midstates.hex_blocks(own)
-        runs = -(-len(own) // FANOUT)
-        kept, states = np.empty((len(own), 8), np.uint32), midstates.start(runs)
-        for slot in range(min(FANOUT, len(own))):
-            children = np.arange(slot, len(own), FANOUT)
-            kept[children] = states[: len(children)]
-            states[: len(children)] = midstates.update(states[: len(children)], blocks[children])
-        sizes = np.full(runs, FANOUT)
-        sizes[-1] = len(own) - FANOUT * (runs - 1)
-        self.states.append(kept)
-        self.nodes.append(midstates.finish(states, sizes))
+        for step in range(FANOUT):
+            children = np.flatnonzero(moves & (slot == step))
+            if not len(children):
+                break
+            runs = parent[children]
+            kept[children] = states[runs]
+            states[runs] = midstates.update(states[runs], blocks[children])
+        digests = np.empty((new_first[-1], 32), np.uint8)
+        digests[parent[~moves]] = own[~moves]
+        heads = np.flatnonzero(moves & (slot == 0))
+        if len(heads):
+            digests[parent[heads]] = midstates.finish(states[parent[heads]], end[heads] - heads)
+        self.levels.append((moves, slot, parent, end, kept, blocks))
+        self.digests.append(digests)
+        self.first.append(new_first)
 
     @property
-    def top(self) -> bytes:
-        return self.nodes[-1][0].tobytes()
+    def tops(self) -> np.ndarray:
+        """One digest for each block."""
+        return self.digests[-1]
 
     def paths(self) -> list[list[dict]]:
         """For each node: state before its slot, slot and siblings, level by level."""
         found = []
-        for index in range(len(self.nodes[0])):
+        for index in range(len(self.digests[0])):
             path = []
-            for nodes, states in zip(self.nodes, self.states, strict=False):
-                run, slot = divmod(index, FANOUT)
-                near = nodes[run * FANOUT : (run + 1) * FANOUT]
-                rest = np.delete(near, slot, axis=0).tobytes()
-                path.append({"state": states[index].tobytes(), "slot": slot, "siblings": rest})
-                index = run
+            for own, (moves, slot, parent, end, kept, _) in zip(
+                self.digests, self.levels, strict=False
+            ):
+                if moves[index]:
+                    near = own[index - slot[index] : end[index]]
+                    rest = np.delete(near, slot[index], axis=0).tobytes()
+                    state = kept[index].tobytes()
+                    path.append({"state": state, "slot": int(slot[index]), "siblings": rest})
+                index = parent[index]
             found.append(path)
         return found
 
     def fold(self, changed: np.ndarray) -> np.ndarray:
-        """The block's top for each node, with the node's digest in ``changed`` instead."""
-        index, now = np.arange(len(changed)), changed
-        for nodes, states in zip(self.nodes, self.states, strict=False):
-            blocks, slot = midstates.hex_blocks(nodes), index % FANOUT
-            run_end = np.minimum((index // FANOUT + 1) * FANOUT, len(nodes))
-            resumed = midstates.update(states[index], midstates.hex_blocks(now))
-            for step in range(1, FANOUT):
-                rows = np.flatnonzero(index + step < run_end)
-                if len(rows):
-                    resumed[rows] = midstates.update(resumed[rows], blocks[index[rows] + step])
-            now = midstates.finish(resumed, run_end - (index - slot))
-            index = index // FANOUT
+        """The top of its block for each node, with the node's digest in ``changed`` instead."""
+        index, now = np.arange(len(changed)), changed.copy()
+        for moves, slot, parent, end, kept, blocks in self.levels:
+            lanes = np.flatnonzero(moves[index])
+            here = index[lanes]
+            if len(lanes):
+                states = midstates.update(kept[here], midstates.hex_blocks(now[lanes]))
+                for step in range(1, FANOUT):
+                    rows = np.flatnonzero(here + step < end[here])
+                    if not len(rows):
+                        break
+                    states[rows] = midstates.update(states[rows], blocks[here[rows] + step])
+                now[lanes] = midstates.finish(states, end[here] - here + slot[here])
+            index = parent[index]
         return now
 
-    def proofs(self, above: bytes) -> list[str]:
-        """Digest of each node's siblings, those of its ancestors and the text ``above``."""
-        # siblings of the upper nodes are shared by all nodes below them
-        shared = [above]
-        for nodes in self.nodes[len(self.states) - 1 : 0 : -1]:
-            own = _texts(nodes)
+    def proofs(self, above: list[bytes]) -> list[str]:
+        """Digest of each node's siblings, those of its ancestors, and its block's ``above``."""
+        shared = above
+        for own, (moves, slot, parent, end, _, _) in zip(
+            self.digests[-2::-1], self.levels[::-1], strict=True
+        ):
+            text = own.tobytes().hex().encode()
             shared = [
-                _others(own, index) + shared[index // FANOUT] for index in range(len(own))
+                text[64 * (k - slot[k]) : 64 * k] + text[64 * (k + 1) : 64 * end[k]] + shared[parent[k]]
+                if moves[k]
+                else shared[parent[k]]
+                for k in range(len(own))
             ]
-        own = _texts(self.nodes[0])
-        if not self.states:
-            return [hashlib.sha256(above).hexdigest()]
-        return [
-            hashlib.sha256(_others(own, index) + shared[index // FANOUT]).hexdigest()
-            for index in range(len(own))
-        ]
-
-
-def _texts(digests: np.ndarray) -> list[bytes]:
-    text = digests.tobytes().hex().encode()
-    return [text[k : k + 64] for k in range(0, len(text), 64)]
-
+        return [hashlib.sha256(siblings).hexdigest() for siblings in shared]
+
+
+def resume(paths: list[list[dict]], changed: np.ndarray) -> np.ndarray:
+    """The root for each digest in ``changed``, up its path of states and siblings."""
+    now = changed.copy()
+    for level in range(max(map(len, paths), default=0)):
+        lanes = np.array([k for k, path in enumerate(paths) if len(path) > level])
+        steps = [paths[k][level] for k in lanes]
+        kept = np.array([np.frombuffer(step["state"], np.uint32) for step in steps])
+        rights = [step["siblings"][32 * step["slot"] :] for step in steps]
+        counts = np.array([len(right) // 32 for right in rights])
+        padded = b"".join(right.ljust(32 * FANOUT, b"\0") for right in rights)
+        blocks = np.frombuffer(padded, np.uint8).reshape(len(steps), FANOUT, 32)
+        states = midstates.update(kept, midstates.hex_blocks(now[lanes]))
+        for step in range(counts.max()):
+            rows = np.flatnonzero(counts > step)
+            states[rows] = midstates.update(
+                states[rows], midstates.hex_blocks(blocks[rows, step])
+            )
+        sizes = np.array([len(step["siblings"]) // 32 + 1 for step in steps])
+        now[lanes] = midstates.finish(states, sizes)
+    return now
+
+
+#: Nodes that a task works on together.
+TOGETHER = 2 * BLOCK
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole blocks from rows in the order of group and block."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) < TOGETHER:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        starts = _block_starts(table)
+        if starts[-1]:
+            yield table.slice(0, starts[-1])
+        held = table.slice(starts[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if len(table):
+            yield table
+
+
+def _block_starts(table: pa.Table) -> np.ndarray:
+    group, block = table["group"], table["block"]
+    new = pc.or_(
+        pc.not_equal(group.slice(1), group.slice(0, len(group) - 1)),
+        pc.not_equal(block.slice(1), block.slice(0, len(block) - 1)),
+    )
+    return np.concatenate([[0], np.flatnonzero(new.to_numpy()) + 1])
 
-def _others(texts: list[bytes], index: int) -> bytes:
-    run = index - index % FANOUT
-    return b"".join(texts[run:index]) + b"".join(texts[index + 1 : run + FANOUT])
 
+def _forest(nodes: pa.Table) -> Forest:
+    starts = _block_starts(nodes)
+    digests = np.frombuffer(b"".join(nodes["digest"].to_pylist()), np.uint8).reshape(-1, 32)
+    totals = nodes["total"].to_numpy()[starts]
+    return Forest(digests, np.append(starts, len(nodes)), totals)
 
-def resume(path: list[dict], changed: np.ndarray) -> np.ndarray:
-    """The root for each digest in ``changed``, up a path of states and siblings."""
-    for step in path:
-        siblings = np.frombuffer(step["siblings"], np.uint8).reshape(-1, 32)
-        state = np.frombuffer(step["state"], np.uint32)
-        states = np.tile(state, (len(changed), 1))
-        states = midstates.update(states, midstates.hex_blocks(changed))
-        for right in midstates.hex_blocks(siblings[step["slot"] :]):
-            states = midstates.update(states, right[None, :])
-        changed = midstates.finish(states, np.full(len(changed), len(siblings) + 1))
-    return changed
 
+def _in_blocks(nodes: DataFrame, function, schema: str, extra: DataFrame | None = None) -> DataFrame:
+    """``function`` of every few whole blocks; a row of ``extra`` heads its block."""
+    rows = nodes
+    if extra is not None:
+        rows = nodes.unionByName(
+            extra.withColumn("at", F.lit(-1)), allowMissingColumns=True
+        )
+    dealt = rows.repartition("group", "block").sortWithinPartitions("group", "block", "at")
+    out = to_arrow_schema(StructType.fromDDL(schema))
 
-def _digests(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 32)
+    def run(batches):
+        for table in _whole_blocks(batches):
+            yield from pa.table(function(table), schema=out).to_batches()
 
+    return dealt.mapInArrow(run, schema)
 
-def _block(nodes: pa.Table) -> tuple[pa.Table, Block]:
-    nodes = nodes.sort_by("at")
-    return nodes, Block(_digests(nodes["digest"]), nodes["total"][0].as_py())
 
+def _tops(nodes: pa.Table) -> list:
+    heads = nodes.take(_block_starts(nodes))
+    totals = [-(-total // BLOCK) for total in heads["total"].to_pylist()]
+    tops = [top.tobytes() for top in _forest(nodes).tops]
+    return [heads["group"], heads["block"], totals, tops]
 
-_TOP = pa.schema(
-    [("group", pa.string()), ("place", pa.int64()), ("total", pa.int64()), ("digest", pa.binary())]
-)
-_NODE_PATH = pa.schema([("group", pa.string()), ("block", pa.int64()), ("path", _PATH)])
 
+def _split(table: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """Nodes, and the extra row of each block."""
+    is_node = pc.greater_equal(table["at"], 0)
+    return table.filter(is_node).combine_chunks(), table.filter(pc.invert(is_node))
 
-def _tops(nodes: pa.Table) -> pa.Table:
-    nodes, block = _block(nodes)
-    total = -(-nodes["total"][0].as_py() // BLOCK)
-    row = [nodes["group"][0].as_py(), nodes["block"][0].as_py(), total, block.top]
-    return pa.table([[value] for value in row], schema=_TOP)
 
-
-def _node_paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
-    """The path above every node of a block, itself below the path ``above``."""
-    if not nodes.num_rows:
-        return _NODE_PATH.empty_table()
-    nodes, block = _block(nodes)
-    rest = above["path"][0].as_py()
-    places = [nodes["block"][0].as_py() * BLOCK + at for at in nodes["at"].to_pylist()]
-    paths = [own + rest for own in block.paths()]
-    return pa.table([nodes["group"].to_pylist(), places, paths], schema=_NODE_PATH)
+def _node_paths(table: pa.Table) -> list:
+    """The path above every node of the blocks, themselves below paths of their own."""
+    nodes, heads = _split(table)
+    forest, above = _forest(nodes), heads["path"].to_pylist()
+    of = np.repeat(np.arange(len(above)), np.diff(forest.first[0]))
+    places = pc.add(pc.multiply(nodes["block"], BLOCK), pc.cast(nodes["at"], pa.int64()))
+    paths = [own + above[k] for own, k in zip(forest.paths(), of, strict=True)]
+    return [nodes["group"], places, paths]
 
 
 def climb(base: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -246,11 +316,7 @@ def climb(base: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     steps, tops = [base], []
     largest = base.agg(F.max("total")).first()[0] or 0
     while True:
-        found = materialize(
-            steps[-1].select("group", "block", "at", "total", "digest")
-            .groupBy("group", "block")
-            .applyInArrow(_tops, "group string, place bigint, total bigint, digest binary")
-        )
+        found = materialize(_in_blocks(steps[-1].select(*NODES), _tops, TOPS))
         tops.append(found.where("total = 1").select("group", "digest"))
         largest = -(-largest // BLOCK)
         if largest <= 1:
@@ -283,26 +349,10 @@ def descend(steps: list[DataFrame], above: DataFrame) -> DataFrame:
         own = above.join(small, "group").select("group", F.lit(0).cast("long").alias("block"), "path")
         paths = own if paths is None else own.unionByName(paths)
         if k:
-            nodes = steps[k].select("group", "block", "at", "total", "digest")
-            paths = materialize(
-                nodes.groupBy("group", "block")
-                .cogroup(paths.groupBy("group", "block"))
-                .applyInArrow(_node_paths, f"group string, block bigint, path {PATH}")
-            )
+            paths = materialize(_in_blocks(steps[k].select(*NODES), _node_paths, PATHS, paths))
     return paths
 
 
-_RESULT = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("leaf", pa.string()),
-        ("subroot", pa.string()),
-        ("root", pa.string()),
-        ("proof_sha256", pa.string()),
-        ("folded_root", pa.string()),
-        ("verified", pa.bool_()),
-    ]
-)
 RESULT = (
     "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string,"
     " folded_root string, verified boolean"
@@ -310,33 +360,32 @@ RESULT = (
 
 
 def _proved(root: bytes):
-    def prove(nodes: pa.Table, above: pa.Table) -> pa.Table:
-        if not nodes.num_rows:
-            return _RESULT.empty_table()
-        nodes, block = _block(nodes)
-        path = above["path"][0].as_py()
-        subroot = above["subroot"][0].as_py()
+    def prove(table: pa.Table) -> list:
+        nodes, heads = _split(table)
+        forest, paths = _forest(nodes), heads["path"].to_pylist()
+        of = np.repeat(np.arange(len(paths)), np.diff(forest.first[0]))
         kept = nodes["digest"].to_pylist()
         changed = [new or own for new, own in zip(nodes["tampered"].to_pylist(), kept, strict=True)]
-        tops = block.fold(np.frombuffer(b"".join(changed), np.uint8).reshape(-1, 32))
-        # most leaves are unchanged and share one way from here on
-        tops, which = np.unique(tops, axis=0, return_inverse=True)
-        folded = [own.tobytes() for own in resume(path, tops)]
-        folded = [folded[k] for k in which.reshape(-1)]
-        siblings = b"".join(step["siblings"] for step in path).hex().encode()
-        rows = len(kept)
-        return pa.table(
-            [
-                nodes["doc_id"].to_pylist(),
-                [own.hex() for own in kept],
-                [subroot.hex()] * rows,
-                [root.hex()] * rows,
-                block.proofs(siblings),
-                [own.hex() for own in folded],
-                [own == root for own in folded],
-            ],
-            schema=_RESULT,
+        tops = forest.fold(np.frombuffer(b"".join(changed), np.uint8).reshape(-1, 32))
+        # most leaves are unchanged and share one way up from their block's top
+        ways, which = np.unique(
+            np.hstack([of[:, None].astype(">i8").view(np.uint8), tops]), axis=0, return_inverse=True
         )
+        blocks = ways[:, :8].copy().view(">i8")[:, 0]
+        folded = resume([paths[k] for k in blocks], np.ascontiguousarray(ways[:, 8:]))
+        folded = [own.tobytes() for own in folded]
+        folded = [folded[k] for k in which.reshape(-1)]
+        siblings = [b"".join(step["siblings"] for step in path).hex().encode() for path in paths]
+        subroots = [own.hex() for own in heads["subroot"].to_pylist()]
+        return [
+            nodes["doc_id"],
+            [own.hex() for own in kept],
+            [subroots[k] for k in of],
+            [root.hex()] * len(kept),
+            forest.proofs(siblings),
+            [own.hex() for own in folded],
+            [own == root for own in folded],
+        ]
 
     return prove
 
@@ -365,13 +414,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     nothing = F.array().cast(PATH)
     top_path = roots.select("group", nothing.alias("path"))
     over_sources = descend(root_steps, top_path)
-    nodes = root_base.select("group", "block", "at", "total", "digest")
-    source_paths = (
-        nodes.groupBy("group", "block")
-        .cogroup(over_sources.groupBy("group", "block"))
-        .applyInArrow(_node_paths, f"group string, block bigint, path {PATH}")
-        .withColumnRenamed("block", "place")
-    )
+    source_paths = _in_blocks(
+        root_base.select(*NODES), _node_paths, PATHS, over_sources
+    ).withColumnRenamed("block", "place")
     named = root_base.select(
         "source", (F.col("block") * BLOCK + F.col("at")).alias("place")
     ).join(source_paths, "place")
@@ -380,9 +425,4 @@ def manifest(docs: DataFrame) -> DataFrame:
     paths = descend(steps, above).join(
         subroots.select("group", F.col("digest").alias("subroot")), "group"
     )
-    return (
-        base.select("group", "block", "at", "total", "digest", "doc_id", "tampered")
-        .groupBy("group", "block")
-        .cogroup(paths.groupBy("group", "block"))
-        .applyInArrow(_proved(root), RESULT)
-    )
+    return _in_blocks(base.select(*NODES, "doc_id", "tampered"), _proved(root), RESULT, paths)
