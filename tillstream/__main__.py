@@ -22,6 +22,7 @@ from tillstream.session import build_session
 from tillstream.sources import files, kafka
 from tillstream.sources.sinks import FileSink, KafkaSink
 from tillstream.streaming import detection, totals
+from tillstream.streaming.staging import every_second
 from tillstream.streaming.windows import DEFAULT_DELAY_SECONDS
 
 
@@ -71,21 +72,24 @@ def detect(spark, args: argparse.Namespace) -> None:
     lines = _lines(spark, args, from_beginning=False)
     if args.stamp_arrival:
         lines = lines.withColumn("ts", F.current_timestamp())
-    queries = detection.start_detection(
+    job = detection.Detection(
         lines,
         sink,
         args.checkpoint,
         scorers,
-        trigger=_trigger(args),
         dedupe=args.dedupe,
         match_training_filter=args.match_training_filter,
         delay=args.delay,
+        heartbeat=None if args.at_once or args.no_heartbeat else every_second(spark),
     )
-    for query in queries:
-        query.awaitTermination()
-    late = sum(detection.late_rows(query) for query in queries)
+    if args.at_once:
+        job.run()
+    else:
+        for query in job.start(clean=args.clean):
+            query.awaitTermination()
+    late = job.late_lines()
     if late:
-        print(f"{late} window rows of late lines were dropped; a larger --delay keeps them")
+        print(f"{late} lines came too late for their windows; a larger --delay takes them in")
 
 
 def top(spark, args: argparse.Namespace) -> None:
@@ -131,6 +135,12 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument(
         "--stamp-arrival", action="store_true", help="arrival is the time of reading: never late"
     )
+    command.add_argument(
+        "--no-heartbeat", action="store_true", help="counts wait while no lines come"
+    )
+    command.add_argument(
+        "--clean", action="store_true", help="delete staged rows once the windows have read them"
+    )
     _add_source(command)
     command.set_defaults(run=detect)
 

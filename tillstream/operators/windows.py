@@ -163,10 +163,38 @@ def invoice_seconds(purchases: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
+MEASURES = (
+    "price_sum", "price_min", "price_max", "items", "lines", "last_arrival", "first_line",
+)
+
+
+def merge_measures() -> list[Column]:
+    """Aggregates that make one measure of several over different lines."""
+    return [
+        F.sum("price_sum").alias("price_sum"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
+        F.sum("items").alias("items"),
+        F.sum("lines").alias("lines"),
+        F.max("last_arrival").alias("last_arrival"),
+        F.min("first_line").alias("first_line"),
+    ]
+
+
+def merged_seconds(partial: DataFrame) -> DataFrame:
+    """One row per invoice and second from rows that each cover some of its lines."""
+    return partial.groupBy("invoiceNo", "second").agg(*merge_measures())
+
+
 def invoice_windows(
     purchases: DataFrame, span: int = INVOICE_SPAN, ts: str = "ts"
 ) -> DataFrame:
-    """One row per invoice and tick whose window holds lines of the invoice.
+    """One row per invoice and tick whose window holds lines of the invoice."""
+    return windows_of_seconds(invoice_seconds(purchases, ts), span)
+
+
+def windows_of_seconds(seconds: DataFrame, span: int = INVOICE_SPAN) -> DataFrame:
+    """``invoice_windows`` of lines reduced by ``invoice_seconds``.
 
     A window's content only changes when a second enters or leaves it, so the
     aggregates are computed at those change points and then repeated for each
@@ -174,13 +202,10 @@ def invoice_windows(
     """
     second, block = F.col("second"), F.col("block")
     start, end = block * BLOCK_SECONDS, (block + 1) * BLOCK_SECONDS
-    measures = F.struct(
-        "price_sum", "price_min", "price_max", "items", "lines", "last_arrival", "first_line"
-    )
+    measures = F.struct(*MEASURES)
     nothing = F.when(F.lit(False), measures)
     points = (
-        invoice_seconds(purchases, ts)
-        .withColumn("block", F.explode(_blocks_reached(second, span)))
+        seconds.withColumn("block", F.explode(_blocks_reached(second, span)))
         .select(
             "invoiceNo",
             "block",

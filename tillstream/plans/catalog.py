@@ -21,15 +21,16 @@ from tillstream.schema import (
     CANCELLATIONS_TOPIC,
     FEATURE_COLUMNS,
     KMEANS_ANOMALIES_TOPIC,
+    LATE_TOPIC,
     LINE_COLUMNS,
     MALFORMED_TOPIC,
 )
 from tillstream.session import streaming_session, work_dir
 from tillstream.sources import files, tables
-from tillstream.sources.sinks import FileSink
+from tillstream.sources.sinks import TAIL, FileSink
 from tillstream.streaming import detection
 from tillstream.streaming import totals as live_totals
-from tillstream.streaming import windows as live_windows
+from tillstream.streaming.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -389,49 +390,59 @@ def stream_top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.withColumn("total_sales", F.round("total_sales", 2))
 
 
+def _staged(session: SparkSession, sf_dir: str, folder: str) -> Staging:
+    """All purchases staged by a run that has ended."""
+    staging = Staging(f"{folder}/staging")
+    staging.start(_purchase_stream(session, sf_dir), f"{folder}/lines", AT_ONCE).awaitTermination()
+    staging.close(session)
+    return staging
+
+
 def stream_invoice_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows closed by the end of the input."""
+    """Every window: those the stream has closed, and those open at its end."""
     session, folder = streaming_session(spark), work_dir(spark, "windows")
-    sink = FileSink(f"{folder}/sink")
-    invoices = live_windows.invoice_window_stream(_purchase_stream(session, sf_dir))
+    sink, staging = FileSink(f"{folder}/sink"), _staged(session, sf_dir, folder)
+    invoices = staging.invoice_windows(session)
     sink.start(invoices, "windows", f"{folder}/checkpoint", AT_ONCE).awaitTermination()
-    closed = sink.read(spark, "windows")
-    ticks = closed.withColumn("tick", F.unix_seconds("windowEnd")).drop("windowEnd")
+    tail = staging.open_invoice_windows(session)
+    tail = tail.withColumn("windowEnd", F.timestamp_seconds("tick")).drop("tick")
+    sink.write_batch(tail, "windows", TAIL)
+    every = sink.read(spark, "windows")
+    ticks = every.withColumn("tick", F.unix_seconds("windowEnd")).drop("windowEnd")
     return _rounded_windows(ticks)
 
 
 def stream_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trailing counts closed by the end of the input."""
+    """Every trailing count: those the stream has closed, and those open at its end."""
     session, folder = streaming_session(spark), work_dir(spark, "counts")
-    sink = FileSink(f"{folder}/sink")
-    counts = live_windows.trailing_count_stream(_purchase_stream(session, sf_dir))
+    sink, staging = FileSink(f"{folder}/sink"), _staged(session, sf_dir, folder)
+    counts = staging.trailing_counts(session)
+    counts = counts.select(F.unix_seconds("tick").alias("tick"), "n")
     sink.start(counts, "counts", f"{folder}/checkpoint", AT_ONCE).awaitTermination()
-    return sink.read(spark, "counts").select(F.unix_seconds("tick").alias("tick"), "n")
+    sink.write_batch(staging.open_counts(session), "counts", TAIL)
+    return sink.read(spark, "counts")
 
 
 def stream_cancellations_every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same counts with the empty seconds between them."""
+    """The same counts; no second is missing between the first and the last."""
     return windows.with_empty_ticks(stream_cancellations(spark, sf_dir))
 
 
-def stream_detection_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages per feed and key after running all feeds on raw lines."""
+def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything published after running all feeds on raw lines."""
     session, folder = streaming_session(spark), work_dir(spark, "detection")
     sink = FileSink(f"{folder}/feeds")
-    queries = detection.start_detection(
-        tables.raw_purchases(_purchase_stream(session, sf_dir)),
-        sink,
-        f"{folder}/checkpoint",
-        WINDOW_MODELS,
-        AT_ONCE,
-    )
-    for query in queries:
-        query.awaitTermination()
-    topics = [MALFORMED_TOPIC, CANCELLATIONS_TOPIC, *WINDOW_MODELS]
-    feeds = spark.read.schema(detection.FEED_SCHEMA).parquet(
+    lines = tables.raw_purchases(_purchase_stream(session, sf_dir))
+    detection.Detection(lines, sink, f"{folder}/checkpoint", WINDOW_MODELS).run()
+    topics = [MALFORMED_TOPIC, CANCELLATIONS_TOPIC, LATE_TOPIC, *WINDOW_MODELS]
+    return spark.read.schema(detection.FEED_SCHEMA).parquet(
         *[f"{sink.folder(topic)}/batch=*" for topic in topics]
     )
-    return feeds.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def stream_detection_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per feed and key after running all feeds on raw lines."""
+    return _feeds(spark, sf_dir).groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

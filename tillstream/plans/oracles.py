@@ -258,21 +258,18 @@ every_second as (
     on c.sec < t.tick and c.sec >= t.tick - 480
   group by t.tick)
 """
+# Every second from the first line's tick to the last that a line reaches.
 COUNTED = """
 counted as (
-  select sec + i as tick, count(*) filter (where Quantity < 0) as n
-  from purchases cross join (select unnest(generate_series(1, 480)) as i) u
-  group by sec + i),
-closed_counts as (
-  select tick, n from counted
-  where tick <= (select max(sec) - 10 from purchases))
+  select t.tick, count(sec) as n
+  from (select unnest(generate_series((select min(sec) + 1 from purchases),
+                                      (select max(sec) + 480 from purchases))) as tick) t
+  left join (select sec from purchases where Quantity < 0) c
+    on c.sec < t.tick and c.sec >= t.tick - 480
+  group by t.tick)
 """
 
 
-def _closed(source: str) -> str:
-    return f"tick * 1000 <= (select max(us) // 1000 - 10000 from {source})"
-
-
 def _alerts(topic: str) -> str:
     model, threshold = WINDOW_MODELS[topic]
     nearest = _nearest(WINDOW_FEATURE_COLUMNS, model.centers)
@@ -379,15 +376,11 @@ from alerts group by invoiceNo""",
     "stream_customer_totals": f"with {TOTALS} {_round_totals('totals')}",
     "stream_top_sales": _top("sales", "total_sales"),
     "stream_invoice_windows": f"""
-with {_purchases(True)}, {_windows()} {ROUNDED_WINDOWS} where {_closed('purchases')}""",
+with {_purchases(True)}, {_windows()} {ROUNDED_WINDOWS}""",
     "stream_cancellations": f"""
-with {_purchases(True)}, {COUNTED} select tick, n from closed_counts""",
+with {_purchases(True)}, {COUNTED} select tick, n from counted""",
     "stream_cancellations_every_second": f"""
-with {_purchases(True)}, {COUNTED}, ticks as (
-     select unnest(generate_series((select min(tick) from closed_counts),
-                                   (select max(tick) from closed_counts))) as tick)
-select ticks.tick, coalesce(n, 0) as n
-from ticks left join closed_counts on ticks.tick = closed_counts.tick""",
+with {_purchases(True)}, {COUNTED} select tick, n from counted""",
     "stream_detection_feeds": f"""
 with {_purchases(True)}, valid as (select * from purchases where event_id % 50 <> 7),
      {_windows('valid')}, {COUNTED}, alerts as ({ALERTS}),
@@ -395,8 +388,8 @@ with {_purchases(True)}, valid as (select * from purchases where event_id % 50 <
        select '{MALFORMED_TOPIC}' as topic, InvoiceNo as "key" from purchases
        where event_id % 50 = 7
        union all
-       select '{CANCELLATIONS_TOPIC}', cast(n as varchar) from closed_counts
+       select '{CANCELLATIONS_TOPIC}', cast(n as varchar) from counted
        union all
-       select topic, invoiceNo from alerts where {_closed('valid')})
+       select topic, invoiceNo from alerts)
 select topic, "key", count(*) as messages from messages group by topic, "key" """,
 }

@@ -46,3 +46,6 @@ CANCELLATIONS_TOPIC = "cancelaciones"
 MALFORMED_TOPIC = "facturas_erroneas"
 KMEANS_ANOMALIES_TOPIC = "anomalias_kmeans"
 BISECTING_ANOMALIES_TOPIC = "anomalias_bisect_kmeans"
+
+# Lines that came after their windows were closed; this feed is an addition.
+LATE_TOPIC = "late_lines"

@@ -45,12 +45,23 @@ def stream_text(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema=None, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema=None,
+    max_files: int | None = None,
+    clean: bool = False,
 ) -> DataFrame:
-    """A parquet folder or file as a stream; the schema is fixed at the start."""
+    """A parquet folder or file as a stream; the schema is fixed at the start.
+
+    ``clean`` deletes files once they are read, for folders with one reader.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    # folders within are batches, whose names are no columns
+    reader = reader.option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if clean:
+        reader = reader.option("cleanSource", "delete")
     # A plain stream path has to be a folder; a pattern may also name one file.
     folder, name = path.rstrip("/").rsplit("/", 1)
     return reader.parquet(f"{folder}/{{{name}}}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,15 @@ from tillstream.operators.purchases import (
 )
 from tillstream.operators.windows import first_alert_per_invoice
 from tillstream.plans.models import ClusterModel
-from tillstream.schema import CANCELLATIONS_TOPIC, MALFORMED_TOPIC, WINDOW_FEATURE_COLUMNS
-from tillstream.streaming.windows import (
-    DEFAULT_DELAY_SECONDS,
-    invoice_window_stream,
-    trailing_count_stream,
+from tillstream.schema import (
+    CANCELLATIONS_TOPIC,
+    LATE_TOPIC,
+    MALFORMED_TOPIC,
+    WINDOW_FEATURE_COLUMNS,
 )
+from tillstream.sources.sinks import TAIL
+from tillstream.streaming.staging import Staging, with_heartbeat
+from tillstream.streaming.windows import DEFAULT_DELAY_SECONDS
 
 EVERY_SECOND = {"processingTime": "1 second"}
 FEED_SCHEMA = "topic string, key string, value string, batch bigint"
@@ -83,73 +87,130 @@ def unpublished(alerts: DataFrame, published: DataFrame | None) -> DataFrame:
     return first.join(seen, F.col("invoiceNo") == F.col("key"), "left_anti")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the watermark has dropped, over the recent progress of a query."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
+def late_feed(lines: DataFrame) -> DataFrame:
+    """The raw text of late lines, under their own topic."""
+    return lines.select(
+        F.lit(LATE_TOPIC).alias("topic"), F.col("key"), F.col("raw").alias("value")
     )
 
 
-def start_detection(
-    lines: DataFrame,
-    sink,
-    checkpoint: str,
-    models: Mapping[str, tuple[ClusterModel, float]],
-    trigger: dict | None = None,
-    delay: int = DEFAULT_DELAY_SECONDS,
-    dedupe: bool = False,
-    match_training_filter: bool = False,
-    style: str = "record",
-) -> list[StreamingQuery]:
-    """Start one query per kind of feed on raw lines (value, ts and maybe key).
+@dataclass
+class Detection:
+    """All feeds of one stream of raw lines (value, ts and maybe key).
 
     ``models`` maps an anomaly topic to a model and its threshold; all of them
-    score the same windowed invoices. Each query has its own checkpoint folder
-    under ``checkpoint``. ``dedupe`` keeps the first alert per invoice and
-    needs a file sink; ``match_training_filter`` scores only lines of the kind
-    the models were trained on.
+    score the same windowed invoices. Everything the run keeps lies under
+    ``checkpoint``. ``dedupe`` keeps the first alert per invoice and needs a
+    file sink; ``match_training_filter`` scores only lines of the kind the
+    models were trained on. ``heartbeat`` (ts, a stream) moves the windows and
+    counts on while no lines come.
     """
-    trigger = trigger or EVERY_SECOND
-    if dedupe and not hasattr(sink, "folder"):
-        raise ValueError("dedupe looks alerts up in the written feed and needs a file sink")
-    keyed = lines if "key" in lines.columns else with_line_key(lines)
-    purchases = parse_purchases(keyed)
-
-    counted = cancellation_feed(trailing_count_stream(purchases, delay=delay))
-    valid = well_formed(purchases)
-    if match_training_filter:
-        hour = training_hour(F.col("InvoiceDate"))
-        valid = valid.withColumn("Hour", hour).where(rules.is_training_line()).drop("Hour")
-    invoices = invoice_window_stream(valid, delay=delay)
-
-    def publish_anomalies(batch: DataFrame, batch_id: int) -> None:
+
+    lines: DataFrame
+    sink: object
+    checkpoint: str
+    models: Mapping[str, tuple[ClusterModel, float]]
+    delay: int = DEFAULT_DELAY_SECONDS
+    dedupe: bool = False
+    match_training_filter: bool = False
+    style: str = "record"
+    heartbeat: DataFrame | None = None
+
+    def __post_init__(self) -> None:
+        if self.dedupe and not hasattr(self.sink, "folder"):
+            raise ValueError("dedupe looks alerts up in the written feed and needs a file sink")
+        self.staging = Staging(f"{self.checkpoint}/staging", self.delay)
+        self.spark = self.lines.sparkSession
+
+    def start_staging(self, trigger: dict) -> StreamingQuery:
+        """The only query that reads and parses lines; it publishes what needs no state."""
+        lines = self.lines if "key" in self.lines.columns else with_line_key(self.lines)
+        if self.heartbeat is not None:
+            lines = with_heartbeat(lines, self.heartbeat)
+        purchases = parse_purchases(lines.withColumn("raw", F.col("value")))
+        scored = None
+        if self.match_training_filter:
+            purchases = purchases.withColumn("Hour", training_hour(F.col("InvoiceDate")))
+            scored = rules.is_training_line()
+        return self.staging.start(
+            purchases, f"{self.checkpoint}/lines", trigger, self._publish_lines, scored
+        )
+
+    def _publish_lines(self, lines: DataFrame, batch_id: int) -> None:
+        wrong = malformed_feed(lines, self.style)
+        self.sink.write_batch(wrong, MALFORMED_TOPIC, batch_id)
+        self.sink.write_batch(late_feed(lines.where("late")), LATE_TOPIC, batch_id)
+
+    def start_windows(self, trigger: dict, clean: bool = False) -> list[StreamingQuery]:
+        """Counts and anomalies, from the staged rows."""
+        counts = cancellation_feed(self.staging.trailing_counts(self.spark, clean))
+        invoices = self.staging.invoice_windows(self.spark, clean)
+        return [
+            self.sink.start(
+                counts, CANCELLATIONS_TOPIC, f"{self.checkpoint}/{CANCELLATIONS_TOPIC}", trigger
+            ),
+            invoices.writeStream.queryName("anomalies")
+            .option("checkpointLocation", f"{self.checkpoint}/anomalies")
+            .trigger(**trigger)
+            .foreachBatch(self._publish_anomalies)
+            .start(),
+        ]
+
+    def _publish_anomalies(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            for topic, (model, threshold) in models.items():
+            for topic, (model, threshold) in self.models.items():
                 alerts = anomalous_invoices(batch, model, threshold)
-                if dedupe:
-                    published = published_before(spark, sink.folder(topic), batch_id)
+                if self.dedupe:
+                    published = published_before(spark, self.sink.folder(topic), batch_id)
                     alerts = unpublished(alerts, published)
-                sink.write_batch(anomaly_feed(alerts, topic, style), topic, batch_id)
+                self.sink.write_batch(anomaly_feed(alerts, topic, self.style), topic, batch_id)
         finally:
             batch.unpersist()
 
-    return [
-        sink.start(
-            malformed_feed(purchases, style),
-            MALFORMED_TOPIC,
-            f"{checkpoint}/{MALFORMED_TOPIC}",
-            trigger,
-        ),
-        sink.start(
-            counted, CANCELLATIONS_TOPIC, f"{checkpoint}/{CANCELLATIONS_TOPIC}", trigger
-        ),
-        invoices.writeStream.queryName("anomalies")
-        .option("checkpointLocation", f"{checkpoint}/anomalies")
-        .trigger(**trigger)
-        .foreachBatch(publish_anomalies)
-        .start(),
-    ]
+    def start(self, trigger: dict | None = None, clean: bool = False) -> list[StreamingQuery]:
+        """Start everything; windows come out as the watermark closes them.
+
+        A trigger that ends by itself is waited for where others read its rows.
+        """
+        trigger = trigger or EVERY_SECOND
+        staging = self.start_staging(trigger)
+        if "availableNow" in trigger:
+            staging.awaitTermination()
+            self.staging.close(self.spark)
+        return [staging, *self.start_windows(trigger, clean)]
+
+    def run(self) -> None:
+        """Read all there is and publish every window, those still open as well.
+
+        Open windows are a last batch (``TAIL``). A later run withdraws it from a
+        file sink, goes on where the streams stopped and publishes a new one.
+        """
+        topics = [CANCELLATIONS_TOPIC, *self.models]
+        if hasattr(self.sink, "withdraw"):
+            for topic in topics:
+                self.sink.withdraw(self.spark, topic, TAIL)
+        for query in self.start({"availableNow": True}):
+            query.awaitTermination()
+        counts = self.staging.open_counts(self.spark)
+        self.sink.write_batch(cancellation_feed(counts), CANCELLATIONS_TOPIC, TAIL)
+        tail = self.staging.open_invoice_windows(self.spark)
+        tail = tail.withColumn("windowEnd", F.timestamp_seconds("tick")).drop("tick")
+        self._publish_anomalies(tail, TAIL)
+
+    def late_lines(self) -> int:
+        """How many lines went to the late feed so far, all runs included."""
+        return self.staging.facts(self.spark).late
+
+
+def start_detection(
+    lines: DataFrame,
+    sink,
+    checkpoint: str,
+    models: Mapping[str, tuple[ClusterModel, float]],
+    trigger: dict | None = None,
+    **options,
+) -> list[StreamingQuery]:
+    """Start all feeds on raw lines; see ``Detection`` for the options."""
+    return Detection(lines, sink, checkpoint, models, **options).start(trigger)

@@ -6,16 +6,43 @@ may arrive; later ones are dropped and state older than that is released.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import rules
 from tillstream.functions.timeparts import streaming_hour
-from tillstream.operators.windows import CANCELLATION_SPAN, INVOICE_SPAN
+from tillstream.operators.windows import (
+    CANCELLATION_SPAN,
+    INVOICE_SPAN,
+    MEASURES,
+    merge_measures,
+)
 
 DEFAULT_DELAY_SECONDS = 10
 
 
+def _windows(panes: DataFrame, time: Column, span: int) -> DataFrame:
+    """Sliding windows over panes of an invoice; a window without lines gives no row."""
+    return (
+        panes.groupBy(F.window(time, f"{span} seconds", "1 second").alias("window"), "invoiceNo")
+        .agg(*merge_measures())
+        # an aggregate's value: the filter stays above the state
+        .where("lines > 0")
+        .select(
+            "invoiceNo",
+            F.col("window.end").alias("windowEnd"),
+            (F.col("price_sum") / F.col("lines")).alias("avgUnitPrice"),
+            F.col("price_min").alias("minUnitPrice"),
+            F.col("price_max").alias("maxUnitPrice"),
+            F.col("first_line.time").alias("time"),
+            F.col("items").cast("double").alias("numberItems"),
+            F.timestamp_micros("last_arrival").alias("lastUpdated"),
+            F.col("lines").cast("int").alias("lines"),
+            F.col("first_line.CustomerID").alias("customerId"),
+        )
+    )
+
+
 def invoice_window_stream(
     purchases: DataFrame,
     span: int = INVOICE_SPAN,
@@ -23,35 +50,40 @@ def invoice_window_stream(
 ) -> DataFrame:
     """One row per invoice and window that slides by a second.
 
-    Every window is aggregated from its own lines. A window without lines
-    gives no row.
+    Two aggregations in a chain: lines become panes of a second, and closed
+    panes, not lines, are spread over the windows they lie in.
     """
-    return (
+    arrival = F.unix_micros("ts")
+    panes = (
         purchases.withColumn("time", streaming_hour(F.col("InvoiceDate")))
         .withWatermark("ts", f"{delay} seconds")
-        .groupBy(F.window("ts", f"{span} seconds", "1 second").alias("window"), "InvoiceNo")
+        .groupBy(F.window("ts", "1 second").alias("pane"), F.col("InvoiceNo").alias("invoiceNo"))
         .agg(
-            F.avg("UnitPrice").alias("avgUnitPrice"),
-            F.min("UnitPrice").alias("minUnitPrice"),
-            F.max("UnitPrice").alias("maxUnitPrice"),
-            F.min(F.struct("ts", "CustomerID", "time")).alias("first_line"),
-            F.sum("Quantity").cast("double").alias("numberItems"),
-            F.max("ts").alias("lastUpdated"),
-            F.count(F.lit(1)).cast("int").alias("lines"),
-        )
-        .select(
-            F.col("InvoiceNo").alias("invoiceNo"),
-            F.col("window.end").alias("windowEnd"),
-            "avgUnitPrice",
-            "minUnitPrice",
-            "maxUnitPrice",
-            F.col("first_line.time").alias("time"),
-            "numberItems",
-            "lastUpdated",
-            "lines",
-            F.col("first_line.CustomerID").alias("customerId"),
+            F.sum("UnitPrice").alias("price_sum"),
+            F.min("UnitPrice").alias("price_min"),
+            F.max("UnitPrice").alias("price_max"),
+            F.sum("Quantity").alias("items"),
+            F.count(F.lit(1)).alias("lines"),
+            F.max(arrival).alias("last_arrival"),
+            F.min(F.struct(arrival.alias("arrival"), "CustomerID", "time")).alias("first_line"),
         )
     )
+    return _windows(panes, F.col("pane"), span)
+
+
+def windows_of_panes(
+    panes: DataFrame, clock: DataFrame, span: int = INVOICE_SPAN
+) -> DataFrame:
+    """The same windows from a stream of panes that someone else has written.
+
+    ``clock`` (ts) is the only watermark: no pane comes that ended by its newest
+    time. Its rows form a group without an invoice, which has no lines.
+    """
+    columns = ["ts", "invoiceNo", *MEASURES]
+    timed = panes.withColumn("ts", F.timestamp_seconds("second")).select(columns)
+    nothing = [F.lit(None).cast(timed.schema[c].dataType).alias(c) for c in columns[1:]]
+    beats = clock.withWatermark("ts", "0 seconds").select("ts", *nothing)
+    return _windows(beats.unionByName(timed), F.col("ts"), span)
 
 
 def trailing_count_stream(
@@ -63,21 +95,28 @@ def trailing_count_stream(
 
     Every line moves the watermark, cancelled or not, so the counts go on and
     fall back to 0 when cancellations stop.
-
-    Each line reaches the ``span`` ticks that follow it. This stays in
-    generated code, which a window of hundreds of overlaps does not, and the
-    ticks of a batch are pre-counted before the shuffle. The watermark is on
-    the tick, so it runs ``span`` seconds ahead of the lines.
     """
-    second = F.date_trunc("second", F.col("ts"))
-    ticks = F.sequence(
-        second + F.expr("interval 1 second"),
-        second + F.expr(f"interval {span} seconds"),
-        F.expr("interval 1 second"),
+    lines = purchases.select(
+        F.unix_seconds("ts").alias("second"), rules.is_cancellation().cast("bigint").alias("n")
     )
+    return trailing_counts_of_seconds(lines, span, delay)
+
+
+def trailing_counts_of_seconds(
+    seconds: DataFrame, span: int = CANCELLATION_SPAN, delay: int = DEFAULT_DELAY_SECONDS
+) -> DataFrame:
+    """(tick, n) from rows of (second, n), a tick for each second that some row reaches.
+
+    Each row reaches the ``span`` ticks that follow it. This stays in generated
+    code, which a window of hundreds of overlaps does not, and the ticks of a
+    batch are summed before the shuffle. The watermark is on the tick, so it
+    runs ``span`` seconds ahead of the rows.
+    """
+    ticks = F.sequence(F.col("second") + 1, F.col("second") + span)
     return (
-        purchases.select(rules.is_cancellation().alias("counts"), F.explode(ticks).alias("tick"))
+        seconds.select("n", F.explode(ticks).alias("tick"))
+        .withColumn("tick", F.timestamp_seconds("tick"))
         .withWatermark("tick", f"{span + delay} seconds")
         .groupBy("tick")
-        .agg(F.count_if("counts").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
