@@ -127,7 +127,7 @@ def test_totals_store_and_restart(spark, session, tmp_path, rows):
         ).awaitTermination()
     expected = rows(customer_totals(purchases.split_fields(spark.read.parquet(folder))))
     assert rows(store.read(spark)) == expected
-    assert len(list((tmp_path / "log").glob("batch=*"))) >= 4
+    assert len(list((tmp_path / "log" / "changes").glob("slot=*"))) >= 4
     compacted = store.compact(spark, str(tmp_path / "compact"))
     assert rows(compacted.read(spark)) == expected
 

@@ -372,22 +372,25 @@ def stream_customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_totals(store.read(spark))
 
 
-def stream_top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The answer given at the last trigger."""
+def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both answers, asked of the state of a totals query."""
     session, folder = streaming_session(spark), work_dir(spark, "answers")
+    store = live_totals.TotalsStore(f"{folder}/log")
+    checkpoint = f"{folder}/checkpoint"
+    live_totals.start_totals(
+        _line_stream(session, sf_dir), store, checkpoint, AT_ONCE
+    ).awaitTermination()
+    return live_totals.top_customers(session, checkpoint, COUNTRIES)
 
-    def publish(sales: DataFrame, cancellations: DataFrame, batch_id: int) -> None:
-        sales.write.mode("overwrite").parquet(f"{folder}/answers")
 
-    live_totals.start_top_customers(
-        _line_stream(session, sf_dir),
-        COUNTRIES,
-        f"{folder}/checkpoint",
-        publish,
-        trigger=AT_ONCE,
-    ).awaitTermination()
-    answers = spark.read.parquet(f"{folder}/answers")
-    return answers.withColumn("total_sales", F.round("total_sales", 2))
+def stream_top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales, _ = _asked(spark, sf_dir)
+    return sales.withColumn("total_sales", F.round("total_sales", 2))
+
+
+def stream_top_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, cancellations = _asked(spark, sf_dir)
+    return cancellations.withColumn("total_cancellations", F.round("total_cancellations", 2))
 
 
 def _staged(session: SparkSession, sf_dir: str, folder: str) -> Staging:
@@ -496,6 +499,7 @@ QUERIES: dict[str, Query] = {
         bisecting_train_score,
         stream_customer_totals,
         stream_top_sales,
+        stream_top_cancellations,
         stream_invoice_windows,
         stream_cancellations,
         stream_cancellations_every_second,

@@ -375,6 +375,7 @@ select invoiceNo, min(tick) as tick, round(arg_min(distance, tick), 6) as distan
 from alerts group by invoiceNo""",
     "stream_customer_totals": f"with {TOTALS} {_round_totals('totals')}",
     "stream_top_sales": _top("sales", "total_sales"),
+    "stream_top_cancellations": _top("cancellations", "total_cancellations"),
     "stream_invoice_windows": f"""
 with {_purchases(True)}, {_windows()} {ROUNDED_WINDOWS}""",
     "stream_cancellations": f"""
