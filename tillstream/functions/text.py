@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillstream.schema import LINE_COLUMNS
+from tillstream.schema import LINE_COLUMNS, LINE_SCHEMA
 
 # Stands for a separating comma; a line that holds it itself is escaped first.
 _CUT, _ESCAPE = "\x00", "\x01"
+# Text without commas but for those within quotes, and the comma behind it, each
+# right after the one before. Nothing matched is given back: a line is read once.
+_UP_TO_COMMA = '\\G([^",]*+(?:"[^"]*+"[^",]*+)*+),'
 # The CSV parser fails the query beyond so many columns.
 _PARSER_COLUMNS = 20_480
 
@@ -38,8 +41,22 @@ def csv_record(line: Column) -> Column:
 
 def is_wide(line: Column) -> Column:
     """Whether the CSV parser could meet more columns than it can hold."""
-    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return F.coalesce(commas >= _PARSER_COLUMNS - 1, F.lit(False))
+    least = _PARSER_COLUMNS - 1
+    # most lines are too short for that many commas, and need no count
+    return F.coalesce((F.length(line) >= least) & (_count(line, ",") >= least), F.lit(False))
+
+
+def _count(line: Column, sign: str) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(sign), F.lit("")))
+
+
+def wide_fields(line: Column) -> Column:
+    """The eight fields of a line that is too wide for the parser, as typed as a line's."""
+    record = _wide_record(line)
+    typed = {field.name: field.dataType for field in LINE_SCHEMA}
+    return F.struct(
+        *[record.getField(name).try_cast(typed[name]).alias(name) for name in LINE_COLUMNS]
+    )
 
 
 def _wide_record(line: Column) -> Column:
@@ -80,13 +97,20 @@ def split_outside_quotes(line: Column) -> Column:
     commas of every other piece counted from the end are marked, and the line
     is cut at the marks: one pass for each step, whatever the line holds.
     """
+    plain = ~F.contains(line, F.lit(_CUT))
     return (
         F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1))
-        .when(~F.contains(line, F.lit(_CUT)), _cut(line))
+        .when(plain & (_count(line, '"') % 2 == 0), _cut_balanced(line))
+        .when(plain, _cut(line))
         .otherwise(F.transform(_cut(_escaped(line)), _unescaped))
     )
 
 
+def _cut_balanced(line: Column) -> Column:
+    """With pairs of quotes, a comma ends what lies before it if that is whole pairs."""
+    return F.split(F.regexp_replace(line, _UP_TO_COMMA, "$1" + _CUT), _CUT, -1)
+
+
 def _cut(line: Column) -> Column:
     marked = F.transform(
         F.array(F.split(line, '"', -1)),

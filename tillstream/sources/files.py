@@ -18,13 +18,16 @@ def read_invoice_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headered invoice CSV with fixed types and the hour added.
 
     Lines that name the columns are headers. A number that does not parse is
-    read as NULL and fails the training rule, and so does a line that is too
-    wide for the parser: all its fields are NULL.
+    read as NULL and fails the training rule. Fields beyond the eighth are left
+    out, however many there are.
     """
     text_lines = spark.read.text(path)
     is_header = F.lower(F.replace("value", F.lit('"'), F.lit(""))) == _HEADER
     rows = text_lines.where(~is_header & (F.trim("value") != ""))
-    record = F.when(~text.is_wide(F.col("value")), F.from_csv("value", _LINE_DDL, _CSV_OPTIONS))
+    line = F.col("value")
+    record = F.when(text.is_wide(line), text.wide_fields(line)).otherwise(
+        F.from_csv(line, _LINE_DDL, _CSV_OPTIONS)
+    )
     # As a generator the parser runs once per line.
     lines = rows.select(F.explode(F.array(record)).alias("line")).select(
         *[F.col(f"line.{name}").alias(name) for name in LINE_COLUMNS]
