@@ -3,12 +3,13 @@
 Every word opens a window: the word and the ones that follow it in its piece,
 side by side in lead columns and padded with nulls. Only windows are counted.
 The count of a shorter phrase is the sum over the windows that begin with it,
-so a ROLLUP of the counted windows gives all lengths at once.
+so one ROLLUP of the windows gives all lengths at once.
 
-Two such passes: windows of two words give the word totals, the words and the
-pairs. Every pair inside a frequent phrase is frequent, so windows of five words
-are counted only where the first two pairs are; those give lengths three to
-five. Both are exact: what the second pass leaves out has too small a count.
+A first pass, over windows of two words, counts the words and, by a number for
+each, the pairs. Every pair inside a frequent phrase is frequent, so the longest
+windows are cut where a pair is not, and counted from their first pair on. That
+is exact: what is left out has too small a count, and pairs that share a number
+are told apart when the windows are counted by their words.
 
 A null text is empty and a null language ``und``. Rows count as often as they
 stand in the table, whatever their ids; other columns are ignored. A text of any
@@ -18,7 +19,7 @@ by count, then by the phrase's bytes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import materialize
@@ -28,6 +29,9 @@ LEAST_COUNT = 100
 TOP = 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PIECE_ENDS, GAPS = "[.,;:!?\\x0A-\\x0D]", "[ \\t]+"
+#: Frequent pairs are told apart by so many numbers. Where pairs share one, windows
+#: are counted in vain, and nothing else changes.
+PAIR_BUCKETS = 1 << 20
 #: Rows of a language that reach one task before the last ranking: ``TOP`` of each.
 RANK_BUCKETS = 64
 
@@ -62,9 +66,9 @@ def marginals(windows: DataFrame, order: int) -> DataFrame:
     Size 0 is the number of windows of a language.
     """
     names = _columns(order)
-    counted = windows.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f"))
-    rolled = counted.rollup("lang", *names).agg(
-        F.sum("f").alias("f"), F.grouping_id().alias("level")
+    # tasks add up their windows and all prefixes before the one shuffle
+    rolled = windows.rollup("lang", *names).agg(
+        F.count(F.lit(1)).alias("f"), F.grouping_id().alias("level")
     )
     # level 2^k - 1: the last k columns are summed over
     size = F.lit(order) - F.log2(F.col("level") + 1).cast("int")
@@ -74,10 +78,49 @@ def marginals(windows: DataFrame, order: int) -> DataFrame:
     return rolled.where((F.col("size") == 0) | F.when(F.col("size") > 0, last).isNotNull())
 
 
-def _phrases(rows: DataFrame, order: int, least: int) -> DataFrame:
-    return rows.where(F.col("f") >= least).select(
-        "lang", "size", F.concat_ws(" ", *_columns(order)).alias("phrase"), "f"
+def _pair(first: str, second: str) -> Column:
+    """A number for two words; null where the second is padding."""
+    return F.when(F.col(second).isNotNull(), F.xxhash64("lang", first, second))
+
+
+def word_and_pair_counts(cut: DataFrame, least: int) -> DataFrame:
+    """The written counts of languages, of frequent words, and of frequent pair numbers.
+
+    lang, w1, pair and f: only ``lang`` is set for a total, only ``pair`` for a pair.
+    """
+    counts = (
+        lead_windows(cut, 2)
+        .select("lang", "w1", _pair("w1", "w2").alias("pair"))
+        .groupingSets([["lang"], ["lang", "w1"], ["pair"]], "lang", "w1", "pair")
+        .agg(F.count(F.lit(1)).alias("f"), F.grouping_id().alias("level"))
     )
+    # the bits of a level are the columns that are summed over
+    totals = F.col("level") == 0b011
+    frequent = (F.col("f") >= least) & ((F.col("level") == 0b001) | F.col("pair").isNotNull())
+    return materialize(counts.where(totals | frequent).drop("level"))
+
+
+def chains(windows: DataFrame, order: int, pairs: DataFrame) -> DataFrame:
+    """Windows as far as every pair in them has one of the numbers in ``pairs``.
+
+    Others cannot be frequent. The numbers are brought down to ``PAIR_BUCKETS``
+    and broadcast.
+    """
+    buckets = pairs.select(_bucket(F.col("pair")).alias("bucket")).distinct()
+    names = _columns(order)
+    kept = windows.withColumn("bucket", _bucket(_pair("w1", "w2")))
+    kept = kept.join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    for before, name in zip(names[1:], names[2:], strict=False):
+        known = buckets.select("bucket", F.lit(True).alias("known"))
+        kept = kept.withColumn("bucket", _bucket(_pair(before, name)))
+        kept = kept.join(F.broadcast(known), "bucket", "left").drop("bucket")
+        # a window that has ended stays so: its pairs are null from there on
+        kept = kept.withColumn(name, F.when(F.col("known"), F.col(name))).drop("known")
+    return kept.select("lang", *names)
+
+
+def _bucket(pair: Column) -> Column:
+    return F.pmod(pair, F.lit(PAIR_BUCKETS))
 
 
 def frequent_phrases(
@@ -88,25 +131,15 @@ def frequent_phrases(
     Both are written tables.
     """
     cut = pieces(docs)
-    short = materialize(
-        marginals(lead_windows(cut, 2), 2).where((F.col("size") == 0) | (F.col("f") >= least))
+    short = word_and_pair_counts(cut, least)
+    totals = short.where("lang IS NOT NULL AND w1 IS NULL").select("lang", F.col("f").alias("n"))
+    words = short.where("w1 IS NOT NULL").select(
+        "lang", F.lit(1).alias("size"), F.col("w1").alias("phrase"), "f"
     )
-    totals = short.where("size = 0").select("lang", F.col("f").alias("n"))
-    found = _phrases(short.where("size > 0"), 2, least)
-    if longest > 2:
-        pairs = short.where("size = 2")
-        first = pairs.select("lang", "w1", "w2")
-        second = pairs.select("lang", F.col("w1").alias("w2"), F.col("w2").alias("w3"))
-        # the session's size limit decides whether the pairs are broadcast
-        windows = (
-            lead_windows(cut, longest)
-            .where("w3 IS NOT NULL")
-            .join(first, ["lang", "w1", "w2"], "left_semi")
-            .join(second, ["lang", "w2", "w3"], "left_semi")
-        )
-        long = marginals(windows, longest).where("size >= 3")
-        found = found.unionByName(_phrases(long, longest, least))
-    return totals, materialize(found)
+    windows = chains(lead_windows(cut, longest), longest, short.where("pair IS NOT NULL"))
+    longer = marginals(windows, longest).where((F.col("size") >= 2) & (F.col("f") >= least))
+    phrases = longer.select("lang", "size", F.concat_ws(" ", *_columns(longest)).alias("phrase"), "f")
+    return totals, materialize(words.unionByName(phrases))
 
 
 def scored(totals: DataFrame, phrases: DataFrame) -> DataFrame:
