@@ -1,6 +1,7 @@
 """Features, clustering, elbow, threshold, saving and loading."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,16 @@ def test_training_job(spark, tmp_path):
     distances = sorted((row.distance for row in scored.collect()), reverse=True)
     assert math.isclose(threshold, distances[9], rel_tol=1e-9)
     assert scored.where(F.col("distance") == threshold).count() >= 1
+
+
+@pytest.mark.parametrize("family", [KMEANS, BISECTING_KMEANS])
+def test_one_scan_costs_every_model(spark, family):
+    """The same costs as one model at a time, whatever way a family assigns rows."""
+    dice = random.Random(3)
+    rows = [tuple(dice.gauss(10 * (i % 4), 2.0) for _ in FEATURE_COLUMNS) for i in range(300)]
+    vectors = features.assemble(spark.createDataFrame(rows, FEATURE_COLUMNS)).cache()
+    fitted = [models.fit(vectors, family, k, 1) for k in (2, 3, 5)]
+    together = models.costs(vectors, fitted)
+    alone = [clusters.clustering_cost(model.score(vectors)).first().cost for model in fitted]
+    assert together == pytest.approx(alone)
+    assert models.costs(vectors, []) == []

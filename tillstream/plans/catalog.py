@@ -323,16 +323,47 @@ def first_anomaly_per_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("invoiceNo", "tick", F.round("distance", 6).alias("distance"))
 
 
+def _saved_and_loaded(
+    spark: SparkSession, model: ClusterModel, threshold: float
+) -> tuple[ClusterModel, float]:
+    folder = work_dir(spark, "model")
+    models.save_model(spark, model, f"{folder}/model")
+    models.save_threshold(spark, threshold, f"{folder}/threshold")
+    return models.load_model_and_threshold(spark, f"{folder}/model", f"{folder}/threshold")
+
+
+def _judged(rows: DataFrame, limit: float, digits: int) -> DataFrame:
+    return rows.select(
+        "InvoiceNo",
+        "prediction",
+        F.round("distance", digits).alias("distance"),
+        (F.col("distance") > limit).alias("is_anomaly"),
+        (F.col("distance") >= limit).alias("is_ranked"),
+    )
+
+
+def reloaded_single_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job up to k = 1, whose model is the mean: saved, loaded and applied."""
+    lines = tables.lines(spark, sf_dir, FEATURE_INPUT)
+    outcome, threshold, scored = training.train(lines, KMEANS, max_k=1)
+    model, limit = _saved_and_loaded(spark, outcome.model, threshold)
+    return _judged(model.score(scored.drop("prediction", "distance")), limit, 2)
+
+
+def reloaded_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored centroids and their threshold, loaded and applied to every invoice."""
+    rows = _features(spark, sf_dir)
+    centers = ClusterModel(BISECTING_KMEANS, [list(center) for center in SCORING_CENTERS])
+    threshold = clusters.distance_threshold(centers.score(rows)).first().threshold
+    model, limit = _saved_and_loaded(spark, centers, threshold)
+    return _judged(model.score(rows), limit, 6)
+
+
 def _train_and_score(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     """Train, save, load again and score the training invoices."""
     lines = tables.lines(spark, sf_dir, FEATURE_INPUT)
     outcome, threshold, scored = training.train(lines, family)
-    folder = work_dir(spark, "model")
-    models.save_model(spark, outcome.model, f"{folder}/model")
-    models.save_threshold(spark, threshold, f"{folder}/threshold")
-    model, limit = models.load_model_and_threshold(
-        spark, f"{folder}/model", f"{folder}/threshold"
-    )
+    model, limit = _saved_and_loaded(spark, outcome.model, threshold)
     rows = model.score(scored.drop("prediction", "distance"))
     return rows.select(
         "InvoiceNo",
@@ -495,6 +526,8 @@ QUERIES: dict[str, Query] = {
         elbow_choice,
         window_anomalies,
         first_anomaly_per_invoice,
+        reloaded_single_model,
+        reloaded_centers,
         kmeans_train_score,
         bisecting_train_score,
         stream_customer_totals,

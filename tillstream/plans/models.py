@@ -14,6 +14,7 @@ from pyspark.ml.clustering import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.functions.distance import assigned_distance
 from tillstream.operators.clusters import score_literal, with_assigned_distance
 from tillstream.operators.features import assemble
 from tillstream.schema import FEATURE_COLUMNS
@@ -66,6 +67,23 @@ def fit(vectors: DataFrame, family: str, k: int, seed: int) -> ClusterModel:
     return ClusterModel(family, [c.tolist() for c in fitted.clusterCenters()], fitted)
 
 
+def costs(vectors: DataFrame, fitted: Sequence[ClusterModel]) -> list[float]:
+    """Each model's sum of squared distances to the assigned centroids, in one scan.
+
+    Every model adds its own assignment to the rows, and one aggregate sums them all.
+    """
+    rows = vectors
+    for place, model in enumerate(fitted):
+        # a copy of the model, so that its own column name stays
+        rows = model.fitted.copy({model.fitted.predictionCol: f"p{place}"}).transform(rows)
+    features = [F.col(name).cast("double") for name in FEATURE_COLUMNS]
+    sums = [
+        F.sum(assigned_distance(features, model.centers, F.col(f"p{place}"))).alias(f"c{place}")
+        for place, model in enumerate(fitted)
+    ]
+    return list(rows.agg(*sums).first()) if sums else []
+
+
 def save_model(spark: SparkSession, model: ClusterModel, path: str) -> None:
     """Replace the model folder; plain centroids are stored as a small table."""
     if model.fitted is not None:

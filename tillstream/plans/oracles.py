@@ -197,6 +197,25 @@ threshold as (
   from (select distance from scored order by distance desc limit 2000) furthest)
 """
 )
+JUDGED = """
+select InvoiceNo, prediction, round(distance, DIGITS) as distance,
+       distance > (select threshold from threshold) as is_anomaly,
+       distance >= (select threshold from threshold) as is_ranked
+from scored"""
+# The one centroid of k = 1 is the mean.
+SINGLE = (
+    FEATURES
+    + f""",
+means as (select {', '.join(f'avg({n}) as m_{n}' for n in FEATURE_COLUMNS)} from features),
+scored as (
+  select InvoiceNo, cast(0 as int) as prediction,
+         {' + '.join(f'pow({n} - m_{n}, 2)' for n in FEATURE_COLUMNS)} as distance
+  from features cross join means),
+threshold as (
+  select min(distance) as threshold
+  from (select distance from scored order by distance desc limit 2000) furthest)
+"""
+)
 COSTS = FEATURES + ", costs as (" + " union all ".join(
     f"select {k} as k, sum({_nearest(FEATURE_COLUMNS, FIXED_CENTERS[:k])}) as cost from features"
     for k in range(1, len(FIXED_CENTERS) + 1)
@@ -355,6 +374,8 @@ with {SCORED} select InvoiceNo, prediction, round(distance, 6) as distance from
     "anomalies_fixed_centers": f"""
 with {SCORED} select InvoiceNo, prediction, round(distance, 6) as distance from scored
 where distance > (select threshold from threshold)""",
+    "reloaded_single_model": f"with {SINGLE} {JUDGED.replace('DIGITS', '2')}",
+    "reloaded_centers": f"with {SCORED} {JUDGED.replace('DIGITS', '6')}",
     "single_cluster_baseline": f"""
 with {FEATURES}, means as (select {', '.join(f'avg({n}) as m_{n}' for n in FEATURE_COLUMNS)}
      from features)

@@ -49,7 +49,8 @@ def sweep(
 ) -> Sweep:
     """Fit k = 1, 2, ... ``max_k`` and choose the model at the elbow.
 
-    Models are fitted a few at a time. ``early_stop`` ends the sweep at the
+    Models are fitted a few at a time, and one scan costs all that are fitted.
+    ``early_stop`` costs them a few at a time too, and ends the sweep at the
     first k that qualifies: the choice is the same, the curve is shorter.
     ``offset=1`` picks the model after the elbow. Without an elbow the answer
     is k = 1.
@@ -59,19 +60,18 @@ def sweep(
     fitted, costs = [first], [cost]
 
     @inheritable_thread_target(vectors.sparkSession)
-    def fit_one(k: int) -> tuple[ClusterModel, float]:
-        model = models.fit(vectors, family, k, seed)
-        return model, clusters.clustering_cost(model.score(vectors)).first().cost
+    def fit_one(k: int) -> ClusterModel:
+        return models.fit(vectors, family, k, seed)
 
     elbow = None
     with ThreadPoolExecutor(parallel) as pool:
         while len(costs) < max_k and not (
             early_stop and elbow is not None and len(costs) >= elbow + offset
         ):
-            wave = range(len(costs) + 1, min(len(costs) + parallel, max_k) + 1)
-            for model, cost in pool.map(fit_one, wave):
-                fitted.append(model)
-                costs.append(cost)
+            most = len(costs) + parallel if early_stop else max_k
+            wave = list(pool.map(fit_one, range(len(costs) + 1, min(most, max_k) + 1)))
+            fitted += wave
+            costs += models.costs(vectors, wave)
             elbow = clusters.elbow_from_costs(costs, ratio)
     chosen = 1 if elbow is None else min(elbow + offset, max_k)
     return Sweep(fitted[chosen - 1], elbow, costs, fitted)
