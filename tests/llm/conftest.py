@@ -35,7 +35,7 @@ ROWS = [
     (None, None, None, "c", None),
     (-7, "ÄÖ ü\x00x \x1c y z 🙂 é", "de", "b", 12),
     (9, "same same same same same same same", "en", "b", 34),
-    (8, " ".join(f"good{i} the word of plain{i} prose in a line." for i in range(60)), "en", "b", None),
+    (8, " ".join(f"The good{i} word of plain{i} prose{i} in a{i} line{i}." for i in range(60)), "en", "b", None),
     (10, "The Cat and the dog sat on the mat in the house of a friend.", "en", "a", 60),
 ]
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
