@@ -40,7 +40,8 @@ ROWS = [
 ]
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that the operators use themselves.
-CLASHES = ["votes", "kept", "n_words", "id", "token", "shard", "_block", "weight", "tokens", "fit"]
+CLASHES = ["votes", "kept", "n_words", "id", "token", "shard", "_block", "weight", "tokens", "fit",
+           "_text_key", "_read", "probability", "drawn"]
 
 
 @pytest.fixture(scope="session")

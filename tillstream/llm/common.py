@@ -61,6 +61,14 @@ def unit_interval(key: Column, name: str) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it, whatever the case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_text_columns(
     docs: DataFrame,
     schema: str,
@@ -74,21 +82,22 @@ def with_text_columns(
     """
     new = StructType.fromDDL(schema)
     names = {field.name.lower() for field in new}
+    read = unused([*docs.columns, *new.names], "_read")
     if text.lower() in names:
         # the new text takes the old one's place in the result
-        docs = docs.select("*", F.col(text).alias("_read"))
-        text = "_read"
+        docs = docs.select("*", F.col(text).alias(read))
+        text = read
     kept = [field for field in docs.schema if field.name.lower() not in names]
 
     def make(batches):
         for batch in chunks(batches, text):
             made = function(batch.column(text).cast(pa.binary()).to_pylist())
-            arrays = [batch.column(field.name) for field in kept if field.name != "_read"]
+            arrays = [batch.column(field.name) for field in kept if field.name != read]
             yield pa.RecordBatch.from_arrays(
                 arrays + [pa.array(x, t) for x, t in zip(made, kinds, strict=True)], columns
             )
 
-    out = StructType([field for field in kept if field.name != "_read"] + list(new))
+    out = StructType([field for field in kept if field.name != read] + list(new))
     columns = out.names
     kinds = [ARROW_TYPES[field.dataType.simpleString()] for field in new]
     return docs.select(*[field.name for field in kept]).mapInArrow(make, out)

@@ -186,8 +186,11 @@ def mix(
 ) -> DataFrame:
     """Rows of ``with_cells`` with their weight and probability, and whether they are drawn.
 
+    Columns of the names ``weight``, ``probability`` and ``drawn`` are replaced.
+
     ``share``: expected tokens drawn, as a share of all tokens.
     """
+    placed = placed.drop("weight", "probability", "drawn")
     cells = materialize(cell_totals(placed))
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     drawn = materialize(calibrate(rake(cells, targets, power), share * total))
