@@ -193,17 +193,30 @@ def test_published_alerts_are_left_out(spark, tmp_path):
     alerts = spark.createDataFrame(
         [("a", 2, 1.0), ("a", 1, 2.0), ("b", 3, 3.0)], "invoiceNo string, windowEnd long, d double"
     )
-    assert detection.published_before(spark, str(tmp_path / "none"), 1) is None
+    folder = str(tmp_path / "keys")
+    assert detection.published_before(spark, folder, 1) is None
     assert detection.unpublished(alerts, None).count() == 2
-    feed = spark.createDataFrame([("t", "a", "v")], "topic string, key string, value string")
-    sink = FileSink(str(tmp_path))
-    sink.write_batch(feed, "t", 0)
-    earlier = detection.published_before(spark, sink.folder("t"), 1)
+    detection.write_keys(alerts.where("invoiceNo = 'a'"), folder, 0)
+    earlier = detection.published_before(spark, folder, 1, alerts)
     assert [tuple(r) for r in detection.unpublished(alerts, earlier).collect()] == [("b", 3, 3.0)]
-    rerun = detection.published_before(spark, sink.folder("t"), 0)
+    rerun = detection.published_before(spark, folder, 0, alerts)
     assert detection.unpublished(alerts, rerun).count() == 2
 
 
+def test_only_files_that_may_hold_a_key_are_opened(spark, tmp_path):
+    folder = str(tmp_path / "keys")
+    for batch_id in range(3):
+        rows = [(f"i{batch_id}-{n}",) for n in range(300)]
+        detection.write_keys(spark.createDataFrame(rows, "invoiceNo string"), folder, batch_id)
+    alerts = spark.createDataFrame([("i1-7",), ("new",)], "invoiceNo string")
+    every = detection.published_before(spark, folder, 3)
+    some = detection.published_before(spark, folder, 3, alerts)
+    assert every.count() == 900
+    opened = {row[0] for row in some.select(F.input_file_name()).distinct().collect()}
+    assert 0 < len(opened) <= 2 * 3 < 150 < len(every.inputFiles())
+    assert some.where("key = 'i1-7'").count() == 1
+
+
 def test_training_filter_option(spark, session, incoming, tmp_path):
     sink = run_detection(session, incoming, tmp_path, match_training_filter=True)
     values = [r.value for r in sink.read(spark, KMEANS_ANOMALIES_TOPIC).collect()]

@@ -462,12 +462,12 @@ def stream_cancellations_every_second(spark: SparkSession, sf_dir: str) -> DataF
     return windows.with_empty_ticks(stream_cancellations(spark, sf_dir))
 
 
-def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _feeds(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Everything published after running all feeds on raw lines."""
     session, folder = streaming_session(spark), work_dir(spark, "detection")
     sink = FileSink(f"{folder}/feeds")
     lines = tables.raw_purchases(_purchase_stream(session, sf_dir))
-    detection.Detection(lines, sink, f"{folder}/checkpoint", WINDOW_MODELS).run()
+    detection.Detection(lines, sink, f"{folder}/checkpoint", WINDOW_MODELS, **options).run()
     topics = [MALFORMED_TOPIC, CANCELLATIONS_TOPIC, LATE_TOPIC, *WINDOW_MODELS]
     return spark.read.schema(detection.FEED_SCHEMA).parquet(
         *[f"{sink.folder(topic)}/batch=*" for topic in topics]
@@ -479,6 +479,12 @@ def stream_detection_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feeds(spark, sf_dir).groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def stream_first_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts per topic and invoice if each invoice is to be reported once."""
+    alerts = _feeds(spark, sf_dir, dedupe=True).where(F.col("topic").isin(list(WINDOW_MODELS)))
+    return alerts.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per message key of the raw text."""
     rows = tables.raw_lines(spark, sf_dir)
@@ -537,5 +543,6 @@ QUERIES: dict[str, Query] = {
         stream_cancellations,
         stream_cancellations_every_second,
         stream_detection_feeds,
+        stream_first_anomalies,
     )
 }

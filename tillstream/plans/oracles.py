@@ -403,6 +403,11 @@ with {_purchases(True)}, {_windows()} {ROUNDED_WINDOWS}""",
 with {_purchases(True)}, {COUNTED} select tick, n from counted""",
     "stream_cancellations_every_second": f"""
 with {_purchases(True)}, {COUNTED} select tick, n from counted""",
+    "stream_first_anomalies": f"""
+with {_purchases(True)}, valid as (select * from purchases where event_id % 50 <> 7),
+     {_windows('valid')}, alerts as ({ALERTS})
+select topic, invoiceNo as "key", count(distinct invoiceNo) as messages
+from alerts group by topic, invoiceNo""",
     "stream_detection_feeds": f"""
 with {_purchases(True)}, valid as (select * from purchases where event_id % 50 <> 7),
      {_windows('valid')}, {COUNTED}, alerts as ({ALERTS}),

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -60,24 +60,48 @@ def anomaly_feed(alerts: DataFrame, topic: str, style: str = "record") -> DataFr
     )
 
 
+KEYS_SCHEMA = "key string, batch bigint, bucket int"
+#: Folders that the published keys of a batch are dealt into.
+KEY_BUCKETS = 64
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def write_keys(alerts: DataFrame, folder: str, batch_id: int) -> None:
+    """Remember the invoices of a batch of published alerts."""
+    keys = alerts.select(F.col("invoiceNo").alias("key")).withColumn("bucket", _bucket(F.col("key")))
+    keys.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+        f"{folder}/batch={batch_id}"
+    )
+
+
 def published_before(
-    spark: SparkSession, folder: str, batch_id: int
+    spark: SparkSession, folder: str, batch_id: int, alerts: DataFrame | None = None
 ) -> DataFrame | None:
-    """Feed rows of the earlier batches; None before the first one."""
+    """Keys published by the earlier batches; None before the first one.
+
+    With ``alerts`` only files that may hold one of their invoices are opened.
+    """
     try:
-        feed = spark.read.schema(FEED_SCHEMA).parquet(folder)
+        keys = spark.read.schema(KEYS_SCHEMA).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return feed.where(F.col("batch") < batch_id)
+    keys = keys.where(F.col("batch") < batch_id)
+    if alerts is not None:
+        buckets = alerts.select(_bucket(F.col("invoiceNo")).alias("bucket")).distinct()
+        keys = keys.where(F.col("bucket").isin([row.bucket for row in buckets.collect()]))
+    return keys.select("key")
 
 
 def unpublished(alerts: DataFrame, published: DataFrame | None) -> DataFrame:
-    """First alert of each invoice that is not in the feed yet.
+    """First alert of each invoice that is not among the published keys.
 
-    The feed is cut down to the invoices at hand before it meets them, so its
-    length costs a scan of one column and no shuffle of the feed.
+    Those are cut down to the invoices at hand before they meet them, so no
+    number of published keys is shuffled.
     """
     first = first_alert_per_invoice(alerts, "windowEnd")
     if published is None:
@@ -163,12 +187,16 @@ class Detection:
             for topic, (model, threshold) in self.models.items():
                 alerts = anomalous_invoices(batch, model, threshold)
                 if self.dedupe:
-                    published = published_before(spark, self.sink.folder(topic), batch_id)
+                    published = published_before(spark, self._keys(topic), batch_id, alerts)
                     alerts = unpublished(alerts, published)
+                    write_keys(alerts, self._keys(topic), batch_id)
                 self.sink.write_batch(anomaly_feed(alerts, topic, self.style), topic, batch_id)
         finally:
             batch.unpersist()
 
+    def _keys(self, topic: str) -> str:
+        return self.sink.folder(f"keys/{topic}")
+
     def start(self, trigger: dict | None = None, clean: bool = False) -> list[StreamingQuery]:
         """Start everything; windows come out as the watermark closes them.
 
