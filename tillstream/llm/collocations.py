@@ -31,7 +31,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PIECE_ENDS, GAPS = "[.,;:!?\\x0A-\\x0D]", "[ \\t]+"
 #: Frequent pairs are told apart by so many numbers. Where pairs share one, windows
 #: are counted in vain, and nothing else changes.
-PAIR_BUCKETS = 1 << 20
+PAIR_BUCKETS = 1 << 22
 #: Rows of a language that reach one task before the last ranking: ``TOP`` of each.
 RANK_BUCKETS = 64
 
