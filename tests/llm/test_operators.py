@@ -165,12 +165,16 @@ TRICKY = [
 def test_ids_equal_the_tokenizer(make, texts):
     import random
 
+    import public_tokenizers
+
     dice = random.Random(11)
     letters = ["a", "The", "é", ".", ",", " ", "\n", "'s", "7", "_", "́", " ", " ", "b", "|"]
     made = ["".join(dice.choices(letters, k=dice.randint(0, 20))) for _ in range(3000)]
-    given = [*TRICKY, *made, *[t or "" for t in texts.values()]]
-    encoder = make()
-    whole = encoder.tokenizer.encode_batch(given, add_special_tokens=False)
+    special = ["hello <|endoftext|> there", "<|ENDOFTEXT|>a", "a <|startoftext|>", "<|x|> <s>[UNK]"]
+    given = [*TRICKY, *special, *made, *[t or "" for t in texts.values()]]
+    encoder, name = make(), {token_ids.word_bpe: "word_bpe_49k", token_ids.byte_bpe: "byte_bpe_50k"}[make]
+    untouched = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+    whole = untouched.encode_batch(given, add_special_tokens=False)
     for text, ids, own in zip(given, encoder.encode(given, 1), whole, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == [*own.ids, 1], text
 
@@ -179,7 +183,6 @@ def _whole_ids(name, texts, end):
     import public_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     keys = sorted(texts)
     found = tokenizer.encode_batch([texts[k] or "" for k in keys], add_special_tokens=False)
     return {k: np.array([*own.ids, end], "<u4") for k, own in zip(keys, found, strict=True)}

@@ -15,7 +15,7 @@ import numpy as np
 from tillstream.llm.common import SEPARATORS, WHITE
 
 #: Units kept by a worker before it drops those not needed just then; for speed only.
-KEPT_UNITS = 800_000
+KEPT_UNITS = 400_000
 
 _WORDS = re.compile(f"[^{WHITE}]+")
 _SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
@@ -54,7 +54,9 @@ def leading_gaps(text: str) -> list[str]:
 
 
 class IdEncoder:
-    """Texts to little-endian unsigned 32-bit ids, with special strings as plain text.
+    """Texts to little-endian unsigned 32-bit ids, as the tokenizer gives them.
+
+    A text that holds one of the tokenizer's added tokens is encoded as a whole.
 
     ``between`` parts units that are encoded together: it must always be encoded as
     the one id ``mark``, which no unit without the character ``mark_text`` has.
@@ -64,14 +66,20 @@ class IdEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # whatever the case: a normalizer may find more than the plain string
+        names = "|".join(re.escape(token.content) for token in added) or "(?!)"
+        self.added = re.compile(names, re.IGNORECASE)
         self.units, self.between, self.mark_text = units, between, mark_text
         (self.mark,) = self.tokenizer.encode(between, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
-        split = [self.units(text) if text else [] for text in texts]
+        whole = {k: text for k, text in enumerate(texts) if text and self.added.search(text)}
+        split = [
+            self.units(text) if text and k not in whole else [] for k, text in enumerate(texts)
+        ]
         needed = set().union(*split)
         if len(self.known) > KEPT_UNITS:
             kept = needed.intersection(self.known) | {""}
@@ -90,7 +98,10 @@ class IdEncoder:
                 (unit, data[a:b]) for unit, a, b in zip(part, starts, ends, strict=True)
             )
         last = int(end).to_bytes(4, "little")
-        return [b"".join(map(known.__getitem__, units)) + last for units in split]
+        ids = [b"".join(map(known.__getitem__, units)) for units in split]
+        for k, own in zip(whole, self._ids(list(whole.values())), strict=True):
+            ids[k] = own
+        return [own + last for own in ids]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
