@@ -49,18 +49,20 @@ def word_features(word: bytes) -> list[int]:
 
 
 class Features:
-    """Distinct features of texts, kept by word."""
+    """Distinct features of texts, kept by word; of ``useful`` ones only, where given."""
 
-    def __init__(self):
+    def __init__(self, useful: np.ndarray | None = None):
         self.known: dict[bytes, np.ndarray] = {}
+        self.useful = useful
 
     def of(self, text: bytes | None) -> np.ndarray:
         words = set(lower_ascii(text).split()) if text else set()
         if len(self.known) > 300_000:
             self.known.clear()
         for word in words.difference(self.known):
-            self.known[word] = np.array(word_features(word), np.int32)
-        found = [self.known[word] for word in words]
+            own = np.array(word_features(word), np.int32)
+            self.known[word] = own if self.useful is None else own[self.useful[own]]
+        found = [own for word in words if len(own := self.known[word])]
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int32)
 
 
@@ -133,14 +135,18 @@ def training_rows(
     """doc_id, text and a 0/1 column for each category, of ``sample`` rows at most.
 
     Rows that are positive in the last category come first for up to one half.
+    A doc_id that is labelled twice is positive where one of its labels is.
     """
     rare = list(categories)[-1]
     known = labels.select("doc_id", *[c.cast("int").alias(name) for name, c in categories.items()])
-    known = known.dropna().dropDuplicates(["doc_id"])
+    known = known.dropna().groupBy("doc_id").agg(*[F.max(name).alias(name) for name in categories])
     order = F.xxhash64("doc_id"), F.col("doc_id")
     positive = known.filter(F.col(rare) == 1).orderBy(*order).limit(sample // 2)
     negative = known.filter(F.col(rare) == 0).orderBy(*order).limit(sample - sample // 2)
-    return docs.select("doc_id", "text").join(positive.unionByName(negative), "doc_id")
+    # at most ``sample`` short rows, so that the texts stay where they are
+    return docs.select("doc_id", "text").join(
+        F.broadcast(positive.unionByName(negative)), "doc_id"
+    )
 
 
 _MODEL = "category int, fold int, constant double, chain binary, weights binary, held binary"
@@ -221,10 +227,16 @@ def fit_chain(
 
 
 def predict(docs: DataFrame, models: list[Linear], names: list[str]) -> DataFrame:
-    """Probabilities ``p_<category>`` of every document."""
+    """Probabilities ``p_<category>`` of every document.
+
+    Features that no model weighs are left out, and words stay known for a task.
+    """
+    useful = np.zeros(1 << BITS, bool)
+    for model in models:
+        useful |= model.weights != 0
+    features = Features(useful)
 
     def score(texts):
-        features = Features()
         own = [features.of(text) for text in texts]
         earlier = np.zeros((len(own), 0))
         for model in models:
