@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import chunks, lower_ascii, materialize
+from tillstream.llm.common import chunks, lower_ascii, materialize, unused
 from tillstream.llm.components import connected
 
 SHINGLE = 5
@@ -44,7 +44,8 @@ SHINGLE = 5
 COMMON_TOKENS = 1 << 16
 #: Sets of a group that are compared at once, and how many of a group are in all its parts.
 PART, HUBS = 256, 16
-_KNOWN_WORDS = 1_000_000
+#: Words whose hashes a worker keeps from text to text, for speed only: about 20 MB.
+_KNOWN_WORDS = 150_000
 _known: dict[bytes, int] = {}
 
 
@@ -89,6 +90,15 @@ def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> list[np.ndar
     return out
 
 
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Chunks with the shingle sets of their texts; a task keeps no words for the next one."""
+    try:
+        for batch in chunks(batches):
+            yield batch, shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
+    finally:
+        _known.clear()
+
+
 def _set_key(tokens: np.ndarray) -> tuple[int, int]:
     digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
     return tuple(np.frombuffer(digest, "<i8").tolist())
@@ -114,8 +124,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
     """doc_id, text and set keys, n_shingles; and tokens found three times or more in a chunk."""
 
     def make(batches):
-        for batch in chunks(batches):
-            sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
+        for batch, sets in _sets_of(batches):
             keys = [_set_key(tokens) for tokens in sets]
             distinct = list({key: tokens for key, tokens in zip(keys, sets, strict=True)}.values())
             tokens, counts = np.unique(np.concatenate(distinct), return_counts=True)
@@ -160,9 +169,9 @@ def _postings(docs: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
     def make(batches):
         seen: set[int] = set()
-        for batch in chunks(batches):
+        for _, sets in _sets_of(batches):
             tokens, ids, sizes = [], [], []
-            for own in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist()):
+            for own in sets:
                 if not len(own) or (key := _set_key(own)[0]) in seen:
                     continue
                 seen.add(key)
@@ -475,9 +484,10 @@ def keep_one(docs: DataFrame, percent: int = 80, common: int = COMMON_TOKENS) ->
         .select(F.col("head.doc_id").alias("doc_id"), F.col("head.text_key").alias("text_key"))
     )
     has_words = F.coalesce(F.col("text").rlike("[^ \\x09-\\x0D]"), F.lit(False))
-    keyed = docs.filter(has_words).withColumn("_text_key", F.md5("text"))
+    key = unused(docs.columns, "_text_key")
+    keyed = docs.filter(has_words).withColumn(key, F.md5("text"))
     named = keyed.alias("d").join(
-        heads.alias("h"), F.expr("d.doc_id <=> h.doc_id AND d._text_key = h.text_key"), "left_semi"
+        heads.alias("h"), F.expr(f"d.doc_id <=> h.doc_id AND d.{key} = h.text_key"), "left_semi"
     )
-    kept = named.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    kept = named.dropDuplicates(["doc_id", key]).drop(key)
     return kept.unionByName(docs.filter(~has_words))
