@@ -302,7 +302,7 @@ def _vocabularies(dealt: DataFrame) -> DataFrame:
                         counter.setdefault(word, 0)
                 else:
                     counter.update(tokens_of(text))
-            if sum(map(len, found.values())) > 500_000:
+            if sum(map(len, found.values())) > 150_000:
                 yield from given()
         yield from given()
 
