@@ -99,6 +99,28 @@ def test_base_score_and_held_out_gain(spark, texts, sf_dir):
         assert row.held_out == (doc_id in held) and row.score < 0
 
 
+def test_language_model_gains_on_held_out_documents(spark, sf_dir):
+    """More than a tenth of a digit a token over the unigram base, however the rows lie."""
+    docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    first = _by_id(lm_scoring.score_documents(docs))
+    held = [row for row in first.values() if row.held_out]
+    gain = sum(row.score - row.base_score for row in held) / sum(row.n_tokens for row in held)
+    assert gain > 0.1
+    again = _by_id(lm_scoring.score_documents(docs.repartition(3)))
+    assert all(math.isclose(again[d].score, row.score, rel_tol=1e-6) for d, row in first.items())
+
+
+def test_moves_are_weighted_by_what_was_seen():
+    """A row that one group alone has seen keeps its move; one that two have seen is averaged."""
+    both = [np.array([[4.0], [1.0]]), np.array([[0.0], [3.0]])]
+    seen = [np.array([0.5, 1.0]), np.array([0.0, 3.0])]
+    batch = lm_scoring._moves([(7, k, both[k], seen[k]) for k in range(2)])
+    (mean,) = lm_scoring._mean_moves([batch])
+    assert mean.column("block").to_pylist() == [7]
+    assert np.frombuffer(mean.column("moves")[0].as_py(), "<f2").tolist() == [4.0, 2.5]
+    assert np.frombuffer(mean.column("seen")[0].as_py(), "<f4").tolist() == [0.5, 4.0]
+
+
 def test_language_model_learns_histories():
     """A word that follows from the one before gets far more than its share."""
     words = [[b"left", b"right", b"up", b"down"][i // 2 % 4] for i in range(40_000)]

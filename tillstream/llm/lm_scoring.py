@@ -12,10 +12,13 @@ a weight for each class. The last factor is the word's share of the training
 count of its class and member, with one added to every count and one part for
 unknown words.
 
-Training starts from the shares of classes and members and goes in rounds of local stochastic
-gradient updates, each task on its own documents from the common weights, then the mean of all tasks' weights. Every
-training token is used once. The weights have a fixed size and are all that the
-driver and the tasks exchange in training.
+Training starts from the shares of classes and members and goes in rounds. In a
+round, groups of documents take local stochastic gradient steps from the common
+weights. Then each row moves by the mean of the groups' moves, weighted by their
+squared gradients, so that a feature which one group alone has seen keeps all it
+learnt there. Every training token is used once. The weights have a fixed size
+and are all that the driver and the tasks exchange in training. Groups and their
+order follow from the documents alone: partitions do not change a score.
 
 Counts: documents are dealt out in chunks; a chunk's vocabulary meets the
 corpus counts in a shuffle on the word and comes back to score the chunk. So a
@@ -32,6 +35,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,13 +43,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import chunks, lower_ascii, materialize, task_count, text_bytes
+from tillstream.llm.common import CHUNK_BYTES, chunks, lower_ascii, materialize, task_count, text_bytes
 
 CLASSES = MEMBERS = 24
 #: Rows of the weight table: features are hashed to these.
-ROWS = 1 << 13
-BATCH = 4096
-BLOCKS = 16
+ROWS = 1 << 16
+BATCH = 1024
+#: Rows of the weight table that are averaged together.
+BLOCK_ROWS = 64
+#: Bytes of training text of a group, in each round.
+GROUP = 16 << 20
 #: Bytes of text whose vocabulary a task holds when it scores.
 CHUNK = 12 << 20
 #: Squared gradients that every row starts with.
@@ -134,6 +141,19 @@ class Weights:
             at += part.size
         return cls(*out)
 
+    def move(self, means: list) -> None:
+        """Add the mean moves of blocks to these weights."""
+        for row in means:
+            seen = np.frombuffer(row.seen, "<f4")
+            moves = np.frombuffer(row.moves, "<f2").reshape(len(seen), -1)
+            if row.block == ROWS // BLOCK_ROWS:
+                self.pairs += moves
+                self.pairs_seen += seen
+            else:
+                own = slice(row.block * BLOCK_ROWS, (row.block + 1) * BLOCK_ROWS)
+                self.table[own] += moves
+                self.seen[own] += seen
+
     def probabilities(self, rows: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all classes, and of all members of each token's class: views of one table."""
         # row 0 is the constant, the same for every token
@@ -186,72 +206,119 @@ def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[np.ndarra
     return code, place
 
 
-def train(docs: DataFrame, start: Weights, rounds: int = 3, rate: float = 0.3) -> Weights:
+def train(docs: DataFrame, start: Weights, rounds: int = 3, rate: float = 1.0) -> Weights:
     """Weights after one pass over all documents, in ``rounds`` parts with a mean after each."""
-    tasks = max(task_count(text_bytes(docs)), 2 * docs.sparkSession.sparkContext.defaultParallelism)
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    groups = task_count(text_bytes(docs) // rounds, GROUP)
+    keyed = docs.select(
+        F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("key")
+    )
     weights = start
     for part in range(rounds):
-        own = docs.filter(turn == part).select("text").coalesce(tasks)
-        means = _mean_blocks(own.mapInArrow(_learner(weights, rate), _BLOCK)).collect()
-        if means:
-            blocks = {row.block: np.frombuffer(row.values, np.float32) for row in means}
-            weights = Weights.from_flat(np.concatenate([blocks[k] for k in sorted(blocks)]))
+        own = (
+            keyed.filter(F.pmod("key", F.lit(rounds)) == part)
+            .withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
+            .repartition(groups, "group")
+            .sortWithinPartitions("group", "key", "text")
+        )
+        moves = (
+            own.mapInArrow(_learner(weights, rate), _MOVES)
+            .repartition("block")
+            .sortWithinPartitions("block", "group")
+        )
+        weights.move(moves.mapInArrow(_mean_moves, _MOVES).collect())
     return weights
 
 
-_BLOCK = "block int, tokens bigint, values binary"
+#: What a group has learnt: the moves of a block's rows, and their squared gradients.
+_MOVES = "block int, group int, moves binary, seen binary"
+
+
+def _moves(found: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([row[0] for row in found], pa.int32()),
+            pa.array([row[1] for row in found], pa.int32()),
+            pa.array([row[2].astype("<f2").tobytes() for row in found], pa.binary()),
+            pa.array([row[3].astype("<f4").tobytes() for row in found], pa.binary()),
+        ],
+        ["block", "group", "moves", "seen"],
+    )
+
+
+def _grouped_texts(batches) -> Iterator[tuple[int, bool, list[bytes | None]]]:
+    """A group, whether these are its last texts, and the texts, about ``CHUNK_BYTES`` of them.
+
+    Where a list ends depends on the group's own rows, not on the batches they come in.
+    """
+    last, held, size = None, [], 0
+    for batch in chunks(batches):
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for group, text in zip(batch.column("group").to_pylist(), texts, strict=True):
+            if held and (group != last or size > CHUNK_BYTES):
+                yield last, group != last, held
+                held, size = [], 0
+            last = group
+            held.append(text)
+            size += len(text or b"")
+    if held:
+        yield last, True, held
 
 
 def _learner(start: Weights, rate: float):
     flat = start.flat()
 
     def learn(batches):
-        weights, codes, tokens = Weights.from_flat(flat), {}, 0
-        for batch in chunks(batches):
-            texts = [tokens_of(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            if len(codes) > 300_000:
+        weights, codes = Weights.from_flat(flat), {}
+        for group, ends, texts in _grouped_texts(batches):
+            if len(codes) > 150_000:
                 codes.clear()
-            code, place = _coded(texts, codes)
+            code, place = _coded([tokens_of(text) for text in texts], codes)
             rows = history_rows(code, place)
             kind, member = (x.astype(np.int64) for x in slot_of(code))
             for at in range(0, len(code), BATCH):
                 cut = slice(at, at + BATCH)
                 weights.update(rows[:, cut], kind[cut], member[cut], rate)
-            tokens += len(code)
-        if tokens:
-            parts = np.array_split(weights.flat(), BLOCKS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(BLOCKS), pa.int32()),
-                    pa.array([tokens] * BLOCKS, pa.int64()),
-                    pa.array([part.astype("<f2").tobytes() for part in parts], pa.binary()),
-                ],
-                ["block", "tokens", "values"],
-            )
+            if ends:
+                yield from _learnt(weights, Weights.from_flat(flat), group)
+                weights = Weights.from_flat(flat)
 
     return learn
 
 
-def _mean_blocks(found: DataFrame) -> DataFrame:
-    """Means of the tasks' weights by their tokens, block by block."""
-
-    def mean(table: pa.Table) -> pa.Table:
-        tokens = table.column("tokens").to_pylist()
-        total = sum(
-            np.frombuffer(values, "<f2").astype(np.float64) * own
-            for values, own in zip(table.column("values").to_pylist(), tokens, strict=True)
-        )
-        values = (total / sum(tokens)).astype(np.float32).tobytes()
-        return pa.table(
-            {
-                "block": table.column("block").slice(0, 1),
-                "tokens": pa.array([sum(tokens)], pa.int64()),
-                "values": pa.array([values], pa.binary()),
-            }
-        )
-
-    return found.groupBy("block").applyInArrow(mean, _BLOCK)
+def _learnt(weights: Weights, start: Weights, group: int) -> Iterator[pa.RecordBatch]:
+    """Moves of all rows, and of the pairs as the block after the last."""
+    moves, seen = weights.table - start.table, weights.seen - start.seen
+    found = [
+        (at // BLOCK_ROWS, group, moves[at : at + BLOCK_ROWS], seen[at : at + BLOCK_ROWS])
+        for at in range(0, ROWS, BLOCK_ROWS)
+    ]
+    pairs = (weights.pairs - start.pairs, weights.pairs_seen - start.pairs_seen)
+    found.append((ROWS // BLOCK_ROWS, group, *pairs))
+    yield _moves(found)
+
+
+def _mean_moves(batches):
+    """Mean moves of each block's rows, of sorted blocks; one block is held at a time."""
+    last, total, seen = None, None, None
+
+    def mean():
+        return _moves([(last, 0, total / np.maximum(seen, 1e-30)[:, None], seen)])
+
+    for batch in batches:
+        for block, moves, own in zip(
+            *(batch.column(name).to_pylist() for name in ("block", "moves", "seen")), strict=True
+        ):
+            own = np.frombuffer(own, "<f4").astype(np.float64)
+            moves = np.frombuffer(moves, "<f2").reshape(len(own), -1) * own[:, None]
+            if block == last:
+                total += moves
+                seen += own
+                continue
+            if last is not None:
+                yield mean()
+            last, total, seen = block, moves, own
+    if last is not None:
+        yield mean()
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
