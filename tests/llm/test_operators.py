@@ -121,6 +121,18 @@ def test_moves_are_weighted_by_what_was_seen():
     assert np.frombuffer(mean.column("seen")[0].as_py(), "<f4").tolist() == [0.5, 4.0]
 
 
+def test_gradients_are_summed_by_row():
+    chance = np.random.default_rng(3)
+    for size, most in [(1, 1), (300, 4), (300, 65536), (300, 40)]:
+        own = chance.integers(0, most, size)
+        gradient = chance.normal(size=(size, 5)).astype(np.float32)
+        target, total = lm_scoring._summed(own, gradient)
+        expected = np.zeros((65536, 5))
+        np.add.at(expected, own, gradient)
+        assert target.tolist() == sorted(set(own.tolist()))
+        assert np.allclose(total, expected[target], atol=1e-4)
+
+
 def test_language_model_learns_histories():
     """A word that follows from the one before gets far more than its share."""
     words = [[b"left", b"right", b"up", b"down"][i // 2 % 4] for i in range(40_000)]

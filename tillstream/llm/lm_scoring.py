@@ -37,6 +37,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ from tillstream.llm.common import CHUNK_BYTES, chunks, lower_ascii, materialize,
 CLASSES = MEMBERS = 24
 #: Rows of the weight table: features are hashed to these.
 ROWS = 1 << 16
+#: The smallest type of a row's number sorts fastest.
+_ROW_TYPE = np.min_scalar_type(ROWS - 1)
 BATCH = 1024
 #: Rows of the weight table that are averaged together.
 BLOCK_ROWS = 64
@@ -179,10 +182,7 @@ class Weights:
         gradient /= np.float32(len(kind))
 
         def step(own, gradient, table, seen):
-            order = np.argsort(own, kind="stable")
-            own = own[order]
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            total, target = np.add.reduceat(gradient.take(order, axis=0), first, axis=0), own[first]
+            target, total = _summed(own, gradient)
             seen[target] += np.einsum("ij,ij->i", total, total)
             total *= (rate / np.sqrt(seen[target]))[:, None]
             table[target] -= total
@@ -195,13 +195,36 @@ class Weights:
         step(kind, members, self.pairs, self.pairs_seen)
 
 
+def _summed(own: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct weight rows of a batch, and the sum of each one's gradients.
+
+    Most rows come once; only those that come again are summed, by differences
+    of running sums.
+    """
+    order = np.argsort(own.astype(_ROW_TYPE), kind="stable")
+    own = own[order]
+    is_first = np.concatenate([[True], own[1:] != own[:-1]])
+    first = np.flatnonzero(is_first)
+    times = np.diff(first, append=len(own))
+    total = gradient.take(order[first], axis=0)
+    many = times > 1
+    if many.any():
+        again = order[np.repeat(many, times)]
+        sums = np.cumsum(gradient.take(again, axis=0), axis=0, dtype=np.float64)
+        ends = np.cumsum(times[many]) - 1
+        sums = sums[ends]
+        sums[1:] -= sums[:-1].copy()
+        total[many] = sums
+    return own[first], total
+
+
 def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """CRCs of all tokens, and their places in their texts."""
-    for word in set().union(*texts).difference(codes):
+    for word in set(chain.from_iterable(texts)).difference(codes):
         codes[word] = zlib.crc32(word)
     lengths = np.array([len(words) for words in texts], np.int64)
     total = int(lengths.sum())
-    code = np.fromiter((c for t in texts for c in map(codes.__getitem__, t)), np.uint64, total)
+    code = np.fromiter(map(codes.__getitem__, chain.from_iterable(texts)), np.uint64, total)
     place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     return code, place
 
@@ -415,9 +438,8 @@ def score_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
             texts = [tokens_of(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
             lengths = np.array([len(words) for words in texts], np.int64)
             starts = np.cumsum(lengths) - lengths
-            own = np.fromiter(
-                (n for t in texts for n in map(number.__getitem__, t)), np.int64, int(lengths.sum())
-            )
+            words = map(number.__getitem__, chain.from_iterable(texts))
+            own = np.fromiter(words, np.int64, int(lengths.sum()))
             place = np.arange(len(own)) - np.repeat(starts, lengths)
             rows, logs = history_rows(code[own], place), leaf[own]
             for at in range(0, len(own), BATCH):
