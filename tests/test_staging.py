@@ -246,3 +246,40 @@ def test_no_lines(spark, session, tmp_path):
     job.run()
     assert sink.read(spark, CANCELLATIONS_TOPIC).count() == 0
     assert sink.read(spark, KMEANS_ANOMALIES_TOPIC).count() == 0
+
+
+def test_windows_keep_panes_and_no_state(spark, session, disorder, tmp_path):
+    """Windows are made when they close; nothing is kept for each of an invoice's 40."""
+    folder = str(tmp_path / "lines")
+    for rows in disorder[:3]:
+        append(session, folder, rows)
+    job, _ = detection(session, folder, tmp_path)
+    _, _, invoices = job.start(AT_ONCE)
+    invoices.awaitTermination()
+    progress = [p for p in invoices.recentProgress if p.numInputRows]
+    assert progress and not [op for p in progress for op in p.stateOperators]
+
+
+def test_windows_of_several_runs_that_clean(spark, session, disorder, tmp_path):
+    """Panes that no window needs any more are deleted; what is published stays whole."""
+    folder, every, newest = str(tmp_path / "lines"), [], None
+    for rows in disorder:
+        append(session, folder, rows)
+        late = is_late(rows, newest, 10)
+        every += [row for row in rows if row not in late]
+        newest = max([newest] * bool(newest) + [ts for _, ts in rows])
+        job, sink = detection(session, folder, tmp_path)
+        for query in job.start(AT_ONCE, clean=True):
+            query.awaitTermination()
+    kept = {p.name for p in (tmp_path / "checkpoint/staging/invoices").iterdir()}
+    assert kept and not {"batch=0", "batch=1"} & kept
+    job._publish_anomalies(job.staging.open_invoice_windows(session), TAIL)
+    assert published_alerts(spark, sink) == expected_alerts(spark, every)
+
+
+def test_spans_hold_only_the_ticks_asked_for(spark):
+    rows = [("a", second, 1.0, 1.0, 1.0, 1, 1, second, (second, "c", 9.0)) for second in (0, 5, 3590)]
+    seconds = spark.createDataFrame(rows, PANES)
+    ticks = windows.windows_of_seconds(seconds, 40).where("tick > 20 and tick <= 3595")
+    spread = windows.spread(windows.window_spans(seconds, 40, after=20, last=3595))
+    assert sorted(spread.collect()) == sorted(ticks.collect()) and ticks.count() == 30

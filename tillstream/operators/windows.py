@@ -194,11 +194,21 @@ def invoice_windows(
 
 
 def windows_of_seconds(seconds: DataFrame, span: int = INVOICE_SPAN) -> DataFrame:
-    """``invoice_windows`` of lines reduced by ``invoice_seconds``.
+    """``invoice_windows`` of lines reduced by ``invoice_seconds``."""
+    return spread(window_spans(seconds, span))
+
+
+def window_spans(
+    seconds: DataFrame,
+    span: int = INVOICE_SPAN,
+    after: int | None = None,
+    last: int | None = None,
+) -> DataFrame:
+    """Runs of ticks, ``from_tick`` up to before ``until_tick``, whose windows are alike.
 
     A window's content only changes when a second enters or leaves it, so the
-    aggregates are computed at those change points and then repeated for each
-    tick up to the next one.
+    aggregates are computed at those change points and hold for each tick up
+    to the next one. Only ticks behind ``after`` and up to ``last`` are kept.
     """
     second, block = F.col("second"), F.col("block")
     start, end = block * BLOCK_SECONDS, (block + 1) * BLOCK_SECONDS
@@ -221,11 +231,12 @@ def windows_of_seconds(seconds: DataFrame, span: int = INVOICE_SPAN) -> DataFram
     )
     by_point = Window.partitionBy("invoiceNo", "block").orderBy("point")
     frame = by_point.rangeBetween(-span, -1)
+    first = start if after is None else F.greatest(start, F.lit(after + 1))
+    until = F.coalesce(F.lead("point").over(by_point), end)
     pieces = points.select(
         "invoiceNo",
-        "block",
-        F.greatest(F.col("point"), start).alias("from_tick"),
-        F.coalesce(F.lead("point").over(by_point), end).alias("until_tick"),
+        F.greatest(F.col("point"), first).alias("from_tick"),
+        (until if last is None else F.least(until, F.lit(last + 1))).alias("until_tick"),
         (F.sum("m.price_sum").over(frame) / F.sum("m.lines").over(frame)).alias("avgUnitPrice"),
         F.min("m.price_min").over(frame).alias("minUnitPrice"),
         F.max("m.price_max").over(frame).alias("maxUnitPrice"),
@@ -236,7 +247,8 @@ def windows_of_seconds(seconds: DataFrame, span: int = INVOICE_SPAN) -> DataFram
     )
     return pieces.where("lines > 0 and from_tick < until_tick").select(
         "invoiceNo",
-        F.explode(F.sequence(F.col("from_tick"), F.col("until_tick") - 1)).alias("tick"),
+        "from_tick",
+        "until_tick",
         "avgUnitPrice",
         "minUnitPrice",
         "maxUnitPrice",
@@ -248,6 +260,13 @@ def windows_of_seconds(seconds: DataFrame, span: int = INVOICE_SPAN) -> DataFram
     )
 
 
+def spread(spans: DataFrame) -> DataFrame:
+    """One row for each ``tick`` of ``window_spans``."""
+    ticks = F.explode(F.sequence(F.col("from_tick"), F.col("until_tick") - 1)).alias("tick")
+    own = [name for name in spans.columns if name not in ("invoiceNo", "from_tick", "until_tick")]
+    return spans.select("invoiceNo", ticks, *own)
+
+
 def first_alert_per_invoice(alerts: DataFrame, end: str = "tick") -> DataFrame:
     """The earliest window of each invoice, for consumers that want one alert."""
     columns = [name for name in alerts.columns if name not in ("invoiceNo", end)]

@@ -436,14 +436,15 @@ def stream_invoice_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window: those the stream has closed, and those open at its end."""
     session, folder = streaming_session(spark), work_dir(spark, "windows")
     sink, staging = FileSink(f"{folder}/sink"), _staged(session, sf_dir, folder)
-    invoices = staging.invoice_windows(session)
-    sink.start(invoices, "windows", f"{folder}/checkpoint", AT_ONCE).awaitTermination()
-    tail = staging.open_invoice_windows(session)
-    tail = tail.withColumn("windowEnd", F.timestamp_seconds("tick")).drop("tick")
-    sink.write_batch(tail, "windows", TAIL)
-    every = sink.read(spark, "windows")
-    ticks = every.withColumn("tick", F.unix_seconds("windowEnd")).drop("windowEnd")
-    return _rounded_windows(ticks)
+
+    def publish(spans: DataFrame, batch_id: int) -> None:
+        sink.write_batch(windows.spread(spans), "windows", batch_id)
+
+    staging.start_invoice_windows(
+        session, f"{folder}/checkpoint", AT_ONCE, publish
+    ).awaitTermination()
+    publish(staging.open_invoice_windows(session), TAIL)
+    return _rounded_windows(sink.read(spark, "windows"))
 
 
 def stream_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,3 +68,9 @@ def stream_table(
     # A plain stream path has to be a folder; a pattern may also name one file.
     folder, name = path.rstrip("/").rsplit("/", 1)
     return reader.parquet(f"{folder}/{{{name}}}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark reaches; a missing one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -20,7 +20,7 @@ from tillstream.operators.purchases import (
     well_formed,
     with_line_key,
 )
-from tillstream.operators.windows import first_alert_per_invoice
+from tillstream.operators.windows import first_alert_per_invoice, spread
 from tillstream.plans.models import ClusterModel
 from tillstream.schema import (
     CANCELLATIONS_TOPIC,
@@ -168,31 +168,36 @@ class Detection:
     def start_windows(self, trigger: dict, clean: bool = False) -> list[StreamingQuery]:
         """Counts and anomalies, from the staged rows."""
         counts = cancellation_feed(self.staging.trailing_counts(self.spark, clean))
-        invoices = self.staging.invoice_windows(self.spark, clean)
         return [
             self.sink.start(
                 counts, CANCELLATIONS_TOPIC, f"{self.checkpoint}/{CANCELLATIONS_TOPIC}", trigger
             ),
-            invoices.writeStream.queryName("anomalies")
-            .option("checkpointLocation", f"{self.checkpoint}/anomalies")
-            .trigger(**trigger)
-            .foreachBatch(self._publish_anomalies)
-            .start(),
+            self.staging.start_invoice_windows(
+                self.spark,
+                f"{self.checkpoint}/anomalies",
+                trigger,
+                self._publish_anomalies,
+                clean,
+            ),
         ]
 
-    def _publish_anomalies(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+    def _publish_anomalies(self, spans: DataFrame, batch_id: int) -> None:
+        """Windows that are alike are scored once and spread when they are published."""
+        spark = spans.sparkSession
+        spans = spans.persist()
         try:
             for topic, (model, threshold) in self.models.items():
-                alerts = anomalous_invoices(batch, model, threshold)
+                alerts = anomalous_invoices(spans, model, threshold)
                 if self.dedupe:
-                    published = published_before(spark, self._keys(topic), batch_id, alerts)
-                    alerts = unpublished(alerts, published)
+                    first = alerts.withColumn("windowEnd", F.timestamp_seconds("from_tick"))
+                    published = published_before(spark, self._keys(topic), batch_id, first)
+                    alerts = unpublished(first, published)
                     write_keys(alerts, self._keys(topic), batch_id)
+                else:
+                    alerts = spread(alerts)
                 self.sink.write_batch(anomaly_feed(alerts, topic, self.style), topic, batch_id)
         finally:
-            batch.unpersist()
+            spans.unpersist()
 
     def _keys(self, topic: str) -> str:
         return self.sink.folder(f"keys/{topic}")
@@ -223,9 +228,7 @@ class Detection:
             query.awaitTermination()
         counts = self.staging.open_counts(self.spark)
         self.sink.write_batch(cancellation_feed(counts), CANCELLATIONS_TOPIC, TAIL)
-        tail = self.staging.open_invoice_windows(self.spark)
-        tail = tail.withColumn("windowEnd", F.timestamp_seconds("tick")).drop("tick")
-        self._publish_anomalies(tail, TAIL)
+        self._publish_anomalies(self.staging.open_invoice_windows(self.spark), TAIL)
 
     def late_lines(self) -> int:
         """How many lines went to the late feed so far, all runs included."""

@@ -7,9 +7,10 @@ the 40 or 480 overlapping windows are spread from seconds, never from lines.
 
 Whether a line is late is decided here and only here. A batch is held against
 ``cutoff``: the newest arrival of the batches before it, less the delay. A line
-whose second ended by then goes to the late feed; all others go into panes. The
-window queries take their watermark from the cutoffs, which are written after
-the panes they belong to, so they drop nothing.
+whose second ended by then goes to the late feed; all others go into panes. Cutoffs
+are written after the panes they belong to, so nothing is dropped: each one closes
+windows, and those are computed from the panes within their reach, which are the
+only state, one row per invoice and second.
 
 A batch that is run again finds its facts and leaves everything as it is, or
 writes what is missing.
@@ -30,11 +31,7 @@ from tillstream.functions import rules
 from tillstream.operators import windows
 from tillstream.operators.windows import CANCELLATION_SPAN, INVOICE_SPAN
 from tillstream.sources import files
-from tillstream.streaming.windows import (
-    DEFAULT_DELAY_SECONDS,
-    trailing_counts_of_seconds,
-    windows_of_panes,
-)
+from tillstream.streaming.windows import DEFAULT_DELAY_SECONDS, trailing_counts_of_seconds
 
 PANES = (
     "invoiceNo string, second bigint, price_sum double, price_min double, price_max double,"
@@ -44,6 +41,8 @@ PANES = (
 SECONDS = "second bigint, n bigint"
 CLOCK = "cutoff timestamp"
 FACTS = "newest bigint, lines bigint, late bigint"
+#: Up to which tick windows have come out, and the first batch of panes needed and kept.
+CLOSED = "closed bigint, first bigint, kept bigint"
 MICROS = 1_000_000
 
 Publish = Callable[[DataFrame, int], None]
@@ -75,6 +74,16 @@ def _found(spark: SparkSession, schema: str, folder: str) -> DataFrame | None:
         raise
 
 
+def _batches(spark: SparkSession, schema: str, folder: str) -> DataFrame | None:
+    """All batches of a part, with their number as ``batch``."""
+    try:
+        return spark.read.schema(f"{schema}, batch bigint").parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def _time(micros: int) -> datetime:
     return datetime.fromtimestamp(micros // MICROS, timezone.utc).replace(
         microsecond=micros % MICROS
@@ -213,28 +222,93 @@ class Staging:
         if newest is not None:
             self._write_cutoff(spark, newest - self.delay * MICROS, f"closing={newest}")
 
-    def invoice_windows(self, spark: SparkSession, clean: bool = False) -> DataFrame:
-        """Stream of closed invoice windows. ``clean`` deletes panes that were read."""
-        panes = files.stream_table(spark, f"{self.path}/invoices", PANES, clean=clean)
-        clock = files.stream_table(spark, f"{self.path}/clock", CLOCK, clean=clean)
-        return windows_of_panes(panes, clock.select(F.col("cutoff").alias("ts")))
+    def start_invoice_windows(
+        self,
+        spark: SparkSession,
+        checkpoint: str,
+        trigger: dict,
+        publish: Publish,
+        clean: bool = False,
+    ) -> StreamingQuery:
+        """Publish the spans (``window_spans``) of the windows that each cutoff closes.
+
+        ``clean`` deletes cutoffs that were read and panes no window needs any more.
+        """
+
+        def close(cutoffs: DataFrame, batch_id: int) -> None:
+            self._close_windows(cutoffs, batch_id, f"{checkpoint}/closed", publish, clean)
+
+        return (
+            files.stream_table(spark, f"{self.path}/clock", CLOCK, clean=clean)
+            .writeStream.queryName("windows")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .foreachBatch(close)
+            .start()
+        )
+
+    def _close_windows(
+        self, cutoffs: DataFrame, batch_id: int, folder: str, publish: Publish, clean: bool
+    ) -> None:
+        spark = cutoffs.sparkSession
+        before = _found(spark, CLOSED, f"{folder}/batch={batch_id - 1}") if batch_id else None
+        before = before.first() if before is not None else Row(closed=None, first=0, kept=0)
+        newest = cutoffs.agg(F.max(F.unix_micros("cutoff"))).first()[0]
+        ticks = [before.closed, None if newest is None else newest // MICROS]
+        closed = max((tick for tick in ticks if tick is not None), default=None)
+        first, kept = before.first, before.kept
+        if closed is not None:
+            publish(self._spans(spark, first, before.closed, closed), batch_id)
+            first = self._needed(spark, first, closed)
+        if clean:
+            # all that this batch needs if it is run again stays
+            for batch in range(kept, before.first):
+                files.delete_folder(spark, f"{self.path}/invoices/batch={batch}")
+            kept = before.first
+        row = spark.createDataFrame([(closed, first, kept)], CLOSED)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    def _needed(self, spark: SparkSession, first: int, closed: int) -> int:
+        """The first batch with panes that a window beyond ``closed`` may reach."""
+        facts = _batches(spark, FACTS, f"{self.path}/facts")
+        if facts is None:
+            return first
+        reaches = F.col("newest") >= (closed - INVOICE_SPAN) * MICROS
+        found = facts.where(F.col("batch") >= first).agg(
+            F.min(F.when(reaches, F.col("batch"))).alias("needed"), F.max("batch").alias("last")
+        )
+        needed, last = found.first()
+        if needed is not None:
+            return needed
+        return first if last is None else last + 1
+
+    def _spans(
+        self, spark: SparkSession, first: int, after: int | None, last: int | None
+    ) -> DataFrame:
+        """Windows that end behind ``after`` and up to ``last``, from the panes of batch ``first`` on."""
+        panes = _batches(spark, PANES, f"{self.path}/invoices")
+        if panes is None:
+            return windows.window_spans(spark.createDataFrame([], PANES))
+        recent = panes.where(F.col("batch") >= first)
+        if after is not None:
+            recent = recent.where(F.col("second") >= after - INVOICE_SPAN)
+        if last is not None:
+            recent = recent.where(F.col("second") < last)
+        merged = windows.merged_seconds(recent.select("invoiceNo", "second", *windows.MEASURES))
+        return windows.window_spans(merged, INVOICE_SPAN, after, last)
 
     def trailing_counts(self, spark: SparkSession, clean: bool = False) -> DataFrame:
         """Stream of (tick, n), a row for every second."""
         seconds = files.stream_table(spark, f"{self.path}/seconds", SECONDS, clean=clean)
         return trailing_counts_of_seconds(seconds, self.span, self.delay)
 
-    def open_invoice_windows(self, spark: SparkSession, span: int = INVOICE_SPAN) -> DataFrame:
-        """The windows that no watermark has closed after a bounded run, from their panes."""
+    def open_invoice_windows(self, spark: SparkSession) -> DataFrame:
+        """Spans of the windows that no cutoff has closed after a bounded run."""
         newest = self.facts(spark).newest
-        panes = _found(spark, PANES, f"{self.path}/invoices")
-        if panes is None:
-            return windows.windows_of_seconds(spark.createDataFrame([], PANES), span)
-        closed = newest - self.delay * MICROS
-        recent = panes.where(F.col("second") >= closed // MICROS - span)
-        merged = windows.merged_seconds(recent.select("invoiceNo", "second", *windows.MEASURES))
-        open_ticks = F.col("tick") > closed // MICROS
-        return windows.windows_of_seconds(merged, span).where(open_ticks)
+        if newest is None:
+            return windows.window_spans(spark.createDataFrame([], PANES))
+        closed = (newest - self.delay * MICROS) // MICROS
+        return self._spans(spark, self._needed(spark, 0, closed), closed, None)
 
     def open_counts(self, spark: SparkSession) -> DataFrame:
         """The (tick, n) that no watermark has closed after a bounded run."""

@@ -14,7 +14,6 @@ from tillstream.functions.timeparts import streaming_hour
 from tillstream.operators.windows import (
     CANCELLATION_SPAN,
     INVOICE_SPAN,
-    MEASURES,
     merge_measures,
 )
 
@@ -71,21 +70,6 @@ def invoice_window_stream(
     return _windows(panes, F.col("pane"), span)
 
 
-def windows_of_panes(
-    panes: DataFrame, clock: DataFrame, span: int = INVOICE_SPAN
-) -> DataFrame:
-    """The same windows from a stream of panes that someone else has written.
-
-    ``clock`` (ts) is the only watermark: no pane comes that ended by its newest
-    time. Its rows form a group without an invoice, which has no lines.
-    """
-    columns = ["ts", "invoiceNo", *MEASURES]
-    timed = panes.withColumn("ts", F.timestamp_seconds("second")).select(columns)
-    nothing = [F.lit(None).cast(timed.schema[c].dataType).alias(c) for c in columns[1:]]
-    beats = clock.withWatermark("ts", "0 seconds").select("ts", *nothing)
-    return _windows(beats.unionByName(timed), F.col("ts"), span)
-
-
 def trailing_count_stream(
     purchases: DataFrame,
     span: int = CANCELLATION_SPAN,
