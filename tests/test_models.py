@@ -185,3 +185,20 @@ def test_one_scan_costs_every_model(spark, family):
     alone = [clusters.clustering_cost(model.score(vectors)).first().cost for model in fitted]
     assert together == pytest.approx(alone)
     assert models.costs(vectors, []) == []
+
+
+def test_fits_keep_the_vectors_they_work_on(spark, monkeypatch):
+    """Spark ML does so only for a table that is not cached itself."""
+    kept = []
+
+    class Recorder(models.KMeans):
+        def fit(self, rows):
+            kept.append(rows.storageLevel)
+            return super().fit(rows)
+
+    monkeypatch.setitem(models._ESTIMATORS, models.KMEANS, Recorder)
+    rows = spark.createDataFrame([(float(n % 2),) * 5 for n in range(20)], FEATURE_COLUMNS)
+    vectors = features.assemble(rows).persist()
+    assert models.fit(vectors, models.KMEANS, 2, 1).k == 2
+    vectors.unpersist()
+    assert [level.useMemory or level.useDisk for level in kept] == [False]

@@ -62,8 +62,13 @@ class ClusterModel:
 
 
 def fit(vectors: DataFrame, family: str, k: int, seed: int) -> ClusterModel:
-    """Fit k >= 2 clusters on the ``features`` column."""
-    fitted = _ESTIMATORS[check_family(family)](k=k, seed=seed).fit(vectors)
+    """Fit k >= 2 clusters on the ``features`` column.
+
+    Spark ML keeps the vectors it works on only if the table it is given is not
+    itself cached; of a cached one it decodes every row again in every pass.
+    """
+    own = vectors.select("features")
+    fitted = _ESTIMATORS[check_family(family)](k=k, seed=seed).fit(own)
     return ClusterModel(family, [c.tolist() for c in fitted.clusterCenters()], fitted)
 
 
