@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tillstream.functions import text
 from tillstream.functions.timeparts import streaming_hour, training_hour
 from tillstream.operators import features, purchases
+from tillstream.schema import LINE_COLUMNS
+from tillstream.sources import tables
 
 GOOD = "536365,85123A,WHITE HOLDER,6,01/12/2010 8:26,2.55,17850,United Kingdom"
 
@@ -182,3 +184,22 @@ def test_lines_wider_than_the_parser(spark):
     rows = parse(spark, wide, commas).collect()
     assert [row.is_wrong for row in rows] == [True, False]
     assert rows[0].is_corrupt and rows[1].Description == "," * 30_000 + ' "q"'
+
+
+def test_split_with_a_limit_gives_the_same_first_fields(spark):
+    dice = random.Random(4)
+    lines = ["".join(dice.choice('"",,a\x00') for _ in range(dice.randrange(40))) for _ in range(400)]
+    raw = spark.createDataFrame([(line,) for line in [*lines, "1" + ",n" * 29_999]], "value string")
+    whole, part = (text.split_outside_quotes(F.col("value"), limit) for limit in (-1, 9))
+    for row in raw.select(whole.alias("whole"), part.alias("part")).collect():
+        assert row.part[:8] == row.whole[:8]
+        assert len(row.part) == min(len(row.whole), 9)
+
+
+def test_hostile_lines_are_dealt_out_before_they_grow(spark, monkeypatch):
+    rows = [(str(n), "P", "d", 1, "01/12/2010 8:26", 1.0, "c", "France", n % 40) for n in range(80)]
+    names = [*LINE_COLUMNS, "slot"]
+    monkeypatch.setattr(tables, "lines", lambda *_: spark.createDataFrame(rows, names).coalesce(1))
+    built = tables.hostile_lines(spark, "")
+    assert built.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert built.where(F.length("value") > 4000).count() == 10

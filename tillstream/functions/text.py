@@ -10,8 +10,9 @@ from tillstream.schema import LINE_COLUMNS, LINE_SCHEMA
 # Stands for a separating comma; a line that holds it itself is escaped first.
 _CUT, _ESCAPE = "\x00", "\x01"
 # Text without commas but for those within quotes, and the comma behind it, each
-# right after the one before. Nothing matched is given back: a line is read once.
-_UP_TO_COMMA = '\\G([^",]*+(?:"[^"]*+"[^",]*+)*+),'
+# right after the one before. Nothing matched is given back: a line is read once,
+# and a run of quotes is taken in a single step.
+_UP_TO_COMMA = '\\G([^",]*+(?:(?:(?:"")++|"[^"]++")[^",]*+)*+),'
 # The CSV parser fails the query beyond so many columns.
 _PARSER_COLUMNS = 20_480
 
@@ -42,12 +43,9 @@ def csv_record(line: Column) -> Column:
 def is_wide(line: Column) -> Column:
     """Whether the CSV parser could meet more columns than it can hold."""
     least = _PARSER_COLUMNS - 1
-    # most lines are too short for that many commas, and need no count
-    return F.coalesce((F.length(line) >= least) & (_count(line, ",") >= least), F.lit(False))
-
-
-def _count(line: Column, sign: str) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(sign), F.lit("")))
+    # most lines are too short for that many commas, and need no search
+    before = F.substring_index(line, ",", least)
+    return F.coalesce((F.length(line) >= least) & (before != line), F.lit(False))
 
 
 def wide_fields(line: Column) -> Column:
@@ -70,7 +68,7 @@ def _wide_record(line: Column) -> Column:
 
     # In an array, so that the line is split once for its eight fields.
     records = F.transform(
-        F.array(split_outside_quotes(line)),
+        F.array(split_outside_quotes(line, len(LINE_COLUMNS) + 1)),
         lambda fields: F.struct(
             *[unquoted(F.get(fields, F.lit(i))).alias(n) for i, n in enumerate(LINE_COLUMNS)],
             F.when(F.size(fields) != len(LINE_COLUMNS), line).alias(CORRUPT),
@@ -89,42 +87,42 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def split_outside_quotes(line: Column) -> Column:
+def split_outside_quotes(line: Column, limit: int = -1) -> Column:
     """Fields as an array; quotes and blank fields are kept as they are.
 
-    A comma separates fields if an even number of quotes follows it. Between
-    two quotes all commas are alike, so the line is cut at its quotes, the
-    commas of every other piece counted from the end are marked, and the line
-    is cut at the marks: one pass for each step, whatever the line holds.
+    A comma separates fields if an even number of quotes follows it. Such commas
+    are marked and the line is cut at the marks: one pass for each step, whatever
+    the line holds. With a ``limit`` the array ends there, and its last item holds
+    all that is left, its commas in no certain form.
     """
     plain = ~F.contains(line, F.lit(_CUT))
     return (
-        F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1))
-        .when(plain & (_count(line, '"') % 2 == 0), _cut_balanced(line))
-        .when(plain, _cut(line))
-        .otherwise(F.transform(_cut(_escaped(line)), _unescaped))
+        F.when(~F.contains(line, F.lit('"')), F.split(line, ",", limit))
+        .when(plain, _cut(line, limit))
+        .otherwise(F.transform(_cut(_escaped(line), limit), _unescaped))
     )
 
 
-def _cut_balanced(line: Column) -> Column:
-    """With pairs of quotes, a comma ends what lies before it if that is whole pairs."""
-    return F.split(F.regexp_replace(line, _UP_TO_COMMA, "$1" + _CUT), _CUT, -1)
+def _cut(line: Column, limit: int) -> Column:
+    """With pairs of quotes, a comma ends what lies before it if that is whole pairs.
 
-
-def _cut(line: Column) -> Column:
-    marked = F.transform(
-        F.array(F.split(line, '"', -1)),
-        lambda pieces: F.array_join(
-            F.transform(
-                pieces,
-                lambda piece, i: F.when(
-                    (F.size(pieces) - i) % 2 == 1, F.replace(piece, F.lit(","), F.lit(_CUT))
-                ).otherwise(piece),
+    Of an odd number the first quote has none to pair with: no comma before it
+    separates, and pairs are counted from behind it.
+    """
+    odd = F.length(F.regexp_replace(line, '[^"]++', "")) % 2 == 1
+    # in an array, so that the quotes are counted once
+    cut = F.transform(
+        F.array(F.when(odd, F.instr(line, '"')).otherwise(0)),
+        lambda single: F.split(
+            F.concat(
+                F.substr(line, F.lit(1), single),
+                F.regexp_replace(F.substr(line, single + 1), _UP_TO_COMMA, "$1" + _CUT),
             ),
-            '"',
+            _CUT,
+            limit,
         ),
     )
-    return F.split(F.get(marked, F.lit(0)), _CUT, -1)
+    return F.get(cut, F.lit(0))
 
 
 def _escaped(line: Column) -> Column:

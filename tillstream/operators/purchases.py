@@ -47,7 +47,7 @@ def split_fields(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     kept = [name for name in lines.columns if name != value]
     # One generated row per line, for the same reason as in parse_purchases.
-    split = F.array(text.split_outside_quotes(F.col(value)))
+    split = F.array(text.split_outside_quotes(F.col(value), len(LINE_COLUMNS) + 1))
     fields = lines.select(*kept, F.explode(split).alias("fields"))
     return fields.select(
         *kept,

@@ -149,9 +149,11 @@ def hostile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines as CSV text, a part of them far longer than a parser expects.
 
     Slots 0 to 3 hold thousands of quotes, an odd or an even number of them,
-    and slot 4 thirty thousand columns.
+    and slot 4 thirty thousand columns. The short typed lines are dealt out
+    first: few tasks that read the tables would else hold all the long text.
     """
-    typed = lines(spark, sf_dir, [*LINE_COLUMNS, "slot"])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = lines(spark, sf_dir, [*LINE_COLUMNS, "slot"]).repartition(tasks, *LINE_COLUMNS)
     number, country = F.col("InvoiceNo"), F.col("Country")
 
     def quotes(count: int) -> Column:
