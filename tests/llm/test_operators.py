@@ -492,3 +492,16 @@ def test_pipeline_decisions(spark, sf_dir, texts):
     assert kept[1] == {c for _, c in brute.components(good).values()}
     pieces = corpus_pipeline.run(spark, sf_dir)
     assert {row.doc_id for row in pieces.select("doc_id").distinct().collect()} == kept[3]
+
+
+def test_word_weights_count_every_document(spark):
+    rows = 40_000
+    docs = spark.range(rows).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < 7, "rare").when(F.col("id") < 10_000, "often").otherwise("x").alias("text"),
+    )
+    words, weights = packing._word_weights(docs, rows)
+    found = dict(zip(words.tolist(), weights.tolist(), strict=True))
+    for word, count in (("rare", 7), ("often", 9_993)):
+        weight = math.log((rows - count + 0.5) / (count + 0.5))
+        assert found[packing.word_hashes(word)[0]] == pytest.approx(weight, abs=1e-9)

@@ -48,8 +48,8 @@ SHARD_DOCUMENTS, SHARD_IDS = 2048, 1 << 22
 BLOCK_DOCUMENTS = 256
 #: Words of a text that can become its key.
 KEY_WORDS = 12
-#: Documents from which the weights of frequent words are taken, and how many words.
-WEIGHED_DOCUMENTS, WEIGHED_WORDS = 20_000, 1 << 16
+#: Words that are weighed by their number of documents, the most frequent ones.
+WEIGHED_WORDS = 1 << 16
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +66,8 @@ def word_hashes(text: str | None) -> np.ndarray:
 
 def _words_by_document(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Document numbers and distinct word hashes, sorted by both."""
-    own = [word_hashes(text) for text in texts]
+    own = [set(text.encode().split()) if text else () for text in texts]
+    own = [np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) for words in own]
     doc = np.repeat(np.arange(len(own), dtype=np.uint64), [len(words) for words in own])
     keys = np.unique(doc << np.uint64(32) | np.concatenate([*own, np.zeros(0, np.uint32)]))
     return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -75,9 +76,9 @@ def _words_by_document(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]
 def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of frequent words, and their inverse document frequencies.
 
-    They only order the words of a text. Words that are not found weigh most.
+    They are counted over all documents and only order the words of a text. Words
+    that are not found weigh most.
     """
-    every = max(1, rows // WEIGHED_DOCUMENTS)
 
     def make(batches):
         for batch in chunks(batches):
@@ -86,8 +87,7 @@ def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "count"])
 
     found = (
-        docs.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(every)) == 0)
-        .select("text")
+        docs.select("text")
         .mapInArrow(make, "word bigint, count bigint")
         .groupBy("word")
         .agg(F.sum("count").alias("count"))
@@ -96,16 +96,16 @@ def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
         .limit(WEIGHED_WORDS)
         .collect()
     )
-    count, words = max(1, rows // every), np.array([row["word"] for row in found], np.int64)
-    df = np.minimum(np.array([row["count"] for row in found], np.float64), count)
+    words = np.array([row["word"] for row in found], np.int64)
+    df = np.array([row["count"] for row in found], np.float64)
     order = np.argsort(words)
-    return words[order], np.maximum(np.log((count - df + 0.5) / (df + 0.5)), 0.0)[order]
+    return words[order], np.maximum(np.log((rows - df + 0.5) / (df + 0.5)), 0.0)[order]
 
 
 def _key_words(docs: DataFrame, rows: int) -> DataFrame:
     """(id, word, place): the first ``KEY_WORDS`` words of each text by priority."""
     frequent, weights = _word_weights(docs, rows)
-    most = np.log(max(1, min(rows, WEIGHED_DOCUMENTS)) + 0.5)
+    most = np.log(max(1, rows) + 0.5)
 
     def make(batches):
         for batch in chunks(batches):
