@@ -213,6 +213,19 @@ def test_ids_equal_the_tokenizer(make, texts):
         assert np.frombuffer(ids, "<u4").tolist() == [*own.ids, 1], text
 
 
+@pytest.mark.parametrize("make", [token_ids.word_bpe, token_ids.byte_bpe])
+def test_units_are_met_once_a_batch(make, monkeypatch):
+    """Arrow cuts and numbers units: Python sees no repeated one, and the ids are the tokenizer's."""
+    encoder, seen = make(), []
+    own = encoder._units
+    monkeypatch.setattr(encoder, "_units", lambda units: seen.append(units) or own(units))
+    texts = ["The cat, the Cat. " * 500, None, "", "a\0b\0  c\n\n é", "cat\x1cx the\u3000cat", "x" * 70 + " \t"]
+    found = encoder.encode(texts, 1)
+    assert len(seen) == 1 and len(seen[0]) == len(set(seen[0])) < 40
+    whole = encoder.tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [[*x.ids, 1] for x in whole]
+
+
 def _whole_ids(name, texts, end):
     import public_tokenizers
 

@@ -70,8 +70,9 @@ def pack(values: np.ndarray, percentile: float = 0.95) -> bytes:
     body = np.zeros(starts[-1], np.uint8)
     for width in np.unique(widths[widths > 0]):
         rows = np.flatnonzero(widths == width)
-        bits = (table[rows][:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        raw = table[rows].astype("<u4").view(np.uint8)
+        bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(rows), BLOCK, 32)
+        packed = np.packbits(bits[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
         body[starts[rows][:, None] + np.arange(packed.shape[1])] = packed
     rows, places = np.nonzero(over)
     if len(rows):
@@ -110,8 +111,10 @@ def _blocks(opened, rows: np.ndarray) -> np.ndarray:
             mine = np.flatnonzero(widths[rows] == width)
             raw = body[starts[rows[mine]][:, None] + np.arange(size // 8 * int(width))]
             bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(mine), size, width)
-            for bit in range(int(width)):
-                out[mine] |= bits[:, :, bit].astype(np.uint32) << np.uint32(bit)
+            wide = np.zeros((len(mine), size, 32), np.uint8)
+            wide[:, :, :width] = bits
+            packed = np.packbits(wide.reshape(len(mine), -1), axis=1, bitorder="little")
+            out[mine] = packed.view("<u4")
     for row in np.flatnonzero(exceptions[rows]):
         block = rows[row]
         n, at = exceptions[block], starts[block] + size // 8 * int(widths[block])

@@ -1,7 +1,9 @@
 """Whole texts to token ids with the public tokenizers.
 
 Neither tokenizer ever joins characters across the gaps matched here, so a text's
-ids are its units' ids in a row. Units recur: each is encoded once and kept.
+ids are its units' ids in a row. Units recur: each is encoded once and kept. Arrow
+cuts a batch of texts into units, numbers them and puts their ids in a row, so that
+Python sees a unit once a batch.
 """
 
 from __future__ import annotations
@@ -9,13 +11,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tillstream.llm.common import SEPARATORS, WHITE
 
 #: Units kept by a worker before it drops those not needed just then; for speed only.
-KEPT_UNITS = 400_000
+KEPT_UNITS = 1_000_000
+#: Units that are encoded together; the tokenizers take longer a unit for many more.
+TOGETHER = 128
 
 _WORDS = re.compile(f"[^{WHITE}]+")
 _SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
@@ -26,31 +33,50 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 _MARK_INSIDE = re.compile(f"[.,](?:(?=[^{WHITE}])|(?<![^\\W_][.,]))")
 
 
-def dropped_gaps(text: str) -> list[str]:
-    """Units for a tokenizer that drops white space.
+def dropped_gaps(text: str) -> str:
+    """Units, with ASCII white space between, for a tokenizer that drops white space.
 
     Where every full stop and comma ends a word, it is a unit of its own.
     """
     if SEPARATORS.search(text):
-        return _WORDS.findall(text)
-    if _MARK_INSIDE.search(text):
-        return text.split()
-    return text.replace(".", " .").replace(",", " ,").split()
+        return " ".join(_WORDS.findall(text))
+    if not _MARK_INSIDE.search(text):
+        text = text.replace(".", " .").replace(",", " ,")
+    return text if text.isascii() else " ".join(text.split())
 
 
-def leading_gaps(text: str) -> list[str]:
+def leading_gaps(text: str) -> str | list[str]:
     """Units for a byte-level tokenizer: a word takes one space before it along.
 
     White space before a word leaves its last character to the word if that is
     a space, and as a unit of its own if not. Where white space stands alone
     everywhere, every space begins a unit and a line end is one; and where
-    every full stop and comma ends a word, it is one too.
+    every full stop and comma ends a word, it is one too. Such units come as one
+    text with ``\\0`` between.
     """
     if text[:1] == " " or any(run in text for run in _RUNS) or _ODD_GAP.search(text):
         return _SPACED.findall(text)
     if not _MARK_INSIDE.search(text):
         text = text.replace(".", "\0.").replace(",", "\0,")
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+
+
+def _at_gaps(texts: pa.Array) -> pa.Array:
+    return pc.ascii_split_whitespace(texts)
+
+
+def _at_nulls(texts: pa.Array) -> pa.Array:
+    return pc.split_pattern(texts, "\0")
+
+
+# Letters that Unicode's normal form leaves alone, each with one lower case.
+_LETTERS = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]+")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+# The character that stands for a byte in byte-level tokenizers.
+_VISIBLE = {
+    byte: 0x100 + k for k, byte in enumerate(sorted(set(range(0x100)).difference(_SHOWN)))
+}
+_UNITS = pa.large_list(pa.large_string())
 
 
 class IdEncoder:
@@ -58,11 +84,23 @@ class IdEncoder:
 
     A text that holds one of the tokenizer's added tokens is encoded as a whole.
 
+    ``units`` gives a text's units as a list, or as one text that ``split`` cuts.
     ``between`` parts units that are encoded together: it must always be encoded as
     the one id ``mark``, which no unit without the character ``mark_text`` has.
+
+    ``plain``, if given, does what the tokenizer does to a unit of Latin letters, with
+    or without a space before it, until it comes to its model.
     """
 
-    def __init__(self, path: str, units: Callable[[str], list[str]], between: str, mark_text: str):
+    def __init__(
+        self,
+        path: str,
+        units: Callable[[str], str | list[str]],
+        split: Callable[[pa.Array], pa.Array],
+        between: str,
+        mark_text: str,
+        plain: Callable[[str], str] | None = None,
+    ):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,39 +108,83 @@ class IdEncoder:
         # whatever the case: a normalizer may find more than the plain string
         names = "|".join(re.escape(token.content) for token in added) or "(?!)"
         self.added = re.compile(names, re.IGNORECASE)
-        self.units, self.between, self.mark_text = units, between, mark_text
+        self.units, self.split, self.between, self.mark_text = units, split, between, mark_text
         (self.mark,) = self.tokenizer.encode(between, add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {"": b""}
+        self.plain = plain
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
-        whole = {k: text for k, text in enumerate(texts) if text and self.added.search(text)}
-        split = [
-            self.units(text) if text and k not in whole else [] for k, text in enumerate(texts)
+        ids = [b""] * len(texts)
+        whole, joined, listed = {}, {}, {}
+        for k, text in enumerate(texts):
+            if text and self.added.search(text):
+                whole[k] = text
+            elif text:
+                units = self.units(text)
+                (joined if isinstance(units, str) else listed)[k] = units
+        lists = [
+            self.split(pa.array(joined.values(), pa.large_string())).cast(_UNITS),
+            pa.array(listed.values(), _UNITS),
         ]
-        needed = set().union(*split)
-        if len(self.known) > KEPT_UNITS:
-            kept = needed.intersection(self.known) | {""}
-            self.known = {unit: self.known[unit] for unit in kept}
-        known = self.known
-        new = needed.difference(known)
-        alone = [unit for unit in new if self.mark_text in unit or unit.isspace()]
-        known.update(zip(alone, self._ids(alone), strict=True))
-        together = list(new.difference(alone))
-        for first in range(0, len(together), 2048):
-            part = together[first : first + 2048]
-            (data,) = self._ids([self.between.join(part)])
-            marks = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == self.mark)
-            starts, ends = [0, *(marks + 4).tolist()], [*marks.tolist(), len(data)]
-            known.update(
-                (unit, data[a:b]) for unit, a, b in zip(part, starts, ends, strict=True)
-            )
-        last = int(end).to_bytes(4, "little")
-        ids = [b"".join(map(known.__getitem__, units)) for units in split]
+        units = pa.concat_arrays(lists)
+        numbered = units.flatten().dictionary_encode()
+        each = pa.array(self._units(numbered.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        found = each.take(numbered.indices)
+        _, places, data = found.buffers()
+        places = np.frombuffer(places, np.int64, len(found) + 1)
+        ends = places[np.cumsum(units.value_lengths().to_numpy())].tolist()
+        data = memoryview(data if data is not None else b"")
+        for k, first, after in zip([*joined, *listed], [0, *ends], ends, strict=False):
+            ids[k] = bytes(data[first:after])
         for k, own in zip(whole, self._ids(list(whole.values())), strict=True):
             ids[k] = own
+        last = int(end).to_bytes(4, "little")
         return [own + last for own in ids]
 
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units."""
+        known = self.known
+        if len(known) > KEPT_UNITS:
+            self.known = known = {unit: known[unit] for unit in units if unit in known}
+        found = list(map(known.get, units))
+        letters, alone, together = [], [], []
+        for k, own in enumerate(found):
+            if own is None:
+                unit = units[k]
+                if self.plain and _LETTERS.fullmatch(unit):
+                    letters.append(k)
+                elif self.mark_text in unit or not unit or unit.isspace():
+                    alone.append(k)
+                else:
+                    together.append(k)
+        kinds = ((letters, self._plain_ids), (alone, self._ids), (together, self._ids_together))
+        for places, encode in kinds:
+            new = [units[k] for k in places]
+            made = encode(new)
+            known.update(zip(new, made, strict=True))
+            for k, own in zip(places, made, strict=True):
+                found[k] = own
+        return found
+
+    def _ids_together(self, units: list[str]) -> list[bytes]:
+        """Ids of units without the character ``mark_text``."""
+        found: list[bytes] = []
+        for first in range(0, len(units), TOGETHER):
+            (data,) = self._ids([self.between.join(units[first : first + TOGETHER])])
+            marks = (4 * np.flatnonzero(np.frombuffer(data, "<u4") == self.mark)).tolist()
+            starts = [0, *(mark + 4 for mark in marks)]
+            found += [data[a:b] for a, b in zip(starts, [*marks, len(data)], strict=True)]
+        return found
+
+    def _plain_ids(self, units: list[str]) -> list[bytes]:
+        """Ids of units of Latin letters, which come whole to the tokenizer's model."""
+        model = self.tokenizer.model
+        found = [[token.id for token in model.tokenize(self.plain(unit))] for unit in units]
+        data = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = [4 * end for end in accumulate(map(len, found))]
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(own.ids, "<u4").tobytes() for own in found]
@@ -111,13 +193,27 @@ class IdEncoder:
 @cache
 def word_bpe(path: str | None = None) -> IdEncoder:
     """The word tokenizer, by default the installed ``word_bpe_49k.json``; one for a process."""
-    return IdEncoder(path or _installed("word_bpe_49k.json"), dropped_gaps, " | ", "|")
+    plain = None if path else _lower_visible
+    return IdEncoder(
+        path or _installed("word_bpe_49k.json"), dropped_gaps, _at_gaps, " | ", "|", plain
+    )
 
 
 @cache
 def byte_bpe(path: str | None = None) -> IdEncoder:
     """The byte tokenizer, by default the installed ``byte_bpe_50k.json``; one for a process."""
-    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps, "\n", "\n")
+    plain = None if path else _visible
+    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps, _at_nulls, "\n", "\n", plain)
+
+
+def _visible(unit: str) -> str:
+    if unit.isascii():
+        return unit.replace(" ", "\u0120")
+    return unit.encode().decode("latin-1").translate(_VISIBLE)
+
+
+def _lower_visible(unit: str) -> str:
+    return _visible(unit.lower())
 
 
 def _installed(name: str) -> str:
