@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm import brute
 from tillstream.llm import (
+    common,
     fingerprints,
     jaccard_groups,
     lm_scoring,
@@ -276,6 +278,34 @@ def test_seeds_get_their_neighbours():
     assert int(np.argmax(scores)) == 2 and scores[1] == 0 and scores[0] == 0
 
 
+def test_words_are_hashed_together():
+    """Hashes of whole arrays are those of each word, whatever gaps and neighbours a word has."""
+    dice = np.random.default_rng(3)
+    letters = ["a", "b", "é", " ", "\n", "\t", "\x0b", "\x1c", "\x85"]
+    texts = [None, "", " ", "a", "b", " c", "x" * 64 + " " + "y" * 65 + " z", "é" * 5000]
+    texts += ["".join(dice.choice(letters, n)) for n in dice.integers(0, 300, 300)] + ["w " * 200_000, "end"]
+    words = [(text or "").encode().split() for text in texts]
+    crcs, counts = common.word_crcs(pa.array(["cut off", *texts]).slice(1))
+    assert counts.tolist() == [len(own) for own in words]
+    assert crcs.tolist() == [zlib.crc32(word) for own in words for word in own]
+    doc, found = packing._words_by_document(pa.array(texts))
+    assert set(zip(doc.tolist(), found.tolist(), strict=True)) == {
+        (k, zlib.crc32(word)) for k, own in enumerate(words) for word in own
+    }
+    assert common.word_crcs(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_used_documents_leave_the_index():
+    dice = np.random.default_rng(5)
+    terms = [dice.integers(0, 60, 30).astype(np.uint32) for _ in range(40)]
+    whole, index, used = packing.LexicalIndex(terms), packing.LexicalIndex(terms), np.zeros(40, bool)
+    for _ in range(3):
+        used[dice.integers(0, 40, 10)] = True
+        index.drop(used)
+        for seed in range(40):
+            assert (index.scores(seed) == whole.scores(seed) * ~used).all()
+
+
 def test_near_copies_meet_in_one_task(spark):
     """Pairs of texts that differ in a few words, among many more than a task takes."""
     dice, rows = np.random.default_rng(7), []

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import chunks, materialize, task_count, text_bytes
+from tillstream.llm.common import chunks, materialize, task_count, text_bytes, word_crcs
 from tillstream.llm.token_ids import byte_bpe
 
 PIECES = (
@@ -50,6 +50,8 @@ BLOCK_DOCUMENTS = 256
 KEY_WORDS = 12
 #: Words that are weighed by their number of documents, the most frequent ones.
 WEIGHED_WORDS = 1 << 16
+#: Words of documents that a task gathers before it gives out their counts.
+COUNTED_WORDS = 1 << 21
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,17 +61,25 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.append(first, len(keys)))
 
 
+def _up_to_nth(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Whether a value is at most the ``n``-th smallest of its run, equal ones included."""
+    kept = np.ones(len(values), bool)
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if b - a > n:
+            own = values[a:b]
+            kept[a:b] = own <= np.partition(own, n - 1)[n - 1]
+    return kept
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    words = text.encode().split() if text else []
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    return word_crcs(pa.array([text], pa.string()))[0]
 
 
-def _words_by_document(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def _words_by_document(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Document numbers and distinct word hashes, sorted by both."""
-    own = [set(text.encode().split()) if text else () for text in texts]
-    own = [np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) for words in own]
-    doc = np.repeat(np.arange(len(own), dtype=np.uint64), [len(words) for words in own])
-    keys = np.unique(doc << np.uint64(32) | np.concatenate([*own, np.zeros(0, np.uint32)]))
+    words, counts = word_crcs(texts)
+    doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    keys, _ = _counted(doc << np.uint64(32) | words)
     return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
@@ -81,10 +91,20 @@ def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def make(batches):
+        held, size = [], 0
+
+        def given():
+            words, counts = _counted(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "count"])
+
         for batch in chunks(batches):
-            _, words = _words_by_document(batch.column("text").to_pylist())
-            words, counts = np.unique(words, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "count"])
+            held.append(_words_by_document(batch.column("text"))[1])
+            size += len(held[-1])
+            if size > COUNTED_WORDS:
+                yield given()
+                held, size = [], 0
+        if held:
+            yield given()
 
     found = (
         docs.select("text")
@@ -109,7 +129,7 @@ def _key_words(docs: DataFrame, rows: int) -> DataFrame:
 
     def make(batches):
         for batch in chunks(batches):
-            doc, words = _words_by_document(batch.column("text").to_pylist())
+            doc, words = _words_by_document(batch.column("text"))
             weight = np.full(len(words), most)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
@@ -118,7 +138,11 @@ def _key_words(docs: DataFrame, rows: int) -> DataFrame:
             mixed = words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             chance = ((mixed >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
-            order = np.lexsort((words, -np.log(chance) / weight**2, doc))
+            priority = -np.log(chance) / weight**2
+            # no later one than the text's KEY_WORDS-th can be its key
+            near = _up_to_nth(priority, np.searchsorted(doc, np.arange(batch.num_rows + 1)), KEY_WORDS)
+            doc, words, priority = doc[near], words[near], priority[near]
+            order = np.lexsort((words, priority, doc))
             doc, words = doc[order], words[order]
             place = np.arange(len(doc)) - np.searchsorted(doc, doc)
             first = place < KEY_WORDS
@@ -181,9 +205,12 @@ class LexicalIndex:
         idf = np.maximum(np.log((count - df + 0.5) / (df + 0.5)), 0.0)
         norm = k1 * (1 - b + b * lengths / max(lengths.mean() if count else 1, 1e-9))
         weight = tf * (k1 + 1) / (tf + norm[self.doc_of])
-        self.weights = (idf[self.term_of] * weight).astype(np.float32)
+        # rounded, and as wide as the scores that are summed of them
+        self.weights = (idf[self.term_of] * weight).astype(np.float32).astype(np.float64)
         useful = np.flatnonzero((self.weights > 0) & (df[self.term_of] > 1))
-        order = useful[np.argsort(self.doc_of[useful], kind="stable")]
+        # the smallest type sorts fastest
+        docs = self.doc_of[useful].astype(np.min_scalar_type(count))
+        order = useful[np.argsort(docs, kind="stable")]
         self.terms_by_doc = self.term_of[order]
         self.doc_starts = np.searchsorted(self.doc_of[order], np.arange(count + 1))
 
@@ -194,12 +221,20 @@ class LexicalIndex:
         ends = np.cumsum(lengths)
         if not len(ends):
             return np.zeros(self.size)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[terms] - (ends - lengths), lengths)
-        scores = np.bincount(self.doc_of[at], self.weights[at], self.size)
+        at = np.repeat(self.starts[terms] - (ends - lengths), lengths)
+        at += np.arange(ends[-1])
+        scores = np.bincount(self.doc_of.take(at), self.weights.take(at), self.size)
         scores[seed] = 0
         return scores
 
 
+    def drop(self, used: np.ndarray) -> None:
+        """Score used documents no more; they can still be seeds."""
+        kept = ~used[self.doc_of]
+        self.starts = np.concatenate([[0], np.cumsum(kept)])[self.starts]
+        self.doc_of, self.weights = self.doc_of[kept], self.weights[kept]
+
+
 class WindowFiller:
     """Lays documents into windows of ``size`` ids, one after another."""
 
@@ -222,7 +257,8 @@ class WindowFiller:
     def lay_shard(self, doc_ids: list, ids: list[bytes], terms: list[np.ndarray]):
         """The pieces of all documents of a shard."""
         index, unused, first = LexicalIndex(terms), np.ones(len(ids), bool), 0
-        scores = None
+        scores, left = None, len(ids)
+        some = left // 8 + 1
         while True:
             doc = None
             if scores is not None:
@@ -236,6 +272,9 @@ class WindowFiller:
                     return
                 doc = first
             unused[doc] = False
+            left -= 1
+            if left % some == 0:
+                index.drop(~unused)
             new_seed = scores is None or scores[doc] <= 0
             sequence = self.sequence
             yield from self.lay(doc_ids[doc], ids[doc])
@@ -277,12 +316,16 @@ def pack_documents(
             filler = filler or WindowFiller(window, batch.column("task")[0].as_py() * SEQUENCES_PER_TASK)
             texts = batch.column("text").to_pylist()
             encoded = encoder.encode(texts, end)
-            for doc_id, found, text in zip(
-                batch.column("doc_id").to_pylist(), encoded, texts, strict=True
+            words, counts = word_crcs(batch.column("text"))
+            for doc_id, found, own in zip(
+                batch.column("doc_id").to_pylist(),
+                encoded,
+                np.split(words, np.cumsum(counts)[:-1]),
+                strict=True,
             ):
                 doc_ids.append(doc_id)
                 ids.append(found)
-                terms.append(word_hashes(text))
+                terms.append(own)
                 size += len(found) // 4
                 if size >= SHARD_IDS or len(ids) >= SHARD_DOCUMENTS:
                     yield close()

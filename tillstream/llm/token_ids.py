@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from tillstream.llm.common import SEPARATORS, WHITE
 
 #: Units kept by a worker before it drops those not needed just then; for speed only.
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 700_000
 #: Units that are encoded together; the tokenizers take longer a unit for many more.
 TOGETHER = 128
 
