@@ -153,6 +153,17 @@ def test_language_model_learns_histories():
     assert np.exp(np.log(chance).mean()) > 0.5
 
 
+def test_tokens_of_whole_texts():
+    """Codes and numbers made of whole texts are those of each text's tokens."""
+    texts = [None, b"", b" \n", b"A b", b" Two\x0btwo\xc3\x84 ", b"a\x1cb\x85 c" * 40, b"x" * 70, None]
+    tokens = [lm_scoring.tokens_of(text) for text in texts]
+    for found, expected in zip(lm_scoring._codes(texts), lm_scoring._coded(tokens, {}), strict=True):
+        assert found.tolist() == expected.tolist()
+    lengths, numbers, words = lm_scoring._numbered(texts)
+    assert lengths.tolist() == [len(own) for own in tokens] and len(words) == len(set(words))
+    assert [words[k] for k in numbers] == [word for own in tokens for word in own]
+
+
 def test_toxicity_on_documents_out_of_training(spark):
     from tillstream.llm import toxicity
 

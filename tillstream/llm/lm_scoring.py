@@ -41,10 +41,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import CHUNK_BYTES, chunks, lower_ascii, materialize, task_count, text_bytes
+from tillstream.llm.common import (
+    CHUNK_BYTES,
+    chunks,
+    lower_ascii,
+    materialize,
+    task_count,
+    text_bytes,
+    word_crcs,
+)
 
 CLASSES = MEMBERS = 24
 #: Rows of the weight table: features are hashed to these.
@@ -219,14 +228,36 @@ def _summed(own: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """CRCs of all tokens, and their places in their texts."""
+    """CRCs of all tokens of texts that are split already, and their places in their texts."""
     for word in set(chain.from_iterable(texts)).difference(codes):
         codes[word] = zlib.crc32(word)
     lengths = np.array([len(words) for words in texts], np.int64)
     total = int(lengths.sum())
     code = np.fromiter(map(codes.__getitem__, chain.from_iterable(texts)), np.uint64, total)
-    place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return code, place
+    return code, _places(lengths)
+
+
+def _places(lengths: np.ndarray) -> np.ndarray:
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """CRCs of all tokens of whole texts, and their places in their texts."""
+    lowered = [lower_ascii(text) if text else b"" for text in texts]
+    words, counts = word_crcs(pa.array(lowered, pa.binary()))
+    code = np.insert(words, np.cumsum(counts), np.uint32(zlib.crc32(END)))
+    return code.astype(np.uint64), _places(counts + 1)
+
+
+def _numbered(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Each text's number of tokens, the number of every token, and the distinct tokens."""
+    # the space before nothing leaves an empty word, the end
+    lowered = [lower_ascii(text or b"").strip() for text in texts]
+    spaced = [text + b" " if text else b"" for text in lowered]
+    tokens = pc.ascii_split_whitespace(pa.array(spaced, pa.large_binary()).view(pa.large_string()))
+    found = tokens.flatten().dictionary_encode()
+    words = found.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    return tokens.value_lengths().to_numpy().astype(np.int64), found.indices.to_numpy(), words
 
 
 def train(docs: DataFrame, start: Weights, rounds: int = 3, rate: float = 1.0) -> Weights:
@@ -291,11 +322,9 @@ def _learner(start: Weights, rate: float):
     flat = start.flat()
 
     def learn(batches):
-        weights, codes = Weights.from_flat(flat), {}
+        weights = Weights.from_flat(flat)
         for group, ends, texts in _grouped_texts(batches):
-            if len(codes) > 150_000:
-                codes.clear()
-            code, place = _coded([tokens_of(text) for text in texts], codes)
+            code, place = _codes(texts)
             rows = history_rows(code, place)
             kind, member = (x.astype(np.int64) for x in slot_of(code))
             for at in range(0, len(code), BATCH):
@@ -435,13 +464,10 @@ def score_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
         known = count > 0
         out: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for batch in chunks(left.select(["text"]).to_batches()):
-            texts = [tokens_of(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            lengths = np.array([len(words) for words in texts], np.int64)
+            lengths, own, words = _numbered(batch.column("text").cast(pa.binary()).to_pylist())
             starts = np.cumsum(lengths) - lengths
-            words = map(number.__getitem__, chain.from_iterable(texts))
-            own = np.fromiter(words, np.int64, int(lengths.sum()))
-            place = np.arange(len(own)) - np.repeat(starts, lengths)
-            rows, logs = history_rows(code[own], place), leaf[own]
+            own = np.fromiter(map(number.__getitem__, words), np.int64, len(words))[own]
+            rows, logs = history_rows(code[own], _places(lengths)), leaf[own]
             for at in range(0, len(own), BATCH):
                 cut = slice(at, at + BATCH)
                 k, m = kind[own[cut]], member[own[cut]]
