@@ -164,6 +164,16 @@ def test_tokens_of_whole_texts():
     assert [words[k] for k in numbers] == [word for own in tokens for word in own]
 
 
+def test_rows_of_batches_are_those_of_all_tokens():
+    for count in (0, 1, 2, 1024, 16 * 1024, 40_001):
+        code = np.random.default_rng(count).integers(0, 50, count).astype(np.uint64)
+        place = np.arange(count) % 7001
+        found = list(lm_scoring._batches(code, place))
+        rows = np.concatenate([np.zeros((5, 0), np.int64), *[own for _, own in found]], axis=1)
+        assert (rows == lm_scoring.history_rows(code, place)).all()
+        assert [cut.start for cut, _ in found] == list(range(0, count, lm_scoring.BATCH))
+
+
 def test_toxicity_on_documents_out_of_training(spark):
     from tillstream.llm import toxicity
 

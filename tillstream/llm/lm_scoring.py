@@ -114,6 +114,16 @@ def history_rows(code: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([np.zeros(len(code), np.uint64), *rows]).astype(np.int64)
 
 
+def _batches(code: np.ndarray, place: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Every ``BATCH`` tokens and their weight rows, which are made for a few batches at once."""
+    for first in range(0, len(code), 16 * BATCH):
+        # with the three words before
+        own = slice(max(0, first - 3), first + 16 * BATCH)
+        rows = history_rows(code[own], place[own])[:, first - own.start :]
+        for at in range(0, rows.shape[1], BATCH):
+            yield slice(first + at, first + at + BATCH), rows[:, at : at + BATCH]
+
+
 @dataclass
 class Weights:
     """``table``: a row for each feature, classes then members. ``pairs``: class by member.
@@ -325,11 +335,9 @@ def _learner(start: Weights, rate: float):
         weights = Weights.from_flat(flat)
         for group, ends, texts in _grouped_texts(batches):
             code, place = _codes(texts)
-            rows = history_rows(code, place)
-            kind, member = (x.astype(np.int64) for x in slot_of(code))
-            for at in range(0, len(code), BATCH):
-                cut = slice(at, at + BATCH)
-                weights.update(rows[:, cut], kind[cut], member[cut], rate)
+            for cut, rows in _batches(code, place):
+                kind, member = (x.astype(np.int64) for x in slot_of(code[cut]))
+                weights.update(rows, kind, member, rate)
             if ends:
                 yield from _learnt(weights, Weights.from_flat(flat), group)
                 weights = Weights.from_flat(flat)
@@ -467,11 +475,10 @@ def score_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
             lengths, own, words = _numbered(batch.column("text").cast(pa.binary()).to_pylist())
             starts = np.cumsum(lengths) - lengths
             own = np.fromiter(map(number.__getitem__, words), np.int64, len(words))[own]
-            rows, logs = history_rows(code[own], _places(lengths)), leaf[own]
-            for at in range(0, len(own), BATCH):
-                cut = slice(at, at + BATCH)
+            logs = leaf[own]
+            for cut, rows in _batches(code[own], _places(lengths)):
                 k, m = kind[own[cut]], member[own[cut]]
-                classes, members = weights.probabilities(rows[:, cut], k)
+                classes, members = weights.probabilities(rows, k)
                 every = np.arange(len(k))
                 logs[cut] += np.log10(np.maximum(classes[every, k], 1e-30))
                 logs[cut] += np.log10(np.maximum(members[every, m], 1e-30))
