@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -569,3 +570,16 @@ def test_word_weights_count_every_document(spark):
     for word, count in (("rare", 7), ("often", 9_993)):
         weight = math.log((rows - count + 0.5) / (count + 0.5))
         assert found[packing.word_hashes(word)[0]] == pytest.approx(weight, abs=1e-9)
+
+
+def test_rows_that_come_twice_are_summed_at_once():
+    """Sums of gradients take little more than the gradients themselves."""
+    own = np.repeat(np.arange(512), 2)
+    gradient = np.random.default_rng(1).random((1024, 48), np.float32)
+    tracemalloc.start()
+    target, total = lm_scoring._summed(own, gradient)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert target.tolist() == list(range(512))
+    assert np.allclose(total, gradient.reshape(512, 2, 48).sum(axis=1))
+    assert peak < 2.5 * gradient.nbytes

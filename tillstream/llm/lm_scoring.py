@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -202,39 +201,53 @@ class Weights:
 
         def step(own, gradient, table, seen):
             target, total = _summed(own, gradient)
-            seen[target] += np.einsum("ij,ij->i", total, total)
-            total *= (rate / np.sqrt(seen[target]))[:, None]
-            table[target] -= total
+            now = seen.take(target)
+            now += np.einsum("ij,ij->i", total, total)
+            seen[target] = now
+            np.sqrt(now, out=now)
+            np.divide(np.float32(rate), now, out=now)
+            total *= now[:, None]
+            # a row is moved as one value, which is quicker than as a row of numbers
+            moved = table.take(target, axis=0)
+            moved -= total
+            whole = np.dtype((np.void, table.itemsize * table.shape[1]))
+            table.view(whole)[target] = moved.view(whole)
 
         for own in rows[1:]:
             step(own, gradient, self.table, self.seen)
         total = gradient.sum(axis=0)
         self.seen[0] += (total**2).sum()
         self.table[0] -= rate * total / np.sqrt(self.seen[0])
-        step(kind, members, self.pairs, self.pairs_seen)
+        step(kind, np.ascontiguousarray(members), self.pairs, self.pairs_seen)
 
 
 def _summed(own: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct weight rows of a batch, and the sum of each one's gradients.
 
-    Most rows come once; only those that come again are summed, by differences
-    of running sums.
+    Most rows come once; only those that come again are summed, those that come
+    twice at once.
     """
-    order = np.argsort(own.astype(_ROW_TYPE), kind="stable")
-    own = own[order]
-    is_first = np.concatenate([[True], own[1:] != own[:-1]])
-    first = np.flatnonzero(is_first)
-    times = np.diff(first, append=len(own))
-    total = gradient.take(order[first], axis=0)
-    many = times > 1
-    if many.any():
-        again = order[np.repeat(many, times)]
-        sums = np.cumsum(gradient.take(again, axis=0), axis=0, dtype=np.float64)
-        ends = np.cumsum(times[many]) - 1
-        sums = sums[ends]
-        sums[1:] -= sums[:-1].copy()
-        total[many] = sums
-    return own[first], total
+    order = own.astype(_ROW_TYPE).argsort(kind="stable")
+    own = own.take(order)
+    is_first = np.empty(len(own), bool)
+    is_first[0] = True
+    np.not_equal(own[1:], own[:-1], out=is_first[1:])
+    first = is_first.nonzero()[0]
+    times = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=times[:-1])
+    times[-1] = len(own) - first[-1]
+    total = gradient.take(order.take(first), axis=0)
+    twice = (times == 2).nonzero()[0]
+    if len(twice):
+        total[twice] += gradient.take(order.take(first.take(twice) + 1), axis=0)
+    many = (times > 2).nonzero()[0]
+    if len(many):
+        starts, lengths = first.take(many), times.take(many)
+        ends = lengths.cumsum()
+        places = np.arange(ends[-1]) + (starts - ends + lengths).repeat(lengths)
+        again = gradient.take(order.take(places), axis=0)
+        total[many] = np.add.reduceat(again, ends - lengths, axis=0, dtype=np.float64)
+    return own.take(first), total
 
 
 def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -259,15 +272,21 @@ def _codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return code.astype(np.uint64), _places(counts + 1)
 
 
-def _numbered(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Each text's number of tokens, the number of every token, and the distinct tokens."""
+def _tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``_numbered`` with the distinct tokens as an Arrow array."""
     # the space before nothing leaves an empty word, the end
     lowered = [lower_ascii(text or b"").strip() for text in texts]
     spaced = [text + b" " if text else b"" for text in lowered]
     tokens = pc.ascii_split_whitespace(pa.array(spaced, pa.large_binary()).view(pa.large_string()))
     found = tokens.flatten().dictionary_encode()
-    words = found.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
-    return tokens.value_lengths().to_numpy().astype(np.int64), found.indices.to_numpy(), words
+    lengths = tokens.value_lengths().to_numpy().astype(np.int64)
+    return lengths, found.indices.to_numpy(), found.dictionary.view(pa.large_binary())
+
+
+def _numbered(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Each text's number of tokens, the number of every token, and the distinct tokens."""
+    lengths, number, words = _tokens(texts)
+    return lengths, number, words.to_numpy(zero_copy_only=False).tolist()
 
 
 def train(docs: DataFrame, start: Weights, rounds: int = 3, rate: float = 1.0) -> Weights:
@@ -396,42 +415,28 @@ def _dealt(docs: DataFrame) -> DataFrame:
 def _vocabularies(dealt: DataFrame) -> DataFrame:
     """(chunk, word, own): each chunk's words and their count in its training documents.
 
-    A task's words are given out whenever many have gathered, so that a chunk may
-    give a word more than once.
+    A task gives out the words of some texts at a time, so that a chunk may give a
+    word more than once.
     """
 
     def count(batches):
-        found: dict[int, Counter] = {}
-
-        def given():
-            for chunk, counter in found.items():
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk] * len(counter), pa.int32()),
-                        pa.array(list(counter), pa.binary()).cast(pa.string()),
-                        pa.array(list(counter.values()), pa.int64()),
-                    ],
-                    ["chunk", "word", "own"],
-                )
-            found.clear()
-
         for batch in chunks(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for chunk, held, text in zip(
-                batch.column("chunk").to_pylist(),
-                batch.column("held_out").to_pylist(),
-                texts,
-                strict=True,
-            ):
-                counter = found.setdefault(chunk, Counter())
-                if held:
-                    for word in tokens_of(text):
-                        counter.setdefault(word, 0)
-                else:
-                    counter.update(tokens_of(text))
-            if sum(map(len, found.values())) > 150_000:
-                yield from given()
-        yield from given()
+            lengths, number, words = _tokens(batch.column("text").cast(pa.binary()).to_pylist())
+            places, chunk = np.unique(batch.column("chunk").to_numpy(), return_inverse=True)
+            is_own = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            key = np.repeat(chunk * len(words), lengths) + number
+            size = len(places) * len(words)
+            counts = np.bincount(key, minlength=size)
+            own = np.bincount(key, np.repeat(is_own, lengths), size).astype(np.int64)
+            found = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(places[found // len(words)], pa.int32()),
+                    words.take(pa.array(found % len(words))).cast(pa.binary()).cast(pa.string()),
+                    pa.array(own[found], pa.int64()),
+                ],
+                ["chunk", "word", "own"],
+            )
 
     return dealt.mapInArrow(count, "chunk int, word string, own bigint")
 
@@ -441,6 +446,8 @@ def score_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
     by_word = Window.partitionBy("word")
     vocabulary = materialize(
         _vocabularies(_dealt(docs))
+        # one shuffle serves the sums and the window
+        .repartition("word")
         .groupBy("word", "chunk")
         .agg(F.sum("own").alias("own"))
         .withColumn("count", F.sum("own").over(by_word))
