@@ -583,3 +583,12 @@ def test_rows_that_come_twice_are_summed_at_once():
     assert target.tolist() == list(range(512))
     assert np.allclose(total, gradient.reshape(512, 2, 48).sum(axis=1))
     assert peak < 2.5 * gradient.nbytes
+
+
+def test_workers_drop_what_other_steps_keep():
+    dropped = []
+    common.only_keep("token ids", lambda: dropped.append("units"))
+    common.only_keep("token ids", lambda: dropped.append("units"))
+    assert not dropped
+    assert list(jaccard_groups._sets_of(iter([]))) == []
+    assert dropped == ["units"]

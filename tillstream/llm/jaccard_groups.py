@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import chunks, lower_ascii, materialize, unused
+from tillstream.llm.common import chunks, lower_ascii, materialize, only_keep, unused
 from tillstream.llm.components import connected
 
 SHINGLE = 5
@@ -92,6 +92,7 @@ def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> list[np.ndar
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Chunks with the shingle sets of their texts; a task keeps no words for the next one."""
+    only_keep("sets")
     try:
         for batch in chunks(batches):
             yield batch, shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
@@ -217,6 +218,7 @@ def _sets(docs: DataFrame, signatures: DataFrame, places: DataFrame) -> DataFram
     ).select("c.id", "c.group", "c.parts", "d.text")
 
     def make(batches):
+        only_keep("sets")
         seen: set[int] = set()
         for batch in chunks(batches):
             once = {key: row for row, key in enumerate(batch.column("id").to_pylist()) if key not in seen}
@@ -274,6 +276,7 @@ def _links_in_parts(parts: DataFrame, percent: int) -> DataFrame:
     """(a, b): each set that links with others of its part, and the least set it reaches there."""
 
     def make(batches):
+        only_keep("sets")
         for rows in _groups(batches, ["group", "part"]):
             rows = list({row["id"]: row for row in rows}.values())
             ids = np.array([row["id"] for row in rows])
@@ -424,6 +427,7 @@ def _links_across(
     )
 
     def make(batches):
+        only_keep("sets")
         for rows in _groups(batches, ["cell", "block"]):
             rows = list({(row["asks"], row["id"]): row for row in rows}.values())
             asks = np.array([row["asks"] for row in rows])
