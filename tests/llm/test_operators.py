@@ -592,3 +592,13 @@ def test_workers_drop_what_other_steps_keep():
     assert not dropped
     assert list(jaccard_groups._sets_of(iter([]))) == []
     assert dropped == ["units"]
+
+
+def test_marks_are_cut_where_others_stand_inside():
+    text = "of 1.5 words, a.b and ends. It's,end x."
+    assert token_ids.leading_gaps(text).split("\0") == [
+        "of", " 1.5", " words", ",", " a.b", " and", " ends", ".", " It's,end", " x", "."
+    ]
+    (ids,) = token_ids.byte_bpe().encode([text], 0)
+    plain = token_ids.byte_bpe().tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == [*plain, 0]

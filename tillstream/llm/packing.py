@@ -33,7 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import chunks, materialize, task_count, text_bytes, word_crcs
+from tillstream.llm.common import (
+    chunks,
+    materialize,
+    only_keep,
+    task_count,
+    text_bytes,
+    word_crcs,
+)
 from tillstream.llm.token_ids import byte_bpe
 
 PIECES = (
@@ -50,8 +57,10 @@ BLOCK_DOCUMENTS = 256
 KEY_WORDS = 12
 #: Words that are weighed by their number of documents, the most frequent ones.
 WEIGHED_WORDS = 1 << 16
-#: Words of documents that a task gathers before it gives out their counts.
-COUNTED_WORDS = 1 << 21
+#: Words that a task gathers before it sums up their counts.
+COUNTED_WORDS = 1 << 20
+#: Frequent terms of a shard whose weights stand in a table of terms by documents.
+TABLED_TERMS = 256
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,35 +92,89 @@ def _words_by_document(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of frequent words, and their inverse document frequencies.
+class _WordCounts:
+    """Counts of word hashes, which are summed up whenever many have gathered."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, words: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((words, counts))
+        self.size += len(words)
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct words and their counts, which are all that stay."""
+        if len(self.held) > 1:
+            words, counts = (np.concatenate(own) for own in zip(*self.held, strict=True))
+            order = np.argsort(words)
+            words, counts = words[order], counts[order]
+            first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])[: len(words)])
+            counts = np.add.reduceat(counts, first) if len(first) else counts
+            self.held, self.size = [(words[first], counts)], len(first)
+        return self.held[0]
+
+
+def _counts_of_documents(batches):
+    """(part, words, counts): in how many texts each word is; a part holds hashes of a range."""
+    found = _WordCounts()
+
+    def given():
+        words, counts = found.total()
+        cuts = np.searchsorted(words, np.arange(257) << 24)
+        parts = np.flatnonzero(np.diff(cuts))
+        arrays = [
+            pa.array([own[cuts[k] : cuts[k + 1]].astype(kind).tobytes() for k in parts], pa.binary())
+            for own, kind in ((words, "<u4"), (counts, "<i8"))
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), *arrays], ["part", "words", "counts"]
+        )
 
-    They are counted over all documents and only order the words of a text. Words
-    that are not found weigh most.
-    """
+    only_keep("words")
+    for batch in chunks(batches):
+        found.add(*_counted(_words_by_document(batch.column("text"))[1]))
+        if found.size > COUNTED_WORDS and len(found.total()[0]) > COUNTED_WORDS // 2:
+            yield given()
+            found = _WordCounts()
+    if found.held:
+        yield given()
 
-    def make(batches):
-        held, size = [], 0
 
-        def given():
-            words, counts = _counted(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "count"])
+def _counts_of_parts(batches):
+    """(word, count) of words in more than two texts, from sorted parts; one is held at a time."""
+    last, found = None, _WordCounts()
 
-        for batch in chunks(batches):
-            held.append(_words_by_document(batch.column("text"))[1])
-            size += len(held[-1])
-            if size > COUNTED_WORDS:
+    def given():
+        words, counts = found.total()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words[counts > 2]), pa.array(counts[counts > 2])], ["word", "count"]
+        )
+
+    for batch in batches:
+        for part, words, counts in zip(*(own.to_pylist() for own in batch.columns), strict=True):
+            if part != last and found.held:
                 yield given()
-                held, size = [], 0
-        if held:
-            yield given()
+                found = _WordCounts()
+            last = part
+            found.add(np.frombuffer(words, "<u4").astype(np.int64), np.frombuffer(counts, "<i8"))
+            if found.size > 2 * COUNTED_WORDS:
+                found.total()
+    if found.held:
+        yield given()
+
+
+def _word_weights(docs: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent words, and their inverse document frequencies.
 
+    They are counted over all documents and only order the words of a text. Words
+    that are not found weigh most.
+    """
     found = (
         docs.select("text")
-        .mapInArrow(make, "word bigint, count bigint")
-        .groupBy("word")
-        .agg(F.sum("count").alias("count"))
-        .filter("count > 2")
+        .mapInArrow(_counts_of_documents, "part int, words binary, counts binary")
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(_counts_of_parts, "word bigint, count bigint")
         .orderBy(F.desc("count"), "word")
         .limit(WEIGHED_WORDS)
         .collect()
@@ -207,7 +270,17 @@ class LexicalIndex:
         weight = tf * (k1 + 1) / (tf + norm[self.doc_of])
         # rounded, and as wide as the scores that are summed of them
         self.weights = (idf[self.term_of] * weight).astype(np.float32).astype(np.float64)
-        useful = np.flatnonzero((self.weights > 0) & (df[self.term_of] > 1))
+        # most postings are of a few terms: their scores come of one product
+        often = np.flatnonzero(df > count // 8)
+        often = often[np.argsort(-df[often], kind="stable")][:TABLED_TERMS]
+        row = np.full(len(df), -1)
+        row[often] = np.arange(len(often))
+        row = row[self.term_of]
+        own = np.flatnonzero((row >= 0) & (self.weights > 0))
+        table = np.zeros((len(often), count))
+        table[row[own], self.doc_of[own]] = self.weights[own]
+        self.tabled, self.kept = (table > 0).T.astype(np.float64) @ table, np.ones(count)
+        useful = np.flatnonzero((self.weights > 0) & (df[self.term_of] > 1) & (row < 0))
         # the smallest type sorts fastest
         docs = self.doc_of[useful].astype(np.min_scalar_type(count))
         order = useful[np.argsort(docs, kind="stable")]
@@ -219,17 +292,16 @@ class LexicalIndex:
         terms = self.terms_by_doc[self.doc_starts[seed] : self.doc_starts[seed + 1]]
         lengths = self.starts[terms + 1] - self.starts[terms]
         ends = np.cumsum(lengths)
-        if not len(ends):
-            return np.zeros(self.size)
         at = np.repeat(self.starts[terms] - (ends - lengths), lengths)
-        at += np.arange(ends[-1])
-        scores = np.bincount(self.doc_of.take(at), self.weights.take(at), self.size)
+        at += np.arange(len(at))
+        scores = self.tabled[seed] * self.kept
+        scores += np.bincount(self.doc_of.take(at), self.weights.take(at), self.size)
         scores[seed] = 0
         return scores
 
-
     def drop(self, used: np.ndarray) -> None:
         """Score used documents no more; they can still be seeds."""
+        self.kept = (~used).astype(np.float64)
         kept = ~used[self.doc_of]
         self.starts = np.concatenate([[0], np.cumsum(kept)])[self.starts]
         self.doc_of, self.weights = self.doc_of[kept], self.weights[kept]
@@ -300,6 +372,7 @@ def pack_documents(
     kinds = [pa.int64()] * 7 + [pa.binary()]
 
     def make(batches):
+        only_keep("token ids", byte_bpe.cache_clear)
         encoder, filler = byte_bpe(tokenizer), None
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
@@ -314,8 +387,8 @@ def pack_documents(
 
         for batch in chunks(batches):
             filler = filler or WindowFiller(window, batch.column("task")[0].as_py() * SEQUENCES_PER_TASK)
-            texts = batch.column("text").to_pylist()
-            encoded = encoder.encode(texts, end)
+            encoded = encoder.encode(batch.column("text").to_pylist(), end)
+            pa.default_memory_pool().release_unused()
             words, counts = word_crcs(batch.column("text"))
             for doc_id, found, own in zip(
                 batch.column("doc_id").to_pylist(),

@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from tillstream.llm.common import SEPARATORS, WHITE
 
-#: Units kept by a worker before it drops those not needed just then; for speed only.
-KEPT_UNITS = 700_000
+#: Units that a worker gathers before it drops those not met since it last had so many; for speed only.
+KEPT_UNITS = 250_000
 #: Units that are encoded together; the tokenizers take longer a unit for many more.
 TOGETHER = 128
 
@@ -31,6 +31,7 @@ _ODD_GAP = re.compile("[\0\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 # A full stop or comma that does not stand between a letter or digit and a gap.
 _MARK_INSIDE = re.compile(f"[.,](?:(?=[^{WHITE}])|(?<![^\\W_][.,]))")
+_MARK_AT_END = re.compile(f"(?<=[^\\W_])[.,](?![^{WHITE}])")
 
 
 def dropped_gaps(text: str) -> str:
@@ -50,13 +51,15 @@ def leading_gaps(text: str) -> str | list[str]:
 
     White space before a word leaves its last character to the word if that is
     a space, and as a unit of its own if not. Where white space stands alone
-    everywhere, every space begins a unit and a line end is one; and where
-    every full stop and comma ends a word, it is one too. Such units come as one
-    text with ``\\0`` between.
+    everywhere, every space begins a unit and a line end is one; and a full stop
+    or comma that ends a word is one too. Such units come as one text with
+    ``\\0`` between.
     """
     if text[:1] == " " or any(run in text for run in _RUNS) or _ODD_GAP.search(text):
         return _SPACED.findall(text)
-    if not _MARK_INSIDE.search(text):
+    if _MARK_INSIDE.search(text):
+        text = _MARK_AT_END.sub("\0\\g<0>", text)
+    else:
         text = text.replace(".", "\0.").replace(",", "\0,")
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0")
 
@@ -74,7 +77,7 @@ _LETTERS = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]+")
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 # The character that stands for a byte in byte-level tokenizers.
 _VISIBLE = {
-    byte: 0x100 + k for k, byte in enumerate(sorted(set(range(0x100)).difference(_SHOWN)))
+    byte: chr(0x100 + k) for k, byte in enumerate(sorted(set(range(0x100)).difference(_SHOWN)))
 }
 _UNITS = pa.large_list(pa.large_string())
 
@@ -88,8 +91,9 @@ class IdEncoder:
     ``between`` parts units that are encoded together: it must always be encoded as
     the one id ``mark``, which no unit without the character ``mark_text`` has.
 
-    ``plain``, if given, does what the tokenizer does to a unit of Latin letters, with
-    or without a space before it, until it comes to its model.
+    ``plain``, if given, does what the tokenizer does to units of Latin letters, with
+    or without a space before them, until they come to its model; they are given and
+    taken as one text with line ends between.
     """
 
     def __init__(
@@ -112,6 +116,7 @@ class IdEncoder:
         (self.mark,) = self.tokenizer.encode(between, add_special_tokens=False).ids
         self.plain = plain
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
@@ -144,20 +149,21 @@ class IdEncoder:
 
     def _units(self, units: list[str]) -> list[bytes]:
         """Ids of distinct units."""
-        known = self.known
-        if len(known) > KEPT_UNITS:
-            self.known = known = {unit: known[unit] for unit in units if unit in known}
+        if len(self.known) > KEPT_UNITS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         found = list(map(known.get, units))
         letters, alone, together = [], [], []
-        for k, own in enumerate(found):
-            if own is None:
-                unit = units[k]
-                if self.plain and _LETTERS.fullmatch(unit):
-                    letters.append(k)
-                elif self.mark_text in unit or not unit or unit.isspace():
-                    alone.append(k)
-                else:
-                    together.append(k)
+        for k in [k for k, own in enumerate(found) if own is None]:
+            unit = units[k]
+            if (own := older.get(unit)) is not None:
+                found[k] = known[unit] = own
+            elif self.plain and _LETTERS.fullmatch(unit):
+                letters.append(k)
+            elif self.mark_text in unit or not unit or unit.isspace():
+                alone.append(k)
+            else:
+                together.append(k)
         kinds = ((letters, self._plain_ids), (alone, self._ids), (together, self._ids_together))
         for places, encode in kinds:
             new = [units[k] for k in places]
@@ -179,8 +185,11 @@ class IdEncoder:
 
     def _plain_ids(self, units: list[str]) -> list[bytes]:
         """Ids of units of Latin letters, which come whole to the tokenizer's model."""
-        model = self.tokenizer.model
-        found = [[token.id for token in model.tokenize(self.plain(unit))] for unit in units]
+        if not units:
+            return []
+        tokenize = self.tokenizer.model.tokenize
+        shown = self.plain("\n".join(units)).split("\n")
+        found = [[token.id for token in tokenize(unit)] for unit in shown]
         data = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
         ends = [4 * end for end in accumulate(map(len, found))]
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
@@ -206,14 +215,17 @@ def byte_bpe(path: str | None = None) -> IdEncoder:
     return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps, _at_nulls, "\n", "\n", plain)
 
 
-def _visible(unit: str) -> str:
-    if unit.isascii():
-        return unit.replace(" ", "\u0120")
-    return unit.encode().decode("latin-1").translate(_VISIBLE)
+def _visible(units: str) -> str:
+    if units.isascii():
+        return units.replace(" ", _VISIBLE[0x20])
+    units = units.encode().decode("latin-1")
+    for byte in set(units.encode("latin-1")).intersection(_VISIBLE).difference(b"\n"):
+        units = units.replace(chr(byte), _VISIBLE[byte])
+    return units
 
 
-def _lower_visible(unit: str) -> str:
-    return _visible(unit.lower())
+def _lower_visible(units: str) -> str:
+    return _visible(units.lower())
 
 
 def _installed(name: str) -> str:
