@@ -602,3 +602,40 @@ def test_marks_are_cut_where_others_stand_inside():
     (ids,) = token_ids.byte_bpe().encode([text], 0)
     plain = token_ids.byte_bpe().tokenizer.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(ids, "<u4").tolist() == [*plain, 0]
+
+
+def test_an_index_is_built_in_little_memory():
+    """A shard's index takes a few times the bytes of its terms beside the table of products."""
+    import tracemalloc
+
+    dice = np.random.default_rng(11)
+    common_terms = dice.integers(0, 300, (1024, 100))
+    rare = dice.integers(300, 1 << 31, (1024, 900))
+    terms = list(np.concatenate([common_terms, rare], axis=1).astype(np.uint32))
+    tracemalloc.start()
+    index = packing.LexicalIndex(terms)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < index.tabled.nbytes + 15 * sum(own.nbytes for own in terms)
+
+
+def test_memory_is_given_back_after_a_shard(monkeypatch):
+    """A worker that a step has left, or a batch, keeps no memory that nothing uses."""
+    calls = []
+    monkeypatch.setattr(common, "_trim", calls.append)
+    common.only_keep("texts")
+    assert calls == [0]
+    list(common.chunks(iter([pa.record_batch({"text": ["a", "b"]})])))
+    assert calls == [0, 0]
+
+
+def test_arrow_tells_which_texts_need_more_cuts(texts):
+    """All texts of a batch are looked through at once, and get the units that each gets alone."""
+    given = [*TRICKY, *(text for text in texts.values() if text)]
+    given += [f"a{gap}b. c" for gap in "\0\t\v\f\r\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"]
+    found = token_ids.leading_gaps_of(given)
+    assert found == [token_ids.leading_gaps(text) for text in given]
+    odd = token_ids.re.compile(f" |.*(?:[^\\S\n ]|\0|  |\n\n| \n|\n )", token_ids.re.DOTALL)
+    for text, own in zip(given, found, strict=True):
+        # Python counts the separators as white space
+        assert isinstance(own, list) == bool(odd.match(common.SEPARATORS.sub("x", text))), text

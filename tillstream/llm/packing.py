@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import (
     chunks,
+    give_back,
     materialize,
     only_keep,
     task_count,
@@ -64,8 +65,8 @@ TABLED_TERMS = 256
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and how often each occurs."""
-    keys = np.sort(keys)
+    """Sorted distinct keys and how often each occurs; ``keys`` is sorted in place."""
+    keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
     return keys[first], np.diff(np.append(first, len(keys)))
 
@@ -258,29 +259,38 @@ class LexicalIndex:
         """``terms``: the hashes of each document's words, repeated ones too."""
         count = self.size = len(terms)
         lengths = np.array([len(own) for own in terms], np.int64)
-        doc = np.repeat(np.arange(count, dtype=np.uint64), lengths)
-        keys = np.concatenate([*terms, np.zeros(0, np.uint32)]).astype(np.uint64) << np.uint64(24) | doc
+        keys = np.concatenate([*terms, np.zeros(0, np.uint32)]).astype(np.uint64)
+        keys <<= np.uint64(24)
+        keys |= np.repeat(np.arange(count, dtype=np.uint64), lengths)
         keys, tf = _counted(keys)
         self.doc_of = (keys & np.uint64((1 << 24) - 1)).astype(np.int64)
-        _, df = _counted(keys >> np.uint64(24))
-        self.term_of = np.repeat(np.arange(len(df)), df)
+        keys >>= np.uint64(24)
+        _, df = _counted(keys)
+        del keys
+        self.term_of = np.repeat(np.arange(len(df), dtype=np.int32), df)
         self.starts = np.concatenate([[0], np.cumsum(df)])
         idf = np.maximum(np.log((count - df + 0.5) / (df + 0.5)), 0.0)
         norm = k1 * (1 - b + b * lengths / max(lengths.mean() if count else 1, 1e-9))
-        weight = tf * (k1 + 1) / (tf + norm[self.doc_of])
+        weights = tf * (k1 + 1)
+        weights /= tf + norm[self.doc_of]
+        del tf
+        weights *= idf[self.term_of]
         # rounded, and as wide as the scores that are summed of them
-        self.weights = (idf[self.term_of] * weight).astype(np.float32).astype(np.float64)
+        self.weights = weights.astype(np.float32).astype(np.float64)
+        del weights
         # most postings are of a few terms: their scores come of one product
         often = np.flatnonzero(df > count // 8)
         often = often[np.argsort(-df[often], kind="stable")][:TABLED_TERMS]
-        row = np.full(len(df), -1)
+        row = np.full(len(df), -1, np.int16)
         row[often] = np.arange(len(often))
         row = row[self.term_of]
+        useful = np.flatnonzero((self.weights > 0) & (df[self.term_of] > 1) & (row < 0))
         own = np.flatnonzero((row >= 0) & (self.weights > 0))
         table = np.zeros((len(often), count))
         table[row[own], self.doc_of[own]] = self.weights[own]
+        del row, own
         self.tabled, self.kept = (table > 0).T.astype(np.float64) @ table, np.ones(count)
-        useful = np.flatnonzero((self.weights > 0) & (df[self.term_of] > 1) & (row < 0))
+        del table
         # the smallest type sorts fastest
         docs = self.doc_of[useful].astype(np.min_scalar_type(count))
         order = useful[np.argsort(docs, kind="stable")]
@@ -388,7 +398,7 @@ def pack_documents(
         for batch in chunks(batches):
             filler = filler or WindowFiller(window, batch.column("task")[0].as_py() * SEQUENCES_PER_TASK)
             encoded = encoder.encode(batch.column("text").to_pylist(), end)
-            pa.default_memory_pool().release_unused()
+            give_back()
             words, counts = word_crcs(batch.column("text"))
             for doc_id, found, own in zip(
                 batch.column("doc_id").to_pylist(),
@@ -403,7 +413,10 @@ def pack_documents(
                 if size >= SHARD_IDS or len(ids) >= SHARD_DOCUMENTS:
                     yield close()
                     doc_ids, ids, terms, size = [], [], [], 0
+                    give_back()
         if ids:
             yield close()
+            doc_ids, ids, terms = [], [], []
+            give_back()
 
     return dealt.mapInArrow(make, PIECES)

@@ -26,14 +26,20 @@ TOGETHER = 128
 
 _WORDS = re.compile(f"[^{WHITE}]+")
 _SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
-# White space other than the space and the line end, and the cut.
-_ODD_GAP = re.compile("[\0\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_RUNS = ("  ", "\n\n", " \n", "\n ")
+# For Arrow: a space at the start, runs of white space, white space other than the space and the line end, and the cut.
+_ODD_GAPS = r"^ |  |\n\n| \n|\n |[\x00\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_GAPS = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The like of _MARK_INSIDE.
+_MARKS_INSIDE = rf"[.,][^{_GAPS}]|(?:^|[^\p{{L}}\p{{N}}])[.,]"
 # A full stop or comma that does not stand between a letter or digit and a gap.
 _MARK_INSIDE = re.compile(f"[.,](?:(?=[^{WHITE}])|(?<![^\\W_][.,]))")
 _MARK_AT_END = re.compile(f"(?<=[^\\W_])[.,](?![^{WHITE}])")
 
 
+def dropped_gaps_of(texts: list[str]) -> list[str]:
+    return [dropped_gaps(text) for text in texts]
+
+
 def dropped_gaps(text: str) -> str:
     """Units, with ASCII white space between, for a tokenizer that drops white space.
 
@@ -55,9 +61,22 @@ def leading_gaps(text: str) -> str | list[str]:
     or comma that ends a word is one too. Such units come as one text with
     ``\\0`` between.
     """
-    if text[:1] == " " or any(run in text for run in _RUNS) or _ODD_GAP.search(text):
+    return leading_gaps_of([text])[0]
+
+
+def leading_gaps_of(texts: list[str]) -> list[str | list[str]]:
+    """``leading_gaps`` of each text; Arrow tells which texts need more than the plain cuts."""
+    column = pa.array(texts, pa.large_string())
+    odd, inside = (
+        pc.match_substring_regex(column, own).to_pylist() for own in (_ODD_GAPS, _MARKS_INSIDE)
+    )
+    return [_leading_gaps(*own) for own in zip(texts, odd, inside, strict=True)]
+
+
+def _leading_gaps(text: str, odd: bool, inside: bool) -> str | list[str]:
+    if odd:
         return _SPACED.findall(text)
-    if _MARK_INSIDE.search(text):
+    if inside:
         text = _MARK_AT_END.sub("\0\\g<0>", text)
     else:
         text = text.replace(".", "\0.").replace(",", "\0,")
@@ -87,7 +106,7 @@ class IdEncoder:
 
     A text that holds one of the tokenizer's added tokens is encoded as a whole.
 
-    ``units`` gives a text's units as a list, or as one text that ``split`` cuts.
+    ``units`` gives each text's units as a list, or as one text that ``split`` cuts.
     ``between`` parts units that are encoded together: it must always be encoded as
     the one id ``mark``, which no unit without the character ``mark_text`` has.
 
@@ -99,7 +118,7 @@ class IdEncoder:
     def __init__(
         self,
         path: str,
-        units: Callable[[str], str | list[str]],
+        units: Callable[[list[str]], list[str | list[str]]],
         split: Callable[[pa.Array], pa.Array],
         between: str,
         mark_text: str,
@@ -121,26 +140,28 @@ class IdEncoder:
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of every text (null: empty) and the end id, as bytes."""
         ids = [b""] * len(texts)
-        whole, joined, listed = {}, {}, {}
-        for k, text in enumerate(texts):
-            if text and self.added.search(text):
-                whole[k] = text
-            elif text:
-                units = self.units(text)
-                (joined if isinstance(units, str) else listed)[k] = units
-        lists = [
-            self.split(pa.array(joined.values(), pa.large_string())).cast(_UNITS),
-            pa.array(listed.values(), _UNITS),
-        ]
-        units = pa.concat_arrays(lists)
+        whole = {k: text for k, text in enumerate(texts) if text and self.added.search(text)}
+        cut = [k for k, text in enumerate(texts) if text and k not in whole]
+        made = dict(zip(cut, self.units([texts[k] for k in cut]), strict=True))
+        joined = [k for k in cut if isinstance(made[k], str)]
+        units = self.split(pa.array([made.pop(k) for k in joined], pa.large_string())).cast(_UNITS)
+        if made:
+            units = pa.concat_arrays([units, pa.array(made.values(), _UNITS)])
+        order = [*joined, *made]
+        del made
+        # what is no longer needed goes at once: a task's memory is for several of these
         numbered = units.flatten().dictionary_encode()
-        each = pa.array(self._units(numbered.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
-        found = each.take(numbered.indices)
+        ends = np.cumsum(units.value_lengths().to_numpy())
+        del units
+        found = self._units(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        each, numbered = pa.array(found, pa.large_binary()), numbered.indices
+        del found
+        found = each.take(numbered)
+        del each, numbered
         _, places, data = found.buffers()
-        places = np.frombuffer(places, np.int64, len(found) + 1)
-        ends = places[np.cumsum(units.value_lengths().to_numpy())].tolist()
+        ends = np.frombuffer(places, np.int64, len(found) + 1)[ends].tolist()
         data = memoryview(data if data is not None else b"")
-        for k, first, after in zip([*joined, *listed], [0, *ends], ends, strict=False):
+        for k, first, after in zip(order, [0, *ends], ends, strict=False):
             ids[k] = bytes(data[first:after])
         for k, own in zip(whole, self._ids(list(whole.values())), strict=True):
             ids[k] = own
@@ -204,7 +225,7 @@ def word_bpe(path: str | None = None) -> IdEncoder:
     """The word tokenizer, by default the installed ``word_bpe_49k.json``; one for a process."""
     plain = None if path else _lower_visible
     return IdEncoder(
-        path or _installed("word_bpe_49k.json"), dropped_gaps, _at_gaps, " | ", "|", plain
+        path or _installed("word_bpe_49k.json"), dropped_gaps_of, _at_gaps, " | ", "|", plain
     )
 
 
@@ -212,7 +233,7 @@ def word_bpe(path: str | None = None) -> IdEncoder:
 def byte_bpe(path: str | None = None) -> IdEncoder:
     """The byte tokenizer, by default the installed ``byte_bpe_50k.json``; one for a process."""
     plain = None if path else _visible
-    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps, _at_nulls, "\n", "\n", plain)
+    return IdEncoder(path or _installed("byte_bpe_50k.json"), leading_gaps_of, _at_nulls, "\n", "\n", plain)
 
 
 def _visible(units: str) -> str:
