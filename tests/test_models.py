@@ -202,3 +202,61 @@ def test_fits_keep_the_vectors_they_work_on(spark, monkeypatch):
     assert models.fit(vectors, models.KMEANS, 2, 1).k == 2
     vectors.unpersist()
     assert [level.useMemory or level.useDisk for level in kept] == [False]
+
+
+@pytest.fixture(scope="module")
+def clouds(spark):
+    """Rows around nine points, some of them twice, in three partitions."""
+    dice = random.Random(5)
+    rows = [tuple(dice.gauss(10 * (i % 9), 1.0 + i % 3) for _ in FEATURE_COLUMNS) for i in range(500)]
+    table = spark.createDataFrame(rows + rows[:40], FEATURE_COLUMNS).repartition(3)
+    vectors = features.assemble(table).cache()
+    yield vectors
+    vectors.unpersist()
+
+
+def jobs_of(spark, work):
+    """What ``work`` returns, and the number of Spark jobs it ran."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        found = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(context.statusTracker().getJobIdsForGroup("counted"))
+
+
+def assert_equal_fits(vectors, family, ks):
+    """Joint fits give the centers, order and costs of one Spark ML fit per k."""
+    joint, joint_costs = models.fit_all(vectors, family, ks, seed=1)
+    alone = [models.fit(vectors, family, k, 1) for k in ks]
+    for one, other in zip(joint, alone):
+        assert one.k == other.k and one.family == family
+        for a, b in zip(one.centers, other.centers):
+            assert a == pytest.approx(b, rel=1e-9, abs=1e-9)
+        ours, theirs = (
+            [row.prediction for row in m.score(vectors).select("prediction").collect()]
+            for m in (one, other)
+        )
+        assert ours == theirs
+    assert joint_costs == pytest.approx(models.costs(vectors, alone))
+    assert models.costs(vectors, joint) == pytest.approx(joint_costs)
+
+
+# 5, 9 and 11 split some clusters of their last level, 14 draws in hash order
+def test_joint_bisecting_equals_one_fit_per_k(clouds):
+    assert_equal_fits(clouds, BISECTING_KMEANS, [2, 3, 5, 9, 11, 14])
+
+
+def test_joint_bisecting_of_few_distinct_rows(spark):
+    rows = [(float(n % 3),) * 5 for n in range(30)]
+    table = spark.createDataFrame(rows, FEATURE_COLUMNS).repartition(2)
+    assert_equal_fits(features.assemble(table).cache(), BISECTING_KMEANS, [2, 3, 6])
+
+
+def test_bisecting_scans_do_not_grow_with_the_number_of_models(spark, clouds):
+    """Levels are split once for all k: at most 20 rounds and the costs for each."""
+    _, jobs = jobs_of(
+        spark, lambda: models.fit_all(clouds, BISECTING_KMEANS, range(2, 9), seed=1)
+    )
+    assert jobs <= 1 + 3 * 21

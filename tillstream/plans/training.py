@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.operators import clusters, features
@@ -59,20 +58,16 @@ def sweep(
     first, cost = single_mean(vectors, family)
     fitted, costs = [first], [cost]
 
-    @inheritable_thread_target(vectors.sparkSession)
-    def fit_one(k: int) -> ClusterModel:
-        return models.fit(vectors, family, k, seed)
-
     elbow = None
-    with ThreadPoolExecutor(parallel) as pool:
-        while len(costs) < max_k and not (
-            early_stop and elbow is not None and len(costs) >= elbow + offset
-        ):
-            most = len(costs) + parallel if early_stop else max_k
-            wave = list(pool.map(fit_one, range(len(costs) + 1, min(most, max_k) + 1)))
-            fitted += wave
-            costs += models.costs(vectors, wave)
-            elbow = clusters.elbow_from_costs(costs, ratio)
+    while len(costs) < max_k and not (
+        early_stop and elbow is not None and len(costs) >= elbow + offset
+    ):
+        most = len(costs) + parallel if early_stop else max_k
+        ks = range(len(costs) + 1, min(most, max_k) + 1)
+        wave, wave_costs = models.fit_all(vectors, family, ks, seed, parallel)
+        fitted += wave
+        costs += wave_costs
+        elbow = clusters.elbow_from_costs(costs, ratio)
     chosen = 1 if elbow is None else min(elbow + offset, max_k)
     return Sweep(fitted[chosen - 1], elbow, costs, fitted)
 
