@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import clusters, features
-from tillstream.plans import models, training
+from tillstream.plans import models, training, xorshift
 from tillstream.plans.models import BISECTING_KMEANS, KMEANS, ClusterModel
+from tillstream.plans.passes import Blocks
 from tillstream.schema import FEATURE_COLUMNS, LINE_COLUMNS
 
 LINE_DDL = (
@@ -208,27 +209,32 @@ def test_fits_keep_the_vectors_they_work_on(spark, monkeypatch):
 def clouds(spark):
     """Rows around nine points, some of them twice, in three partitions."""
     dice = random.Random(5)
-    rows = [tuple(dice.gauss(10 * (i % 9), 1.0 + i % 3) for _ in FEATURE_COLUMNS) for i in range(500)]
+    rows = [
+        tuple(dice.gauss(10 * (i % 9), 1.0 + i % 3) for _ in FEATURE_COLUMNS) for i in range(500)
+    ]
     table = spark.createDataFrame(rows + rows[:40], FEATURE_COLUMNS).repartition(3)
     vectors = features.assemble(table).cache()
     yield vectors
     vectors.unpersist()
 
 
-def jobs_of(spark, work):
-    """What ``work`` returns, and the number of Spark jobs it ran."""
-    context = spark.sparkContext
-    context.setJobGroup("counted", "counted")
-    try:
-        found = work()
-    finally:
-        context.setLocalProperty("spark.jobGroup.id", None)
-    return found, len(context.statusTracker().getJobIdsForGroup("counted"))
+@pytest.fixture(scope="module")
+def few_values(spark):
+    """Ties, and fewer different rows than clusters."""
+    rows = [(float(n % 3),) * 5 for n in range(30)]
+    vectors = features.assemble(spark.createDataFrame(rows, FEATURE_COLUMNS).repartition(2))
+    yield vectors.cache()
+    vectors.unpersist()
+
+
+def joint_fits(vectors, family, ks):
+    with Blocks(vectors) as blocks:
+        return models.fit_all(blocks, family, ks, seed=1)
 
 
 def assert_equal_fits(vectors, family, ks):
     """Joint fits give the centers, order and costs of one Spark ML fit per k."""
-    joint, joint_costs = models.fit_all(vectors, family, ks, seed=1)
+    joint, joint_costs = joint_fits(vectors, family, ks)
     alone = [models.fit(vectors, family, k, 1) for k in ks]
     for one, other in zip(joint, alone):
         assert one.k == other.k and one.family == family
@@ -248,15 +254,42 @@ def test_joint_bisecting_equals_one_fit_per_k(clouds):
     assert_equal_fits(clouds, BISECTING_KMEANS, [2, 3, 5, 9, 11, 14])
 
 
-def test_joint_bisecting_of_few_distinct_rows(spark):
-    rows = [(float(n % 3),) * 5 for n in range(30)]
-    table = spark.createDataFrame(rows, FEATURE_COLUMNS).repartition(2)
-    assert_equal_fits(features.assemble(table).cache(), BISECTING_KMEANS, [2, 3, 6])
+def test_joint_kmeans_equals_one_fit_per_k(clouds):
+    assert_equal_fits(clouds, KMEANS, [2, 3, 8, 13])
 
 
-def test_bisecting_scans_do_not_grow_with_the_number_of_models(spark, clouds):
-    """Levels are split once for all k: at most 20 rounds and the costs for each."""
-    _, jobs = jobs_of(
-        spark, lambda: models.fit_all(clouds, BISECTING_KMEANS, range(2, 9), seed=1)
-    )
-    assert jobs <= 1 + 3 * 21
+@pytest.mark.parametrize("family", [KMEANS, BISECTING_KMEANS])
+def test_joint_fits_of_few_different_rows(few_values, family):
+    assert_equal_fits(few_values, family, [2, 3, 6])
+
+
+def jobs_of(spark, work):
+    """The number of Spark jobs that ``work`` runs."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup("counted"))
+
+
+# bisecting: 20 rounds and the costs for each of three levels; k-means: 20 rounds,
+# two steps of two scans, the weights and the costs; up to ten jobs for the k = 1
+# model, the numbers kept and the first row
+@pytest.mark.parametrize(
+    ("family", "most"), [(BISECTING_KMEANS, 1 + 3 * 21 + 10), (KMEANS, 26 + 10)]
+)
+def test_scans_do_not_grow_with_the_number_of_models(spark, clouds, family, most):
+    def sweep():
+        training.sweep(clouds, family, max_k=8)
+
+    assert jobs_of(spark, sweep) <= most
+
+
+def test_spark_random_numbers(spark):
+    """Spark's own function starts each partition with its seed and number."""
+    found = spark.range(0, 30_000, 1, 1).selectExpr("rand(77) as r").collect()
+    drawn = xorshift.Doubles(77)
+    ours = [*drawn.take(3), *drawn.take(20_000), *drawn.take(9_997)]
+    assert ours == [row.r for row in found]

@@ -18,9 +18,8 @@ from pyspark import SparkContext, cloudpickle
 from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel
 from pyspark.mllib.common import _py2java
 from pyspark.mllib.linalg import DenseVector
-from pyspark.sql import DataFrame
 
-from tillstream.plans.passes import add_up, cluster_sums, feature_rows, squared_gap
+from tillstream.plans.passes import Blocks, cluster_sums, squared_gap
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -86,46 +85,46 @@ class Level:
 
     weights: np.ndarray
     limits: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    children: np.ndarray
 
     def step(self, x: np.ndarray, place: np.ndarray) -> np.ndarray:
-        beyond = np.einsum("dn,dn->n", x, self.weights[:, place]) > self.limits[place]
-        return np.where(beyond, self.right[place], self.left[place])
+        along = np.einsum("dn,dn->n", x, self.weights.take(place, axis=1))
+        return self.children.take(2 * place + (along > self.limits.take(place)))
 
 
 def _level(count: int, width: int, splits: dict[int, tuple], children: dict[int, int]) -> Level:
     """The step of ``count`` numbered clusters; the others stay in ``children``."""
     weights, limits = np.zeros((width, count)), np.full(count, np.inf)
-    left = np.array([children.get(place, 0) for place in range(count)], dtype=np.intp)
-    right = left.copy()
+    sides = np.array([[children.get(place, 0)] * 2 for place in range(count)], dtype=np.intp)
     for place, (centers, numbers) in splits.items():
-        left[place], right[place] = numbers
+        sides[place] = numbers
         if centers[0] is None or centers[1] is None:
             # Spark drops a child that lost its rows
             limits[place] = -np.inf if centers[0] is None else np.inf
         else:
             weights[:, place] = centers[1] - centers[0]
             limits[place] = (centers[0] + centers[1]) @ weights[:, place] / 2
-    return Level(weights, limits, left, right)
+    return Level(weights, limits, sides.ravel())
 
 
 class _Fit:
     """The tree all k share, grown level by level."""
 
-    def __init__(self, vectors: DataFrame, seed: int):
-        self.rows = feature_rows(vectors)
-        context = vectors.sparkSession.sparkContext
+    def __init__(self, blocks: Blocks, seed: int):
+        self.blocks = blocks
+        context = blocks.context
         self.random = context._jvm.java.util.Random(seed)
         given = context.getConf().contains("spark.default.parallelism")
-        parts = self.rows._jdf.rdd().getNumPartitions()
+        parts = blocks.rows._jdf.rdd().getNumPartitions()
         self.orders = Orders(context, context.defaultParallelism if given else parts)
         self.levels: list[Level] = []
         # clusters rows may be in after the levels so far, by their number
         self.places = [ROOT]
-        sums = add_up(self.rows, lambda x: cluster_sums(x, np.zeros(x.shape[1], np.int8), 1))
-        if sums is None:
-            raise ValueError("no invoices to train on")
+        sums = blocks.add_up(
+            lambda x: cluster_sums(
+                x, np.zeros(x.shape[1], np.intp), 1, np.einsum("dn,dn->n", x, x)
+            )
+        )
         self.root = _node(sums[:, 0])
 
     def chosen(self, divisible: Sequence[int], clusters: Clusters, needed: int) -> list[int]:
@@ -185,19 +184,20 @@ class _Fit:
 
         def work(x: np.ndarray) -> np.ndarray:
             place = np.zeros(x.shape[1], dtype=np.intp)
+            squares = np.einsum("dn,dn->n", x, x)
             for level in before:
                 place = level.step(x, place)
             parts = []
             for step, target, size in zip(steps, targets, sizes):
                 side = step.step(x, place)
                 if costing:
-                    gaps = squared_gap(x, target[:, side])
+                    gaps = squared_gap(x, target.take(side, axis=1))
                     parts.append(np.bincount(side, weights=gaps, minlength=size)[None])
                 else:
-                    parts.append(cluster_sums(x, side, size))
+                    parts.append(cluster_sums(x, side, size, squares))
             return np.concatenate(parts, axis=1)
 
-        sums, start, found = add_up(self.rows, work), 0, {}
+        sums, start, found = self.blocks.add_up(work), 0, {}
         for family, size in zip(families, sizes):
             for number, split in enumerate(family):
                 pair = [sums[:, start + 2 * number + side] for side in range(2)]
@@ -259,9 +259,9 @@ def _children(halves: dict[Split, list]) -> Clusters:
     }
 
 
-def grow(vectors: DataFrame, ks: Iterable[int], seed: int) -> dict[int, Clusters]:
+def grow(blocks: Blocks, ks: Iterable[int], seed: int) -> dict[int, Clusters]:
     """The tree of each k by the numbers of its clusters: 1, and 2i and 2i + 1 below i."""
-    fit = _Fit(vectors, seed)
+    fit = _Fit(blocks, seed)
     trees: dict[int, Clusters] = {}
     kept: Clusters = {ROOT: fit.root}
     active = [ROOT]
@@ -296,9 +296,10 @@ def leaf_cost(tree: Clusters, index: int = ROOT) -> float:
     return sum(leaf_cost(tree, child) for child in below)
 
 
-def spark_model(vectors: DataFrame, tree: Clusters, k: int, seed: int) -> BisectingKMeansModel:
+def spark_model(
+    context: SparkContext, tree: Clusters, k: int, seed: int
+) -> BisectingKMeansModel:
     """The Spark ML model of a tree."""
-    context = vectors.sparkSession.sparkContext
     gateway, mllib = context._gateway, context._jvm.org.apache.spark.mllib.clustering
     numbers = {"leaf": 0, "inner": -1}
 

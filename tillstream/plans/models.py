@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import (
     BisectingKMeans,
     BisectingKMeansModel,
@@ -19,7 +17,8 @@ from pyspark.sql import functions as F
 from tillstream.functions.distance import assigned_distance
 from tillstream.operators.clusters import score_literal, with_assigned_distance
 from tillstream.operators.features import assemble
-from tillstream.plans import bisecting
+from tillstream.plans import bisecting, lloyd
+from tillstream.plans.passes import Blocks
 from tillstream.schema import FEATURE_COLUMNS
 
 # The names a job is started with.
@@ -76,26 +75,22 @@ def fit(vectors: DataFrame, family: str, k: int, seed: int) -> ClusterModel:
 
 
 def fit_all(
-    vectors: DataFrame, family: str, ks: Sequence[int], seed: int, parallel: int = 2
+    blocks: Blocks, family: str, ks: Sequence[int], seed: int
 ) -> tuple[list[ClusterModel], list[float]]:
     """The models of ``fit`` for several k >= 2, with their costs.
 
-    Bisecting models of all k are fitted and costed in the same scans; others
-    are fitted ``parallel`` at a time.
+    All of them are fitted and costed in the same scans.
     """
     if check_family(family) == BISECTING_KMEANS:
-        trees = bisecting.grow(vectors, ks, seed)
-        fitted = [bisecting.spark_model(vectors, trees[k], k, seed) for k in ks]
-        wave = [ClusterModel(family, [c.tolist() for c in m.clusterCenters()], m) for m in fitted]
-        return wave, [bisecting.leaf_cost(trees[k]) for k in ks]
-
-    @inheritable_thread_target(vectors.sparkSession)
-    def fit_one(k: int) -> ClusterModel:
-        return fit(vectors, family, k, seed)
-
-    with ThreadPoolExecutor(parallel) as pool:
-        wave = list(pool.map(fit_one, ks))
-    return wave, costs(vectors, wave)
+        trees = bisecting.grow(blocks, ks, seed)
+        fitted = [bisecting.spark_model(blocks.context, trees[k], k, seed) for k in ks]
+        found = [bisecting.leaf_cost(trees[k]) for k in ks]
+    else:
+        centers = lloyd.fit(blocks, ks, seed)
+        fitted = [lloyd.spark_model(blocks.context, centers[k], k, seed) for k in ks]
+        found = lloyd.costs(blocks, [centers[k] for k in ks])
+    wave = [ClusterModel(family, [c.tolist() for c in m.clusterCenters()], m) for m in fitted]
+    return wave, found
 
 
 def costs(vectors: DataFrame, fitted: Sequence[ClusterModel]) -> list[float]:

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.operators import clusters, features
 from tillstream.plans import models
 from tillstream.plans.models import ClusterModel
+from tillstream.plans.passes import Blocks
 from tillstream.schema import FEATURE_COLUMNS
 from tillstream.session import materialize
 
 MAX_K = 20
-# Fits that run side by side. Each is a series of small jobs on cached rows.
+# Models that are fitted together when a sweep may end early.
 PARALLEL_FITS = 2
 
 
@@ -48,9 +48,9 @@ def sweep(
 ) -> Sweep:
     """Fit k = 1, 2, ... ``max_k`` and choose the model at the elbow.
 
-    Models are fitted a few at a time, and one scan costs all that are fitted.
-    ``early_stop`` costs them a few at a time too, and ends the sweep at the
-    first k that qualifies: the choice is the same, the curve is shorter.
+    The models of all k are fitted in the same scans, and one scan costs them.
+    ``early_stop`` fits ``parallel`` of them at a time, and ends the sweep at
+    the first k that qualifies: the choice is the same, the curve is shorter.
     ``offset=1`` picks the model after the elbow. Without an elbow the answer
     is k = 1.
     """
@@ -59,15 +59,16 @@ def sweep(
     fitted, costs = [first], [cost]
 
     elbow = None
-    while len(costs) < max_k and not (
-        early_stop and elbow is not None and len(costs) >= elbow + offset
-    ):
-        most = len(costs) + parallel if early_stop else max_k
-        ks = range(len(costs) + 1, min(most, max_k) + 1)
-        wave, wave_costs = models.fit_all(vectors, family, ks, seed, parallel)
-        fitted += wave
-        costs += wave_costs
-        elbow = clusters.elbow_from_costs(costs, ratio)
+    with Blocks(vectors) as blocks:
+        while len(costs) < max_k and not (
+            early_stop and elbow is not None and len(costs) >= elbow + offset
+        ):
+            most = len(costs) + parallel if early_stop else max_k
+            ks = range(len(costs) + 1, min(most, max_k) + 1)
+            wave, wave_costs = models.fit_all(blocks, family, ks, seed)
+            fitted += wave
+            costs += wave_costs
+            elbow = clusters.elbow_from_costs(costs, ratio)
     chosen = 1 if elbow is None else min(elbow + offset, max_k)
     return Sweep(fitted[chosen - 1], elbow, costs, fitted)
 
@@ -85,17 +86,12 @@ def train(
 ) -> tuple[Sweep, float, DataFrame]:
     """Train on invoice lines; returns the sweep, the threshold and the scored invoices.
 
-    Only the numbers the fits read are cached. The scored invoices read the
-    written table.
+    The fits keep the numbers they read; all else reads the written table.
     """
     table = training_table(lines)
-    vectors = table.select("features", *FEATURE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        outcome = sweep(vectors, family, **options)
-        scored = outcome.model.score(vectors)
-        threshold = clusters.distance_threshold(scored, rank).first().threshold
-    finally:
-        vectors.unpersist()
+    outcome = sweep(table, family, **options)
+    scored = outcome.model.score(table)
+    threshold = clusters.distance_threshold(scored, rank).first().threshold
     return outcome, threshold, outcome.model.score(table)
 
 
